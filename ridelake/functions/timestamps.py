@@ -13,7 +13,6 @@ ISO = (
     r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{3}(\d{3})?)?)?"
     r"(Z|[+-]\d{2}:\d{2})?)?\z"
 )
-ZONE = r"^.{10}.+(Z|[+-]\d{2}:\d{2})\z"
 
 
 def iso_timestamp(c: Column) -> Column:
@@ -27,8 +26,12 @@ def iso_instant(c: Column) -> Column:
 
 
 def has_zone(c: Column) -> Column:
-    """Whether ISO text carries a zone offset."""
-    return F.coalesce(c.rlike(ZONE), F.lit(False))
+    """Whether well-formed ISO text carries a zone offset.
+
+    The shortest zoned form has 17 characters; it ends in Z or in +hh:mm.
+    """
+    ends = c.endswith("Z") | F.substring(c, -6, 1).isin("+", "-")
+    return F.coalesce((F.length(c) > 16) & ends, F.lit(False))
 
 
 def as_timestamp(df: DataFrame, name: str) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ridelake.functions import as_date, clamp, or_default, strip, tidy
 from ridelake.operators.bronze import field, number
-from ridelake.operators.validate import all_pass, check_map, rules_for
+from ridelake.operators.validate import Rule, all_pass, check_map, judge
 
 
 def _key(df: DataFrame, name: str) -> Column:
@@ -92,7 +92,8 @@ def _currency(df: DataFrame) -> Column:
 
 def normalise_ride(df: DataFrame, checks: bool = False) -> DataFrame:
     """Rides with structured places. `checks` adds the rule outcome columns."""
-    out = df.select(
+    df, rules = judge(df, "ride") if checks else (df, [])
+    return df.select(
         *(_key(df, n) for n in ("ride_id", "passenger_id", "driver_id", "vehicle_id")),
         _day(df, "request_timestamp").alias("request_date"),
         *(_key(df, f"{n}_timestamp").alias(f"{n}_time") for n in ("request", "pickup", "dropoff")),
@@ -103,12 +104,12 @@ def normalise_ride(df: DataFrame, checks: bool = False) -> DataFrame:
         _measure(df, "fare_amount", "double", 0, 0.0),
         _currency(df),
         F.lower(F.coalesce(field(df, "ride_status"), F.lit(""))).alias("ride_status"),
-        *_outcome(df, "ride", checks, with_map=True),
+        *_outcome(rules, with_map=True),
     )
-    return out
 
 
 def normalise_payment(df: DataFrame, checks: bool = False) -> DataFrame:
+    df, rules = judge(df, "payment") if checks else (df, [])
     return df.select(
         _key(df, "payment_id"),
         _key(df, "ride_id"),
@@ -118,15 +119,14 @@ def normalise_payment(df: DataFrame, checks: bool = False) -> DataFrame:
         _measure(df, "amount", "double", 0, 0.0),
         _currency(df),
         _lower(df, "payment_status"),
-        *_outcome(df, "payment", checks, with_map=False),
+        *_outcome(rules, with_map=False),
     )
 
 
-def _outcome(df: DataFrame, entity: str, wanted: bool, with_map: bool) -> list[Column]:
+def _outcome(rules: list[Rule], with_map: bool) -> list[Column]:
     """valid_record and, for rides, one entry per rule; judged on the input row."""
-    if not wanted:
+    if not rules:
         return []
-    rules = rules_for(df, entity)
     out = [all_pass(rules).alias("valid_record")]
     if with_map:
         out.append(check_map(rules).alias("data_quality_checks"))

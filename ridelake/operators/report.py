@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.operators.validate import all_pass, failures, rules_for
+from ridelake.operators.validate import all_pass, failures, judge
 
 # Fixed value: a report quotes this many errors at most.
 SHOWN_ERRORS = 100
@@ -21,7 +21,7 @@ def quality_report(
     Errors are quoted in key order, each named by the key of its record.
     """
     key = key or f"{entity}_id"
-    rules = rules_for(df, entity)
+    judged, rules = judge(df, entity)
     valid = all_pass(rules)
     failed = [F.count_if(~r.passed) for r in rules]
     found = sum(failed[1:], failed[0])
@@ -31,7 +31,7 @@ def quality_report(
     checks = F.create_map(
         *(part for r, n in zip(rules, failed) for part in (F.lit(r.code), n))
     )
-    counts = df.agg(
+    counts = judged.agg(
         total.alias("records"),
         good.alias("valid_records"),
         F.count_if(~valid).alias("invalid_records"),
@@ -41,7 +41,7 @@ def quality_report(
     )
     quoted = first_errors(df, entity, key).agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct("record", "rule_no", "error"))),
+            F.array_sort(F.collect_list(F.struct("place", "record", "error"))),
             lambda e: F.concat(
                 F.lit("Record "), F.coalesce(e["record"], F.lit("None")), F.lit(": "), e["error"]
             ),
@@ -55,24 +55,49 @@ def quality_report(
 
 
 def first_errors(df: DataFrame, entity: str, key: str, n: int = SHOWN_ERRORS) -> DataFrame:
-    """The first n errors in key and rule order (a top-n, not a global sort)."""
-    return (
-        df.select(
+    """The first n errors, by record key and within a record in rule order.
+
+    n records hold at least n errors, so the top n records are enough; records
+    with the same key come in the order of their errors. Valid rows sort last
+    and are dropped after the cut: a filter before it would make the optimizer
+    evaluate every rule twice.
+    """
+    judged, rules = judge(df, entity)
+    order = [F.col("record"), F.col("failures")]
+    records = (
+        judged.select(
+            all_pass(rules).alias("valid"),
             F.col(key).cast("string").alias("record"),
-            F.posexplode(failures(rules_for(df, entity))).alias("rule_no", "failure"),
+            failures(rules).alias("failures"),
         )
-        .select("record", "rule_no", F.col("failure.message").alias("error"))
-        .orderBy("record", "rule_no", "error")
+        .orderBy("valid", *order)
+        .limit(n)
+        .filter(~F.col("valid"))
+    )
+    return (
+        records.select("record", "failures", F.explode("failures").alias("failure"))
+        .select(
+            F.struct(*order, F.col("failure.rule_no")).alias("place"),
+            "record",
+            F.col("failure.message").alias("error"),
+        )
+        .orderBy("place")
         .limit(n)
     )
 
 
 def failure_messages(df: DataFrame, entity: str) -> DataFrame:
-    """Rows (error_code, error, records): how often each full message occurs."""
+    """Rows (error_code, error, records): how often each full message occurs.
+
+    The outer explode gives valid rows one NULL, dropped after the count; a plain
+    explode would make the optimizer test every rule once more beforehand.
+    """
+    judged, rules = judge(df, entity)
     return (
-        df.select(F.explode(failures(rules_for(df, entity))).alias("failure"))
+        judged.select(F.explode_outer(failures(rules)).alias("failure"))
         .groupBy(
             F.col("failure.code").alias("error_code"), F.col("failure.message").alias("error")
         )
         .agg(F.count(F.lit(1)).alias("records"))
+        .filter(F.col("error_code").isNotNull())
     )

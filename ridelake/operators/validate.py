@@ -25,6 +25,9 @@ STATUSES = {
 }
 
 
+RIDE_TIMES = ("request_timestamp", "pickup_timestamp", "dropoff_timestamp")
+
+
 @dataclass(frozen=True)
 class Rule:
     code: str
@@ -65,44 +68,56 @@ def allowed(df: DataFrame, name: str, words: list[str]) -> Rule:
     return _rule(f"{name}_allowed", field(df, name).isin(words), _quoted(df, name, "is invalid"))
 
 
-def in_time_order(df: DataFrame, first: str, second: str, third: str) -> list[Rule]:
-    """Three timestamps are well formed and do not decrease.
+def time_columns(df: DataFrame, *names: str) -> DataFrame:
+    """Append, for each time column, whether it is zoned and its two readings.
+
+    `_<name>_wall` is the wall clock (NULL when malformed) and `_<name>_point`
+    the point in time of a zoned value. As columns they are computed once.
+    """
+    wall, zoned, point = {}, {}, {}
+    for n in names:
+        text = n in df.columns and isinstance(df.schema[n].dataType, T.StringType)
+        known = n in df.columns
+        wall[f"_{n}_wall"] = as_timestamp(df, n) if known else F.lit(None).cast("timestamp_ntz")
+        zoned[f"_{n}_zoned"] = has_zone(F.col(n)) if text else F.lit(False)
+        if text:
+            point[f"_{n}_point"] = F.when(F.col(f"_{n}_zoned"), iso_instant(F.col(n)))
+        else:
+            point[f"_{n}_point"] = F.lit(None).cast("timestamp")
+    return df.withColumns({**wall, **zoned}).withColumns(point)
+
+
+def in_time_order(first: str, second: str, third: str) -> list[Rule]:
+    """Three timestamps are well formed and do not decrease (see `time_columns`).
 
     Zoned and naive times cannot be compared: a mixture is a format error,
     unless the first two alone already show the wrong order.
     """
-    names = (first, second, third)
-    if not all(n in df.columns for n in names):
-        return [
-            _rule("timestamp_format", F.lit(False), "invalid timestamp format"),
-        ]
-    readable = F.lit(True)
-    for n in names:
-        readable = readable & as_timestamp(df, n).isNotNull()
 
-    def kind(n: str) -> Column:
-        text = isinstance(df.schema[n].dataType, T.StringType)
-        return has_zone(F.col(n)) if text else F.lit(False)
+    def part(n: str, what: str) -> Column:
+        return F.col(f"_{n}_{what}")
 
     def not_after(a: str, b: str) -> Column:
         """True/False for a comparable pair, NULL for a mixture."""
-        naive = as_timestamp(df, a) <= as_timestamp(df, b)
-        if not isinstance(df.schema[a].dataType, T.StringType):
-            return naive
-        zoned = iso_instant(F.col(a)) <= iso_instant(F.col(b))
-        return F.when(kind(a) & kind(b), zoned).when(~kind(a) & ~kind(b), naive)
+        both = part(a, "zoned") & part(b, "zoned")
+        neither = ~part(a, "zoned") & ~part(b, "zoned")
+        return F.when(both, part(a, "point") <= part(b, "point")).when(
+            neither, part(a, "wall") <= part(b, "wall")
+        )
 
+    readable = F.lit(True)
+    for n in (first, second, third):
+        readable = readable & part(n, "wall").isNotNull()
     start, end = not_after(first, second), not_after(second, third)
     # Three-valued AND over a chain that stops at the first false link.
-    chain = F.when(start, end).when(~start, F.lit(False))
-    comparable = readable & chain.isNotNull()
+    chain = F.when(readable, F.when(start, end).when(~start, F.lit(False)))
     return [
         _rule(
             "timestamp_order",
-            ~comparable | chain,
+            F.coalesce(chain, F.lit(True)),
             "timestamps out of order: request <= pickup <= dropoff",
         ),
-        _rule("timestamp_format", comparable, "invalid timestamp format"),
+        _rule("timestamp_format", chain.isNotNull(), "invalid timestamp format"),
     ]
 
 
@@ -130,7 +145,7 @@ def vehicle_rules(df: DataFrame) -> list[Rule]:
 def ride_rules(df: DataFrame) -> list[Rule]:
     return [
         *required(df, "ride_id", "passenger_id", "driver_id", "vehicle_id"),
-        *in_time_order(df, "request_timestamp", "pickup_timestamp", "dropoff_timestamp"),
+        *in_time_order(*RIDE_TIMES),
         in_range(df, "distance_km", "distance_range", "must be >= 0", 0),
         in_range(df, "fare_amount", "fare_range", "must be >= 0", 0),
         in_range(df, "duration_minutes", "duration_range", "must be >= 0", 0, kind="int"),
@@ -155,8 +170,16 @@ RULES = {
 }
 
 
-def rules_for(df: DataFrame, entity: str) -> list[Rule]:
-    return RULES[entity](df)
+def judge(df: DataFrame, entity: str) -> tuple[DataFrame, list[Rule]]:
+    """`df` with one boolean column per rule, and the rules that refer to them.
+
+    Codes, messages, the valid flag and the counts all look at the same rules;
+    as columns each rule is evaluated once per row.
+    """
+    timed = time_columns(df, *RIDE_TIMES) if entity == "ride" else df
+    rules = RULES[entity](timed)
+    judged = timed.withColumns({f"_{r.code}": r.passed for r in rules})
+    return judged, [Rule(r.code, F.col(f"_{r.code}"), r.message) for r in rules]
 
 
 def all_pass(rules: list[Rule]) -> Column:
@@ -172,12 +195,19 @@ def check_map(rules: list[Rule]) -> Column:
 
 
 def failures(rules: list[Rule]) -> Column:
-    """array<struct<code, message>> of the failed rules, in rule order."""
+    """array<struct<rule_no, code, message>> of the failed rules, in rule order."""
     return F.array_compact(
         F.array(
             *(
-                F.when(~r.passed, F.struct(F.lit(r.code).alias("code"), r.message.alias("message")))
-                for r in rules
+                F.when(
+                    ~r.passed,
+                    F.struct(
+                        F.lit(i).alias("rule_no"),
+                        F.lit(r.code).alias("code"),
+                        r.message.alias("message"),
+                    ),
+                )
+                for i, r in enumerate(rules)
             )
         )
     )
@@ -185,22 +215,22 @@ def failures(rules: list[Rule]) -> Column:
 
 def validate(df: DataFrame, entity: str) -> DataFrame:
     """Append `errors`, `error_codes` and `valid_record` to each row."""
-    failed = F.col("failures")
+    judged, rules = judge(df, entity)
+    failed = F.col("_failures")
     return (
-        df.withColumn("failures", failures(rules_for(df, entity)))
-        .withColumns(
-            {
-                "errors": failed["message"],
-                "error_codes": failed["code"],
-                "valid_record": F.size(failed) == 0,
-            }
+        judged.withColumn("_failures", failures(rules))
+        .select(
+            *df.columns,
+            failed["message"].alias("errors"),
+            failed["code"].alias("error_codes"),
+            all_pass(rules).alias("valid_record"),
         )
-        .drop("failures")
     )
 
 
 def split_quarantine(df: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
     """(valid rows as they came, invalid rows with their errors)."""
-    checked = validate(df, entity)
-    good = df.filter(all_pass(rules_for(df, entity)))
-    return good, checked.filter(~F.col("valid_record")).drop("valid_record")
+    judged, rules = judge(df, entity)
+    good = judged.filter(all_pass(rules)).select(*df.columns)
+    bad = validate(df, entity).filter(~F.col("valid_record")).drop("valid_record")
+    return good, bad

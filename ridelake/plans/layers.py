@@ -62,30 +62,34 @@ def build_silver(spark: SparkSession, cfg: LayerConfig) -> list[str]:
 
 
 def build_gold(spark: SparkSession, cfg: LayerConfig) -> list[str]:
-    for name, (df, parts) in gold_frames(spark, cfg).items():
+    frames = gold_frames(spark, cfg)
+    for name, (df, parts) in frames.items():
         cfg.write(df, "gold", name, parts)
-    return list(gold_frames(spark, cfg))
+    return list(frames)
 
 
 def gold_frames(spark: SparkSession, cfg: LayerConfig) -> dict[str, tuple[DataFrame, tuple]]:
+    def by_month(date: str) -> tuple:
+        # A day of one city is a single row: months keep the files reasonable.
+        return (("years", date), ("months", date))
+
     if cfg.style == "records":
         rides = read_bronze(spark, cfg.bronze_dir, "ride")
         drivers = read_bronze(spark, cfg.bronze_dir, "driver")
-        by_month = (("years", "date"), ("months", "date"))
         return {
-            "ride_daily_metrics": (gold.ride_daily_metrics(rides), by_month),
+            "ride_daily_metrics": (gold.ride_daily_metrics(rides), by_month("date")),
             "driver_metrics": (
                 gold.driver_daily_metrics(rides, drivers, order=["signup_timestamp"]),
-                by_month,
+                by_month("date"),
             ),
-            "city_metrics": (gold.city_metrics(rides), by_month),
+            "city_metrics": (gold.city_metrics(rides), by_month("date")),
         }
     rides = read_table(spark, cfg.table("silver", "ride"))
     if cfg.style == "notebooks":
         drivers = read_table(spark, cfg.table("silver", "driver"))
         passengers = read_table(spark, cfg.table("silver", "passenger"))
         return {
-            "daily_ride_metrics": (gold.daily_city_rides(rides), ("request_date",)),
+            "daily_ride_metrics": (gold.daily_city_rides(rides), by_month("request_date")),
             "driver_performance": (gold.driver_performance(rides, drivers), ()),
             "passenger_activity": (gold.passenger_activity(rides, passengers), ()),
         }

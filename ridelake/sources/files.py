@@ -8,6 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelake.functions import parse_double, parse_int
 from ridelake.operators.bronze import BRONZE
 from ridelake.operators.validate import split_quarantine
 from ridelake.sources.schemas import ENTITIES, RAW, raw_text
@@ -49,10 +50,17 @@ def read_raw(spark: SparkSession, raw_dir: str, entity: str, as_text: bool = Fal
     """All landed records of an entity, with a fixed schema (no inference pass).
 
     Reading the directory, not a file pattern, finds the dated subdirectories
-    and adds their `ingestion_date`. `as_text` keeps numbers as written.
+    and adds their `ingestion_date`. Numbers may be quoted in the records;
+    unreadable ones are NULL. `as_text` keeps numbers as written.
     """
-    schema = raw_text(entity) if as_text else RAW[entity]
-    return spark.read.schema(schema).json(f"{raw_dir}/{entity}")
+    records = spark.read.schema(raw_text(entity)).json(f"{raw_dir}/{entity}")
+    if as_text:
+        return records
+    parsers = {"DOUBLE": parse_double, "INT": parse_int}
+    kinds = dict(part.split() for part in RAW[entity].split(", "))
+    return records.withColumns(
+        {n: parsers[kind](F.col(n)) for n, kind in kinds.items() if kind in parsers}
+    )
 
 
 def ingest_bronze(

@@ -140,10 +140,13 @@ PARTITIONS = {
 # Keys that must be unique.
 UNIQUE = {"silver_vehicle": ["license_plate"]}
 
+# Partition columns of formats without partition transforms. Directory names
+# cannot tell '' from NULL, so text is partitioned by a copy and keeps its value.
 DERIVED = {
     "years": ("year", F.year, "INT"),
     "months": ("month", F.month, "INT"),
     "days": ("day", F.to_date, "DATE"),
+    "identity": ("part", lambda c: c, "STRING"),
 }
 
 
@@ -154,17 +157,8 @@ def raw_text(entity: str) -> str:
 
 
 def derived_columns(partitions) -> dict[str, Column]:
-    """Partition columns for formats without partition transforms."""
-    out = {}
-    for kind, column in partitions:
-        if kind != "identity":
-            suffix, function, _ = DERIVED[kind]
-            out[f"{column}_{suffix}"] = function(F.col(column))
-    return out
-
-
-def partition_names(partitions) -> list[str]:
-    return [c if k == "identity" else f"{c}_{DERIVED[k][0]}" for k, c in partitions]
+    """Partition columns by name, for formats without partition transforms."""
+    return {f"{c}_{DERIVED[k][0]}": DERIVED[k][1](F.col(c)) for k, c in partitions}
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -186,6 +180,12 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*out)
 
 
+def iceberg_partitions(partitions) -> list[tuple[str, str]]:
+    """`partitions` without years of a column that also has months: a month lies
+    in one year, and Iceberg refuses the pair as redundant."""
+    return [(k, c) for k, c in partitions if not (k == "years" and ("months", c) in partitions)]
+
+
 def create_statement(table: str, name: str | None = None, fmt: str = "parquet") -> str:
     """CREATE TABLE IF NOT EXISTS for a layer table.
 
@@ -197,14 +197,11 @@ def create_statement(table: str, name: str | None = None, fmt: str = "parquet")
     if fmt == "iceberg":
         # Column defaults need a newer table version than v2.
         columns = columns.replace(" DEFAULT TRUE", "")
-        spec = [c if k == "identity" else f"{k}({c})" for k, c in partitions]
-        # A month already lies in one year, and the two may not be combined.
-        spec = [s for s in spec if not (s == "years(date)" and "months(date)" in spec)]
+        finest = iceberg_partitions(partitions)
+        spec = [c if k == "identity" else f"{k}({c})" for k, c in finest]
     else:
-        spec = partition_names(partitions)
-        columns += "".join(
-            f", {c}_{DERIVED[k][0]} {DERIVED[k][2]}" for k, c in partitions if k != "identity"
-        )
+        spec = [f"{c}_{DERIVED[k][0]}" for k, c in partitions]
+        columns += "".join(f", {c}_{DERIVED[k][0]} {DERIVED[k][2]}" for k, c in partitions)
     text = f"CREATE TABLE IF NOT EXISTS {name or table} ({columns}) USING {fmt}"
     return text + (f" PARTITIONED BY ({', '.join(spec)})" if spec else "")
 

@@ -121,35 +121,35 @@ SELECT CASE WHEN ride_id % 127 = 7 THEN NULL
             ELSE REPLACE(CAST(request_timestamp AS STRING), ' ', 'T') END AS request_timestamp,
        CASE WHEN ride_id % 107 = 9 THEN '1996-13-01T00:00:00'
             WHEN ride_id % 218 = 11 THEN
-              REPLACE(CAST(pickup_timestamp AS STRING), ' ', 'T') || '+02:00'
-            ELSE REPLACE(CAST(pickup_timestamp AS STRING), ' ', 'T') END AS pickup_timestamp,
+              CAST(pickup_timestamp AS STRING) || '+02:00'
+            ELSE CAST(pickup_timestamp AS STRING) END AS pickup_timestamp,
        CASE WHEN ride_id % 113 = 13 THEN
               REPLACE(CAST(request_timestamp - INTERVAL '1' DAY AS STRING), ' ', 'T')
             WHEN ride_id % 436 = 11 THEN
-              REPLACE(CAST(dropoff_timestamp AS STRING), ' ', 'T') || '+03:00'
+              CAST(dropoff_timestamp AS STRING) || '+03:00'
             WHEN ride_id % 218 = 11 THEN
-              REPLACE(CAST(dropoff_timestamp AS STRING), ' ', 'T') || '+02:00'
-            ELSE REPLACE(CAST(dropoff_timestamp AS STRING), ' ', 'T') END AS dropoff_timestamp,
-       CAST(CAST(pickup_latitude AS DECIMAL(9,3)) AS STRING) AS pickup_latitude,
-       CAST(CAST(pickup_longitude AS DECIMAL(9,3)) AS STRING) AS pickup_longitude,
+              CAST(dropoff_timestamp AS STRING) || '+02:00'
+            ELSE CAST(dropoff_timestamp AS STRING) END AS dropoff_timestamp,
+       CAST(pickup_latitude AS STRING) AS pickup_latitude,
+       CAST(pickup_longitude AS STRING) AS pickup_longitude,
        CASE WHEN ride_id % 137 = 1 THEN NULL
-            ELSE CAST(CAST(dropoff_latitude AS DECIMAL(9,3)) AS STRING) END AS dropoff_latitude,
-       CAST(CAST(dropoff_longitude AS DECIMAL(9,3)) AS STRING) AS dropoff_longitude,
+            ELSE CAST(dropoff_latitude AS STRING) END AS dropoff_latitude,
+       CAST(dropoff_longitude AS STRING) AS dropoff_longitude,
        CASE WHEN ride_id % 53 = 1 THEN '  ' || pickup_city || ' '
             WHEN ride_id % 59 = 1 THEN NULL
             WHEN ride_id % 59 = 2 THEN '' ELSE pickup_city END AS pickup_city,
        dropoff_city,
        CASE WHEN ride_id % 71 = 1 THEN 'far'
             WHEN ride_id % 73 = 2 THEN NULL
-            WHEN ride_id % 79 = 3 THEN '-' || CAST(CAST(distance_km AS DECIMAL(8,2)) AS STRING)
-            ELSE CAST(CAST(distance_km AS DECIMAL(8,2)) AS STRING) END AS distance_km,
+            WHEN ride_id % 79 = 3 THEN '-' || CAST(distance_km AS STRING)
+            ELSE CAST(distance_km AS STRING) END AS distance_km,
        CASE WHEN ride_id % 83 = 1 THEN '5.5'
             WHEN ride_id % 89 = 2 THEN '-' || CAST(duration_minutes AS STRING)
             ELSE CAST(duration_minutes AS STRING) END AS duration_minutes,
        CASE WHEN ride_id % 37 = 1 THEN 'n/a'
             WHEN ride_id % 41 = 2 THEN NULL
-            WHEN ride_id % 43 = 3 THEN '-' || CAST(CAST(fare_amount AS DECIMAL(12,2)) AS STRING)
-            ELSE CAST(CAST(fare_amount AS DECIMAL(12,2)) AS STRING) END AS fare_amount,
+            WHEN ride_id % 43 = 3 THEN '-' || CAST(fare_amount AS STRING)
+            ELSE CAST(fare_amount AS STRING) END AS fare_amount,
        CASE WHEN ride_id % 61 = 1 THEN NULL WHEN ride_id % 61 = 2 THEN ''
             WHEN ride_id % 61 = 3 THEN 'eur' ELSE currency END AS currency,
        CASE WHEN ride_id % 47 = 1 THEN 'Completed'
@@ -203,7 +203,7 @@ SELECT 'PM' || CAST(payment_id AS STRING) AS payment_id,
        payment_method,
        CASE WHEN payment_id % 73 = 1 THEN 'free'
             WHEN payment_id % 73 = 2 THEN NULL
-            ELSE CAST(CAST(amount AS DECIMAL(12,2)) AS STRING) END AS amount,
+            ELSE CAST(amount AS STRING) END AS amount,
        currency,
        payment_status
 FROM {payment} p
@@ -216,11 +216,27 @@ def sources_of(name: str) -> list[str]:
     return list(dict.fromkeys(f for _, f, _, _ in Formatter().parse(VIEWS[name]) if f))
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Tables that grow with the number of rides and payments.
+FACTS = ("lineitem", "events")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over every core, if its files give too few splits for that.
+
+    A file of one row group cannot be split and would keep the costly reading of
+    text records on one core. Larger inputs pass unchanged: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) == 1 else df
+
+
+def load(spark: SparkSession, sf_dir: str, name: str, costly: bool = False) -> DataFrame:
     """Table or domain view `name` over the Parquet files in `sf_dir`."""
     if name not in VIEWS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    parts = {s: load(spark, sf_dir, s) for s in sources_of(name)}
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(table) if costly and name in FACTS else table
+    costly = costly or name.startswith("raw_")
+    parts = {s: load(spark, sf_dir, s, costly) for s in sources_of(name)}
     return spark.sql(VIEWS[name], **parts)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.sources.schemas import derived_columns, partition_names
+from ridelake.sources.schemas import derived_columns, iceberg_partitions
 
 Partition = str | tuple[str, str]
 
@@ -33,7 +33,8 @@ def write_table(
     `partition_by` takes column names and (transform, column) pairs with the
     transforms years, months and days. In an Iceberg catalog the replacement is
     atomic, so readers always see a table. Elsewhere the table is Parquet and
-    each transform becomes a plain column.
+    each transform, and each text column, becomes a partition column of its own
+    (see `in_partition` and `between_dates` for reading).
 
     Rows are rebalanced by partition first: one file set per partition instead of
     one per task, while AQE splits a partition that holds a large share.
@@ -53,13 +54,20 @@ def write_table(
             writer = writer.tableProperty("location", location)
         if spec:
             columns = [
-                F.col(c) if k == "identity" else getattr(F.partitioning, k)(c) for k, c in spec
+                F.col(c) if k == "identity" else getattr(F.partitioning, k)(c)
+                for k, c in iceberg_partitions(spec)
             ]
             writer = writer.partitionedBy(*columns)
         writer.createOrReplace()
         return
-    out = df.withColumns(derived_columns(spec)) if derived_columns(spec) else df
-    names = partition_names(spec)
+    derived, names = {}, []
+    for kind, column in spec:
+        if kind == "identity" and df.schema[column].dataType.typeName() != "string":
+            names.append(column)
+        else:
+            derived |= derived_columns([(kind, column)])
+            names = [*names, *(n for n in derived if n not in names)]
+    out = df.withColumns(derived) if derived else df
     if names:
         out = out.hint("rebalance", *(F.col(n) for n in names))
     writer = out.write.format("parquet").mode("overwrite")
@@ -75,6 +83,19 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def in_partition(df: DataFrame, column: str, *values: str) -> DataFrame:
+    """Rows whose `column` is one of `values`, reading their partitions only."""
+    out = df.filter(F.col(column).isin(*values))
+    part = f"{column}_part"
+    if part in df.columns:
+        named = [v for v in values if v != ""]
+        keep = F.col(part).isin(*named) if named else F.lit(False)
+        if "" in values:
+            keep = keep | F.col(part).isNull()
+        out = out.filter(keep)
+    return out
+
+
 def list_layer(spark: SparkSession, layer: str) -> DataFrame:
     """Tables of a layer, that is those named <layer>_*."""
     return (
