@@ -157,12 +157,14 @@ PAYMENT = (
 )
 
 
-def _refined_driver(source: str, round_rating: str = "ROUND(rating, 2)") -> str:
+def _refined_driver(source: str) -> str:
+    # Halves away from zero on the decimal digits of the value, not on its binary.
+    rounded = "CAST(ROUND(CAST(rating AS DECIMAL(18, 8)), 2) AS DOUBLE)"
     return _first(
         DRIVER,
         "driver_id",
         f"""
-SELECT * REPLACE ({_ts("signup_timestamp")} AS signup_timestamp, {round_rating} AS rating)
+SELECT * REPLACE ({_ts("signup_timestamp")} AS signup_timestamp, {rounded} AS rating)
 FROM {source} WHERE status IN ('active', 'inactive')""",
     )
 
@@ -379,10 +381,19 @@ def _report(entity: str) -> str:
         f"(SELECT '{c}=' || COUNT(*) FROM errors WHERE error_code = '{c}' HAVING COUNT(*) > 0)"
         for c in codes
     )
+    listed = ", ".join(
+        f"CASE WHEN {fails} THEN {{'rule_no': {i}, 'error': {message}}} END"
+        for i, (_, fails, message) in enumerate(FAILS[entity])
+    )
     return f"""
 WITH errors AS ({_errors(entity)}),
-top AS (SELECT * FROM errors
-        ORDER BY record NULLS FIRST, rule_no, error LIMIT 100)
+top AS (
+  SELECT record, listed FROM (
+    SELECT {entity}_id AS record, [x FOR x IN [{listed}] IF x IS NOT NULL] AS listed
+    FROM bronze_{entity}) j
+  WHERE len(listed) > 0 ORDER BY record NULLS FIRST, listed LIMIT 100),
+quoted AS (SELECT record, listed, unnest(listed) AS one FROM top),
+shown AS (SELECT * FROM quoted ORDER BY record NULLS FIRST, listed, one.rule_no LIMIT 100)
 SELECT '{entity}' AS dataset, COUNT(*) AS records,
        COUNT(*) FILTER (WHERE NOT {_bad(entity)}) AS valid_records,
        COUNT(*) FILTER (WHERE {_bad(entity)}) AS invalid_records,
@@ -390,8 +401,9 @@ SELECT '{entity}' AS dataset, COUNT(*) AS records,
             AS DOUBLE) / 100 AS validity_rate,
        concat_ws(',', {shown}) AS checks,
        (SELECT COUNT(*) > 100 FROM errors) AS errors_truncated,
-       (SELECT string_agg('Record ' || COALESCE(record, 'None') || ': ' || error, '|'
-                          ORDER BY record NULLS FIRST, rule_no, error) FROM top) AS errors
+       (SELECT COALESCE(string_agg('Record ' || COALESCE(record, 'None') || ': ' || one.error, '|'
+                                   ORDER BY record NULLS FIRST, listed, one.rule_no), '')
+        FROM shown) AS errors
 FROM bronze_{entity}"""
 
 
