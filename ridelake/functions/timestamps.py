@@ -20,11 +20,6 @@ def iso_timestamp(c: Column) -> Column:
     return F.when(c.rlike(ISO), c.try_cast("timestamp_ntz"))
 
 
-def iso_instant(c: Column) -> Column:
-    """Point in time of zoned ISO text; only meaningful where has_zone(c)."""
-    return F.when(c.rlike(ISO), c.try_cast("timestamp"))
-
-
 def has_zone(c: Column) -> Column:
     """Whether well-formed ISO text carries a zone offset.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridelake.functions import as_timestamp, is_email, is_phone, is_present, parse_double, parse_int
-from ridelake.functions.timestamps import has_zone, iso_instant
+from ridelake.functions.timestamps import has_zone
 from ridelake.operators.bronze import field
 
 # Allowed status words per entity.
@@ -68,56 +68,55 @@ def allowed(df: DataFrame, name: str, words: list[str]) -> Rule:
     return _rule(f"{name}_allowed", field(df, name).isin(words), _quoted(df, name, "is invalid"))
 
 
-def time_columns(df: DataFrame, *names: str) -> DataFrame:
-    """Append, for each time column, whether it is zoned and its two readings.
+# Verdicts on a triple of timestamps.
+TIMES_FINE, TIMES_DISORDERED, TIMES_MALFORMED = 0, 1, 2
 
-    `_<name>_wall` is the wall clock (NULL when malformed) and `_<name>_point`
-    the point in time of a zoned value. As columns they are computed once.
+
+def time_verdict(df: DataFrame, first: str, second: str, third: str) -> DataFrame:
+    """Append `_times`: whether three timestamps are well formed and in order.
+
+    Zoned and naive times cannot be compared: a mixture is malformed, unless the
+    first two alone already show the wrong order. The readings are columns of
+    their own, so that each text is parsed once.
     """
+    names = (first, second, third)
     wall, zoned, point = {}, {}, {}
     for n in names:
-        text = n in df.columns and isinstance(df.schema[n].dataType, T.StringType)
         known = n in df.columns
+        text = known and isinstance(df.schema[n].dataType, T.StringType)
         wall[f"_{n}_wall"] = as_timestamp(df, n) if known else F.lit(None).cast("timestamp_ntz")
         zoned[f"_{n}_zoned"] = has_zone(F.col(n)) if text else F.lit(False)
-        if text:
-            point[f"_{n}_point"] = F.when(F.col(f"_{n}_zoned"), iso_instant(F.col(n)))
-        else:
-            point[f"_{n}_point"] = F.lit(None).cast("timestamp")
-    return df.withColumns({**wall, **zoned}).withColumns(point)
-
-
-def in_time_order(first: str, second: str, third: str) -> list[Rule]:
-    """Three timestamps are well formed and do not decrease (see `time_columns`).
-
-    Zoned and naive times cannot be compared: a mixture is a format error,
-    unless the first two alone already show the wrong order.
-    """
+        # Only looked at for zoned values whose wall clock is readable.
+        point[f"_{n}_point"] = F.col(n).try_cast("timestamp") if text else F.lit(None).cast("timestamp")
 
     def part(n: str, what: str) -> Column:
         return F.col(f"_{n}_{what}")
 
-    def not_after(a: str, b: str) -> Column:
-        """True/False for a comparable pair, NULL for a mixture."""
-        both = part(a, "zoned") & part(b, "zoned")
-        neither = ~part(a, "zoned") & ~part(b, "zoned")
-        return F.when(both, part(a, "point") <= part(b, "point")).when(
-            neither, part(a, "wall") <= part(b, "wall")
+    def later(a: str, b: str) -> Column:
+        return F.when(part(a, "zoned"), part(a, "point") > part(b, "point")).otherwise(
+            part(a, "wall") > part(b, "wall")
         )
 
-    readable = F.lit(True)
-    for n in (first, second, third):
-        readable = readable & part(n, "wall").isNotNull()
-    start, end = not_after(first, second), not_after(second, third)
-    # Three-valued AND over a chain that stops at the first false link.
-    chain = F.when(readable, F.when(start, end).when(~start, F.lit(False)))
+    unreadable = F.lit(False)
+    for n in names:
+        unreadable = unreadable | part(n, "wall").isNull()
+    verdict = F.when(unreadable, TIMES_MALFORMED)
+    for a, b in ((first, second), (second, third)):
+        verdict = verdict.when(part(a, "zoned") != part(b, "zoned"), TIMES_MALFORMED)
+        verdict = verdict.when(later(a, b), TIMES_DISORDERED)
+    parsed = df.withColumns({**wall, **zoned, **point})
+    return parsed.withColumn("_times", verdict.otherwise(TIMES_FINE))
+
+
+def in_time_order() -> list[Rule]:
+    """The two rules on `time_verdict`."""
     return [
         _rule(
             "timestamp_order",
-            F.coalesce(chain, F.lit(True)),
+            F.col("_times") != TIMES_DISORDERED,
             "timestamps out of order: request <= pickup <= dropoff",
         ),
-        _rule("timestamp_format", chain.isNotNull(), "invalid timestamp format"),
+        _rule("timestamp_format", F.col("_times") != TIMES_MALFORMED, "invalid timestamp format"),
     ]
 
 
@@ -145,7 +144,7 @@ def vehicle_rules(df: DataFrame) -> list[Rule]:
 def ride_rules(df: DataFrame) -> list[Rule]:
     return [
         *required(df, "ride_id", "passenger_id", "driver_id", "vehicle_id"),
-        *in_time_order(*RIDE_TIMES),
+        *in_time_order(),
         in_range(df, "distance_km", "distance_range", "must be >= 0", 0),
         in_range(df, "fare_amount", "fare_range", "must be >= 0", 0),
         in_range(df, "duration_minutes", "duration_range", "must be >= 0", 0, kind="int"),
@@ -176,7 +175,7 @@ def judge(df: DataFrame, entity: str) -> tuple[DataFrame, list[Rule]]:
     Codes, messages, the valid flag and the counts all look at the same rules;
     as columns each rule is evaluated once per row.
     """
-    timed = time_columns(df, *RIDE_TIMES) if entity == "ride" else df
+    timed = time_verdict(df, *RIDE_TIMES) if entity == "ride" else df
     rules = RULES[entity](timed)
     judged = timed.withColumns({f"_{r.code}": r.passed for r in rules})
     return judged, [Rule(r.code, F.col(f"_{r.code}"), r.message) for r in rules]

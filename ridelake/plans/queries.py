@@ -270,15 +270,22 @@ def quarantined_rides(spark, sf_dir):
 
 
 def quarantine_counts(spark, sf_dir):
+    """Good and bad rows of every entity, each table read once."""
     parts = []
     for entity in ENTITIES:
-        split = split_quarantine(bronze(spark, sf_dir, entity), entity)
-        parts += [
-            df.agg(F.count(F.lit(1)).alias("records")).select(
-                F.lit(entity).alias("entity"), F.lit(side).alias("side"), "records"
+        valid = validate(bronze(spark, sf_dir, entity), entity).select("valid_record")
+        sides = [
+            F.struct(F.lit(side).alias("side"), n.alias("records"))
+            for side, n in (
+                ("good", F.count_if("valid_record")),
+                ("bad", F.count_if(~F.col("valid_record"))),
             )
-            for side, df in zip(("good", "bad"), split)
         ]
+        parts.append(
+            valid.agg(F.array(*sides).alias("sides")).select(
+                F.lit(entity).alias("entity"), F.inline("sides")
+            )
+        )
     return reduce(DataFrame.unionByName, parts)
 
 
