@@ -766,6 +766,11 @@ def oracle_sql(ride_bounds: dict[str, tuple[float, float]]) -> dict[str, str]:
             FROM bronze_ride WHERE {_bad("ride")}""",
         "ride",
     )
+    out["quarantine_from_files"] = _over_bronze(
+        f"""SELECT payment_id, amount, {_codes("payment", "|", 2)} AS errors
+            FROM bronze_payment WHERE {_bad("payment")}""",
+        "payment",
+    )
     out["quarantine_counts"] = _over_bronze(
         " UNION ALL ".join(
             f"SELECT '{e}' AS entity, '{side}' AS side, COUNT(*) AS records "

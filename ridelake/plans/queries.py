@@ -23,7 +23,14 @@ from ridelake.operators.refine import REFINE, WIDE_RIDE_STATUSES, refine_ride
 from ridelake.operators.report import failure_messages, quality_report
 from ridelake.operators.validate import split_quarantine, validate
 from ridelake.plans.layers import LayerConfig, run_layers
-from ridelake.sources.files import ingest_bronze, land_all, land_raw, read_bronze
+from ridelake.sources.files import (
+    ingest_bronze,
+    land_all,
+    land_raw,
+    read_bronze,
+    read_quarantine,
+    write_quarantine,
+)
 from ridelake.sources.schemas import ENTITIES
 from ridelake.sources.scratch import shared_folder
 from ridelake.sources.star_schema import load
@@ -269,6 +276,14 @@ def quarantined_rides(spark, sf_dir):
     return portable(bad.select("ride_id", "request_timestamp", "errors"))
 
 
+def quarantine_from_files(spark, sf_dir):
+    """Write payments with their errors, read the bad side back."""
+    path = f"{shared_folder(spark)}/payment"
+    write_quarantine(bronze(spark, sf_dir, "payment"), "payment", path)
+    _, bad = read_quarantine(spark, path)
+    return portable(bad.select("payment_id", "amount", "errors"))
+
+
 def quarantine_counts(spark, sf_dir):
     """Good and bad rows of every entity, each table read once."""
     parts = []
@@ -362,6 +377,7 @@ QUERIES: dict[str, Query] = {
     **{f"quality_report_{e}": _report(e) for e in ENTITIES},
     **{f"failure_messages_{e}": _messages(e) for e in ("driver", "ride", "payment")},
     "quarantined_rides": quarantined_rides,
+    "quarantine_from_files": quarantine_from_files,
     "quarantine_counts": quarantine_counts,
     "fk_ride_passenger": fk_ride_passenger,
     "fk_ride_driver": fk_ride_driver,

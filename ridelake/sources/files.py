@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ridelake.functions import parse_double, parse_int
 from ridelake.operators.bronze import BRONZE
-from ridelake.operators.validate import split_quarantine
+from ridelake.operators.validate import validate
 from ridelake.sources.schemas import ENTITIES, RAW, raw_text
 
 log = logging.getLogger(__name__)
@@ -92,8 +92,18 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_quarantine(df: DataFrame, entity: str, good_path: str, bad_path: str) -> None:
-    """Valid rows to `good_path`, invalid rows with their errors to `bad_path`."""
-    good, bad = split_quarantine(df, entity)
-    good.write.mode("overwrite").parquet(good_path)
-    bad.write.mode("overwrite").parquet(bad_path)
+def write_quarantine(df: DataFrame, entity: str, path: str) -> None:
+    """All rows with their errors, valid and invalid ones in separate directories.
+
+    Reading and judging the rows once writes both sides; writing two filtered
+    frames would do it twice.
+    """
+    validate(df, entity).write.mode("overwrite").partitionBy("valid_record").parquet(path)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(valid rows as they came, invalid rows with their errors); each reads its own side."""
+    checked = spark.read.parquet(path)
+    valid = F.col("valid_record").cast("string") == "true"
+    good = checked.filter(valid).drop("errors", "error_codes", "valid_record")
+    return good, checked.filter(~valid).drop("valid_record")

@@ -19,7 +19,7 @@ from ridelake.sources.tables import read_table, write_table
 SF = "/root/testdata/sf0.001"
 
 # Written to disk on the way: their plans only show the last step.
-WRITES = {"bronze_from_landing", "silver_ride_table"} | {
+WRITES = {"bronze_from_landing", "silver_ride_table", "quarantine_from_files"} | {
     f"layer_counts_{s}" for s in ("jobs", "notebooks", "records")
 }
 # One row for the whole input, or a union of such rows.

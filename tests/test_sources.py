@@ -102,10 +102,14 @@ def test_report_and_quarantine_files(spark, tmp_path):
     files.write_report(quality_report(df, "ride"), str(tmp_path / "report"))
     report = json.loads(next((tmp_path / "report").glob("*.json")).read_text())
     assert report["records"] == 40 and report["invalid_records"] == 0
-    bad = df.withColumn("ride_status", F.lit("x"))
-    files.write_quarantine(bad, "ride", str(tmp_path / "good"), str(tmp_path / "bad"))
-    assert spark.read.parquet(str(tmp_path / "good")).count() == 0
-    assert spark.read.parquet(str(tmp_path / "bad")).first()["errors"] == ["ride_status 'x' is invalid"]
+    mixed = df.withColumn(
+        "ride_status", F.when(F.col("ride_id") == "R1", "x").otherwise(F.col("ride_status"))
+    )
+    files.write_quarantine(mixed, "ride", str(tmp_path / "checked"))
+    good, bad = files.read_quarantine(spark, str(tmp_path / "checked"))
+    assert sorted(good.columns) == sorted(df.columns)
+    assert good.count() == 38 and bad.count() == 2
+    assert {tuple(r["errors"]) for r in bad.collect()} == {("ride_status 'x' is invalid",)}
 
 
 def test_partitioned_table_keeps_values(spark):
