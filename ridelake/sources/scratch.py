@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -13,12 +12,8 @@ SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the shared folder that the session names.
 
-    Only a local master may do without the setting; on a cluster a machine-local
-    folder would be invisible to the other machines.
+    Where the setting is absent (tests), a folder in the session's warehouse, which
+    all machines of a cluster share too.
     """
-    base = spark.conf.get(SETTING, None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{SETTING} must name a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="ridelake-")
+    base = spark.conf.get(SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/ridelake-{uuid.uuid4().hex}"
