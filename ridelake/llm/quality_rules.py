@@ -2,7 +2,9 @@
 
 Each rule looks at one figure of a text and votes for good (1), for bad (-1) or
 abstains (0). The label model has two hidden classes and, for each rule, the
-probability of each vote given the class (independent given the class).
+probability of each vote given the class (independent given the class). A rule that
+abstains is no evidence: kinds of bad text exclude each other, so silence of the rules
+for the other kinds says nothing.
 Expectation-maximisation runs on the counts of the vote patterns of the whole
 table: at most 3 ** rules rows whatever the size of the corpus, counted by Spark.
 A text is kept if the posterior probability of good is at least a half.
@@ -115,25 +117,26 @@ def text_figures(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     return source.mapInArrow(run, f"doc_id {kind.simpleString()}, " + ", ".join(f"{f} long" for f in FIGURES))
 
 
-def vote(bad: Column, good: Column) -> Column:
-    return F.when(bad, -1).when(good, 1).otherwise(0).cast("tinyint")
+def vote(bad: Column, good: Column | None = None) -> Column:
+    against = F.when(bad, -1)
+    return (against if good is None else against.when(good, 1)).otherwise(0).cast("tinyint")
 
 
 def rules() -> dict[str, Column]:
-    """Votes by rule, over the figures. All compare whole numbers."""
+    """Votes by rule, over the figures. All compare whole numbers.
+
+    Most rules know one kind of bad text and abstain on all others.
+    """
     c = {f: F.col(f) for f in FIGURES}
     n = c["n_words"]
     return {
         "length": vote(n < 20, n >= 50),
-        "word_length": vote(
-            (n == 0) | (c["word_chars"] < 2 * n) | (c["word_chars"] > 14 * n),
-            (c["word_chars"] >= 3 * n) & (c["word_chars"] <= 10 * n),
-        ),
-        "symbols": vote(10 * c["n_symbols"] > n, 50 * c["n_symbols"] <= n),
-        "lines": vote(10 * c["n_dup_lines"] > 3 * c["n_lines"], c["n_dup_lines"] == 0),
-        "repeats": vote(5 * c["n_repeat_words"] > n, 20 * c["n_repeat_words"] <= n),
-        "capitals": vote(4 * c["n_upper"] > c["n_letters"], 10 * c["n_upper"] <= c["n_letters"]),
-        "exclamation": vote(10 * c["n_bangs"] > n, 50 * c["n_bangs"] <= n),
+        "word_length": vote((n == 0) | (c["word_chars"] < 2 * n) | (c["word_chars"] > 14 * n)),
+        "symbols": vote(10 * c["n_symbols"] > n),
+        "lines": vote(10 * c["n_dup_lines"] > 3 * c["n_lines"]),
+        "repeats": vote(5 * c["n_repeat_words"] > n),
+        "capitals": vote(4 * c["n_upper"] > c["n_letters"]),
+        "exclamation": vote(10 * c["n_bangs"] > n),
     }
 
 
@@ -145,29 +148,45 @@ class LabelModel:
     chance: np.ndarray
 
     def log_odds(self, votes: np.ndarray) -> np.ndarray:
-        by_rule = np.log(self.chance[:, 1]) - np.log(self.chance[:, 0])
         odds = np.log(self.prior) - np.log1p(-self.prior)
-        return odds + by_rule[np.arange(votes.shape[1]), votes + 1].sum(axis=1)
+        return odds + self.weights()[np.arange(votes.shape[1]), votes + 1].sum(axis=1)
+
+    def weights(self) -> np.ndarray:
+        """What each vote adds to the log-odds of good; abstaining adds nothing."""
+        out = np.log(self.chance[:, 1]) - np.log(self.chance[:, 0])
+        out[:, 1] = 0
+        return out
 
 
-def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 200, tolerance: float = 1e-9) -> LabelModel:
+def fit(
+    votes: np.ndarray, counts: np.ndarray, floor: float = 0.8, rounds: int = 500, tolerance: float = 1e-9
+) -> LabelModel:
     """EM over vote patterns (patterns x rules) and how often each occurs.
 
-    Starts from rules that are right three times in four when they vote, and adds
-    one pseudo-count to each cell, so no probability becomes 0.
+    The one assumption is that of weak supervision: rules that vote are more often
+    right than wrong, here at least in a share `floor` of their votes. A maximisation
+    step that would fall below it is moved back to it; without that, EM takes the most
+    frequent kind of bad text for the whole class. Masses are smoothed by one.
     """
     size = votes.shape[1]
-    chance = np.tile(np.array([[0.5, 0.3, 0.2], [0.2, 0.3, 0.5]]), (size, 1, 1))
-    model = LabelModel(0.7, chance)
+    model = LabelModel(0.9, np.tile(np.array([[0.3, 0.5, 0.2], [0.01, 0.69, 0.3]]), (size, 1, 1)))
     if not counts.sum():
         return model
     marks = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
     for _ in range(rounds):
         good = 1 / (1 + np.exp(-np.clip(model.log_odds(votes), -500, 500)))
         weight = np.stack([counts * (1 - good), counts * good])
-        chance = np.einsum("cp,prv->rcv", weight, marks) + 1
+        mass = np.einsum("cp,prv->rcv", weight, marks)
+        total = weight.sum(axis=1)
+        chance = np.empty_like(mass)
+        for place, right in ((0, 0), (2, 1)):
+            cast = mass[:, :, place].sum(axis=1)
+            sure = np.maximum(mass[:, right, place], floor * cast)
+            chance[:, right, place] = (sure + 1) / (total[right] + 3)
+            chance[:, 1 - right, place] = (cast - sure + 1) / (total[1 - right] + 3)
+        chance[:, :, 1] = np.maximum(1 - chance[:, :, 0] - chance[:, :, 2], 1e-3)
         chance /= chance.sum(axis=2, keepdims=True)
-        new = LabelModel(float((weight[1].sum() + 1) / (counts.sum() + 2)), chance)
+        new = LabelModel(float((total[1] + 1) / (counts.sum() + 2)), chance)
         moved = max(abs(new.prior - model.prior), float(np.abs(new.chance - model.chance).max()))
         model = new
         if moved < tolerance:
@@ -188,7 +207,7 @@ def weak_quality(
     votes = np.array([[r[n] for n in names] for r in found], dtype=np.int64).reshape(-1, len(names))
     order = np.lexsort(votes.T) if len(votes) else np.zeros(0, np.int64)
     model = fit(votes[order], np.array([r["n"] for r in found], dtype=float)[order])
-    by_vote = np.log(model.chance[:, 1]) - np.log(model.chance[:, 0])
+    by_vote = model.weights()
     odds = F.lit(float(np.log(model.prior) - np.log1p(-model.prior)))
     for k, name in enumerate(names):
         bad, none, good = (float(x) for x in by_vote[k])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridelake.llm import quality_rules, token_counts
+from ridelake.llm import quality_nbsvm, quality_rules, token_counts, toxicity_cnn
 from ridelake.llm.common import table
 
 
@@ -16,6 +16,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_nbsvm.op1_quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op5_quality_rules(table(spark, sf_dir, "documents"))
 
@@ -24,11 +28,17 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op7_token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_cnn.op9_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_quality_classifier,
         op5_quality_rules,
         op7_token_counts,
+        op9_toxicity,
     )
 }
 
