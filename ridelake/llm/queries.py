@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridelake.llm import quality_nbsvm, quality_rules, token_counts, toxicity_cnn
+from ridelake.llm import chat_format, quality_nbsvm, quality_rules, token_counts, toxicity_cnn
 from ridelake.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op7_token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.op8_chat_format(spark, table(spark, sf_dir, "conversations"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_cnn.op9_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,8 +42,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_classifier,
         op5_quality_rules,
         op7_token_counts,
+        op8_chat_format,
         op9_toxicity,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_chat_format": chat_format.ORACLE}
