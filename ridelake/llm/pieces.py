@@ -15,6 +15,40 @@ from ridelake.llm.common import codepoints, span_hashes
 MARK = "▁"
 
 
+class Table:
+    """A fixed map of numbers (0 or more) to numbers, looked up by arrays: -1 for unknown keys."""
+
+    def __init__(self, pairs: dict[int, int]):
+        keys = np.fromiter(pairs.keys(), np.int64, len(pairs))
+        self.shift = np.uint64(64 - max(10, int(4 * len(pairs)).bit_length()))
+        slots = 1 << int(64 - self.shift)
+        self.keys, self.values = np.full(slots + 64, -2, np.int64), np.full(slots + 64, -1, np.int32)
+        self.probes = 1
+        for key, slot in zip(keys.tolist(), self._slot(keys).tolist(), strict=True):
+            step = 0
+            while self.keys[slot + step] != -2:
+                step += 1
+            self.keys[slot + step], self.values[slot + step] = key, pairs[key]
+            self.probes = max(self.probes, step + 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __getitem__(self, key: np.ndarray) -> np.ndarray:
+        slot = self._slot(key)
+        found = self.keys[slot]
+        out = np.where(found == key, self.values[slot], np.int32(-1))
+        left = np.flatnonzero((found != key) & (found != -2))
+        for step in range(1, self.probes):
+            if not len(left):
+                break
+            found = self.keys[slot[left] + step]
+            hit = found == key[left]
+            out[left[hit]] = self.values[slot[left[hit]] + step]
+            left = left[~hit & (found != -2)]
+        return out
+
+
 class Vocabulary:
     def __init__(self, path: str):
         import sentencepiece
@@ -45,7 +79,8 @@ class Vocabulary:
             for k in range(1, len(p))
             if p[:k] in self.id_of and p[k:] in self.id_of
         ]
-        self._place_pairs(np.array(pairs, np.int64).reshape(-1, 2))
+        self.pair_dict = dict(pairs)
+        self.pairs = Table(self.pair_dict)
         inner = {c for p in self.id_of if len(p) > 1 for c in p}
         #: ASCII bytes that no piece of two or more characters holds.
         self.alone = np.array([b < 128 and chr(b) not in inner for b in range(256)])
@@ -60,44 +95,11 @@ class Vocabulary:
         ids[wide] = np.where(self.points[place] == point[wide], self.point_ids[place], -1)
         return ids, at, np.diff(np.append(at, len(data)))
 
-    def _place_pairs(self, pairs: np.ndarray) -> None:
-        """An open-addressed table of the pairs that make a piece."""
-        self.shift = np.uint64(64 - max(10, int(4 * len(pairs)).bit_length()))
-        slots = 1 << int(64 - self.shift)
-        keys, made = np.full(slots + 64, -2, np.int64), np.full(slots + 64, -1, np.int32)
-        self.probes, self._pairs = 1, {}
-        for key, slot, piece in zip(pairs[:, 0], self._slot(pairs[:, 0]), pairs[:, 1], strict=True):
-            step = 0
-            while keys[slot + step] != -2:
-                step += 1
-            keys[slot + step], made[slot + step] = key, piece
-            self.probes = max(self.probes, step + 1)
-        self.pair_keys, self.pair_ids = keys, made
-
-    def pair_dict(self) -> dict[int, int]:
-        if not self._pairs:
-            self._pairs = {int(k): int(i) for k, i in zip(self.pair_keys, self.pair_ids, strict=True) if i >= 0}
-        return self._pairs
-
-    def _slot(self, key: np.ndarray) -> np.ndarray:
-        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ids of the pieces that pairs make, -1 where they make none."""
         key = left.astype(np.int64) * self.size + right
         key[(left < 0) | (right < 0)] = -1
-        slot = self._slot(key)
-        found = self.pair_keys[slot]
-        out = np.where(found == key, self.pair_ids[slot], np.int32(-1))
-        open_ = np.flatnonzero((found != key) & (found != -2))
-        for step in range(1, self.probes):
-            if not len(open_):
-                break
-            found = self.pair_keys[slot[open_] + step]
-            hit = found == key[open_]
-            out[open_[hit]] = self.pair_ids[slot[open_[hit]] + step]
-            open_ = open_[~hit & (found != -2)]
-        return out
+        return self.pairs[key]
 
 
 @lru_cache(maxsize=2)

@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridelake.llm import chat_format, quality_nbsvm, quality_rules, token_counts, toxicity_cnn
+from ridelake.llm import (
+    chat_format,
+    piece_sampling,
+    quality_nbsvm,
+    quality_rules,
+    token_counts,
+    token_output,
+    toxicity_cnn,
+)
 from ridelake.llm.common import table
 
 
@@ -20,6 +28,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_nbsvm.op1_quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.op2_sentencepiece(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op5_quality_rules(table(spark, sf_dir, "documents"))
 
@@ -36,14 +48,20 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_cnn.op9_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.op10_token_output(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier,
+        op2_sentencepiece,
         op5_quality_rules,
         op7_token_counts,
         op8_chat_format,
         op9_toxicity,
+        op10_token_output,
     )
 }
 

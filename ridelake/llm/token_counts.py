@@ -55,7 +55,7 @@ def one_by_one(words: Vocabulary, symbols: np.ndarray) -> tuple[list[int], list[
     """(symbols, places) of one sequence merged with a heap of pairs by rank and place."""
     pieces, size = symbols.tolist(), words.size
     after, before = list(range(1, len(pieces) + 1)), list(range(-1, len(pieces) - 1))
-    made_by = words.pair_dict()
+    made_by = words.pair_dict
     heap: list[tuple[int, int, int, int]] = []
 
     def offer(left: int, right: int) -> None:
