@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ridelake.llm import (
     chat_format,
+    decontamination,
     piece_sampling,
     quality_nbsvm,
     quality_rules,
@@ -32,6 +33,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.op2_sentencepiece(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.op4_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op5_quality_rules(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_classifier,
         op2_sentencepiece,
+        op4_decontamination,
         op5_quality_rules,
         op7_token_counts,
         op8_chat_format,
