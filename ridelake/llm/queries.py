@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ridelake.llm import (
     chat_format,
     decontamination,
+    pii_crf,
     piece_sampling,
     quality_nbsvm,
     quality_rules,
@@ -41,6 +42,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op5_quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.op6_pii(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op7_token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_sentencepiece,
         op4_decontamination,
         op5_quality_rules,
+        op6_pii,
         op7_token_counts,
         op8_chat_format,
         op9_toxicity,
