@@ -277,6 +277,39 @@ def decode(encoded_: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return encoded_.select(key, "ids").mapInArrow(run, f"`{key}` {encoded_.schema[key].dataType.simpleString()}, text string")
 
 
+def encoded_documents(docs: DataFrame, path: str, seed: int = 0, theta: float = 1.0) -> DataFrame:
+    """(doc_id, lang, source, n_pieces, ids, lossless): documents as sampled piece ids.
+
+    lossless: whether the ids, decoded again, gave the text back.
+    """
+    ready(docs.sparkSession)
+    source = docs.select(
+        "doc_id", "lang", "source", F.col("text").cast("string").alias("text"), row_keys(F.col("doc_id"), seed).alias("row_key")
+    )
+
+    def run(batches):
+        model = lattice(path, theta)
+        for batch in batches:
+            for low, high, data, offsets, ids, at in blocks(batch, model):
+                flat, borders = decoded(model, ids, at)
+                same = np.diff(borders) == np.diff(offsets)
+                if len(flat) == len(data):
+                    wrong = np.flatnonzero(flat != data)
+                    same[np.searchsorted(offsets, wrong, "right") - 1] = False
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(low, high - low) for c in range(3)),
+                        pa.array(np.diff(at)),
+                        pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids)),
+                        pa.array(same),
+                    ],
+                    names=["doc_id", "lang", "source", "n_pieces", "ids", "lossless"],
+                )
+
+    kept = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", "lang", "source"))
+    return source.mapInArrow(run, f"{kept}, n_pieces long, ids array<int>, lossless boolean")
+
+
 DIGEST = "n_pieces long, ids_sha256 string, decoded_sha256 string, lossless boolean"
 
 

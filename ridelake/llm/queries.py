@@ -13,6 +13,7 @@ from ridelake.llm import (
     piece_sampling,
     quality_nbsvm,
     quality_rules,
+    shingle_join,
     token_counts,
     token_output,
     toxicity_cnn,
@@ -34,6 +35,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.op2_sentencepiece(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.op3_ngram_jaccard(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.op4_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_classifier,
         op2_sentencepiece,
+        op3_ngram_jaccard,
         op4_decontamination,
         op5_quality_rules,
         op6_pii,
