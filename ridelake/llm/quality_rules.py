@@ -66,13 +66,13 @@ def line_counts(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tu
     breaks = np.flatnonzero(data == 10)
     starts = np.unique(np.concatenate((offsets[:-1], breaks + 1)))
     starts = starts[starts < len(data)]
+    row = np.searchsorted(offsets, starts, "right") - 1
     # A line ends at its break or at the end of its text.
-    limits = np.unique(np.concatenate((offsets[1:], breaks)))
-    ends = limits[np.searchsorted(limits, starts)]
+    limits = np.append(breaks, len(data))
+    ends = np.minimum(limits[np.searchsorted(breaks, starts)], offsets[row + 1])
     worded = np.concatenate(([0], np.cumsum(inside, dtype=np.int64)))
     some = worded[ends] > worded[starts]
-    starts, ends = starts[some], ends[some]
-    row = np.searchsorted(offsets, starts, "right") - 1
+    starts, ends, row = starts[some], ends[some], row[some]
     rows = len(offsets) - 1
     count = np.bincount(row, minlength=rows)
     _, first = np.unique(in_rows(span_hashes(data, starts, ends), row), return_index=True)
