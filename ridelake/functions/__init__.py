@@ -5,11 +5,10 @@ from ridelake.functions.numbers import (
     clamp,
     exact_mean,
     exact_total,
-    from_units,
+    measure,
     parse_double,
     parse_int,
     rounded_mean,
-    to_units,
 )
 from ridelake.functions.text import (
     is_email,
@@ -34,13 +33,13 @@ __all__ = [
     "clamp",
     "exact_mean",
     "exact_total",
-    "from_units",
     "has_zone",
     "haversine_km",
     "is_email",
     "is_phone",
     "is_present",
     "iso_timestamp",
+    "measure",
     "or_default",
     "parse_double",
     "parse_int",
@@ -48,5 +47,4 @@ __all__ = [
     "rounded_mean",
     "strip",
     "tidy",
-    "to_units",
 ]

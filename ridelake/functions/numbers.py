@@ -1,9 +1,9 @@
 """Numbers: parsing, clamping and sums that do not depend on row order.
 
-Adding doubles gives a result that changes with the order of the rows, hence
-with the partitioning. Measures are declared with two decimals, so they are
-added as whole hundredths in a bigint and converted once at the end. `scale`
-widens that for data with more decimals.
+Adding doubles gives a result that changes with the order of the rows, hence with the
+partitioning. Measures are therefore added as decimals with twelve places, and rounded,
+if at all, once at the end. A value that no such decimal holds (infinite, or 1e26 and
+more) makes its own group's sum the plain sum of doubles, and no other group's.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALE = 2
+EXACT = "decimal(38,12)"
 
 
 def parse_double(c: Column) -> Column:
@@ -38,36 +38,38 @@ def clamp(c: Column, low, high=None) -> Column:
     return F.when(F.isnan(c), F.lit(low)).when(c.isNotNull(), out)
 
 
-def to_units(c: Column, scale: int = SCALE) -> Column:
-    """`c` as a whole number of 10^-scale units, halves away from zero, NaN as 0."""
+def measure(c: Column) -> Column:
+    """`c` as a double, NaN as 0."""
     x = c.cast("double")
-    size = F.floor(F.abs(x) * F.lit(float(10**scale)) + F.lit(0.5))
-    return F.when(F.isnan(x), F.lit(0)).when(x < 0, -size).otherwise(size).cast("bigint")
+    return F.when(F.isnan(x), F.lit(0.0)).otherwise(x)
 
 
-def from_units(units: Column, scale: int = SCALE) -> Column:
-    return units.cast("double") / F.lit(float(10**scale))
+def _sums(c: Column) -> tuple[Column, Column, Column, Column]:
+    """Aggregates: (exact sum, whether it holds, sum of doubles, number of values)."""
+    x = measure(c)
+    exact = x.try_cast(EXACT)
+    total = F.try_sum(exact)
+    holds = (F.count_if(x.isNotNull() & exact.isNull()) == 0) & total.isNotNull()
+    return total, holds, F.sum(x), F.count(x)
 
 
-def exact_total(c: Column, scale: int = SCALE) -> Column:
-    """Aggregate: order-independent sum of `c`, NULL for no values."""
-    return from_units(F.sum(to_units(c, scale)), scale)
+def exact_total(c: Column, places: int | None = None) -> Column:
+    """Aggregate: sum of `c`, NULL for no values; rounded to `places` if given."""
+    total, holds, plain, _ = _sums(c)
+    if places is not None:
+        total, plain = F.round(total, places), F.round(plain, places)
+    return F.when(holds, total.cast("double")).otherwise(plain)
 
 
-def exact_mean(c: Column, scale: int = SCALE) -> Column:
-    """Aggregate: order-independent unrounded mean of `c`, NULL for no values."""
-    units = to_units(c, scale)
-    return F.sum(units).cast("double") / F.nullif(
-        F.count(units) * F.lit(10**scale), F.lit(0)
-    ).cast("double")
+def exact_mean(c: Column) -> Column:
+    """Aggregate: unrounded mean of `c`, NULL for no values."""
+    return exact_total(c) / F.nullif(F.count(measure(c)), F.lit(0))
 
 
-def rounded_mean(total: Column, n: Column) -> Column:
-    """total / n to a whole number of units, halves away from zero; 0 when n = 0.
-
-    Integer arithmetic throughout, so exact: (2|total| + n) div 2n. Where n is 0
-    the divisor is 2, because ANSI mode refuses a division by zero.
-    """
-    m = F.greatest(n, F.lit(1))
-    size = F.call_function("div", F.abs(total) * 2 + m, m * 2)
-    return F.when(n == 0, F.lit(0)).when(total < 0, -size).otherwise(size)
+def rounded_mean(c: Column, places: int) -> Column:
+    """Aggregate: mean of `c` to `places`, halves away from zero; 0 for no values."""
+    total, holds, plain, n = _sums(c)
+    # ANSI mode refuses a division by zero.
+    some = F.nullif(n, F.lit(0))
+    mean = F.when(holds, F.round(total / some, places).cast("double")).otherwise(F.round(plain / some, places))
+    return F.coalesce(mean, F.lit(0.0))

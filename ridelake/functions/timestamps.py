@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +52,7 @@ def between_dates(df: DataFrame, name: str, low: str, high: str) -> DataFrame:
     """Rows with low <= `name` < high.
 
     Where the table was written with partition columns derived from `name`
-    (`<name>_day`, `<name>_year`), the matching predicate on those is added, so
+    (`<name>_day`, `<name>_year`, `<name>_month`), the matching predicate on those is added, so
     that whole partitions are skipped.
     """
     lo, hi = F.lit(low).cast("date"), F.lit(high).cast("date")
@@ -61,6 +63,13 @@ def between_dates(df: DataFrame, name: str, low: str, high: str) -> DataFrame:
     out = df.filter((when >= lo.cast("timestamp_ntz")) & (when < hi.cast("timestamp_ntz")))
     if f"{name}_day" in df.columns:
         out = out.filter(F.col(f"{name}_day").between(lo, F.date_sub(hi, 1)))
+    first, last = date.fromisoformat(low), date.fromisoformat(high) - timedelta(days=1)
     if f"{name}_year" in df.columns:
-        out = out.filter(F.col(f"{name}_year").between(F.year(lo), F.year(F.date_sub(hi, 1))))
+        year = F.col(f"{name}_year")
+        out = out.filter(year.between(first.year, last.year))
+        if f"{name}_month" in df.columns:
+            # Months are cut at the first and the last year; those between are whole.
+            month = F.col(f"{name}_month")
+            out = out.filter((year > first.year) | (month >= first.month))
+            out = out.filter((year < last.year) | (month <= last.month))
     return out

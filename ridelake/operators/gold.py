@@ -1,9 +1,10 @@
 """Gold aggregates.
 
-Every aggregate is one partial + final hash aggregation over bigint buffers, so
-a hot group costs one row per map task in the shuffle and the totals do not
-depend on row order. Dimension joins come after the aggregation, where the keys
-are unique.
+Totals are exact sums (see `functions.numbers`), so they do not depend on row order;
+they are rounded once, after the sum, in the daily metrics and not at all elsewhere.
+Each aggregate is one partial and final hash aggregation: a hot group costs one row per
+map task in the shuffle. Dimension joins come after the aggregation, where the keys are
+unique; a join on one column of a two-column key shuffles the aggregated rows again.
 """
 
 from __future__ import annotations
@@ -17,13 +18,10 @@ from ridelake.functions import (
     as_date,
     exact_mean,
     exact_total,
-    from_units,
     or_default,
     rounded_mean,
     strip,
-    to_units,
 )
-from ridelake.functions.numbers import SCALE
 
 COMPLETED = "completed"
 
@@ -32,7 +30,6 @@ def ride_daily_metrics(
     rides: DataFrame,
     time: str = "request_timestamp",
     city: str = "pickup_city",
-    scale: int = SCALE,
 ) -> DataFrame:
     """Per day and pickup city: ride counts, and totals and means of completed rides.
 
@@ -42,9 +39,7 @@ def ride_daily_metrics(
     with an unreadable duration to fare and distance only.
     """
     done = F.col("ride_status").eqNullSafe(COMPLETED)
-    fare = to_units(F.col("fare_amount"), scale)
-    km = to_units(F.col("distance_km"), scale)
-    minutes = F.col("duration_minutes").cast("bigint") * 10**scale
+    fare, km, minutes = (F.col(c) for c in ("fare_amount", "distance_km", "duration_minutes"))
     with_fare = done & F.col("fare_amount").isNotNull()
     with_km = with_fare & F.col("distance_km").isNotNull()
     with_minutes = with_km & F.col("duration_minutes").isNotNull()
@@ -59,28 +54,14 @@ def ride_daily_metrics(
     sums = rows.groupBy("date", "city").agg(
         F.count(F.lit(1)).alias("total_rides"),
         F.count_if("done").alias("completed_rides"),
-        *(F.sum(m).alias(f"{m}_sum") for m in ("fare", "km", "minutes")),
-        *(F.count(m).alias(f"{m}_n") for m in ("fare", "km", "minutes")),
-    )
-
-    def total(m: str) -> Column:
-        return F.coalesce(from_units(F.col(f"{m}_sum"), scale), F.lit(0.0))
-
-    def mean(m: str) -> Column:
-        return from_units(rounded_mean(F.col(f"{m}_sum"), F.col(f"{m}_n")), scale)
-
-    return sums.select(
-        "date",
-        "city",
-        "total_rides",
-        "completed_rides",
-        (F.col("total_rides") - F.col("completed_rides")).alias("cancelled_rides"),
-        total("km").alias("total_distance_km"),
-        total("fare").alias("total_revenue"),
-        mean("fare").alias("avg_fare"),
-        mean("km").alias("avg_distance_km"),
-        mean("minutes").alias("avg_duration_minutes"),
+        F.coalesce(exact_total(F.col("km"), 2), F.lit(0.0)).alias("total_distance_km"),
+        F.coalesce(exact_total(F.col("fare"), 2), F.lit(0.0)).alias("total_revenue"),
+        rounded_mean(F.col("fare"), 2).alias("avg_fare"),
+        rounded_mean(F.col("km"), 2).alias("avg_distance_km"),
+        rounded_mean(F.col("minutes"), 2).alias("avg_duration_minutes"),
     )
+    cancelled = (F.col("total_rides") - F.col("completed_rides")).alias("cancelled_rides")
+    return sums.select(*sums.columns[:4], cancelled, *sums.columns[4:])
 
 
 def city_metrics(rides: DataFrame, **names) -> DataFrame:
@@ -111,15 +92,13 @@ def driver_daily_metrics(
     drivers: DataFrame,
     time: str = "request_timestamp",
     order: Sequence[str] = (),
-    scale: int = SCALE,
 ) -> DataFrame:
     """Per day and driver with a completed ride: count, totals and the rating.
 
     A ride with an unreadable distance counts but adds to no total, one with an
     unreadable fare adds its distance. Drivers without a rating get 0.
     """
-    km = to_units(F.col("distance_km"), scale)
-    fare = to_units(F.col("fare_amount"), scale)
+    km, fare = F.col("distance_km"), F.col("fare_amount")
     rows = (
         rides.filter(F.col("ride_status") == COMPLETED)
         .select(
@@ -132,8 +111,8 @@ def driver_daily_metrics(
     )
     sums = rows.groupBy("date", "driver_id").agg(
         F.count(F.lit(1)).alias("completed_rides"),
-        F.coalesce(from_units(F.sum("km"), scale), F.lit(0.0)).alias("total_distance_km"),
-        F.coalesce(from_units(F.sum("fare"), scale), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(exact_total(F.col("km"), 2), F.lit(0.0)).alias("total_distance_km"),
+        F.coalesce(exact_total(F.col("fare"), 2), F.lit(0.0)).alias("total_revenue"),
     )
     ratings = rating_lookup(drivers, order=order)
     return sums.join(ratings, "driver_id", "left").select(
@@ -146,11 +125,11 @@ def driver_daily_metrics(
     )
 
 
-def daily_rides(rides: DataFrame, time: str = "request_timestamp", scale: int = SCALE) -> DataFrame:
+def daily_rides(rides: DataFrame, time: str = "request_timestamp") -> DataFrame:
     """Per day: ride count and mean fare."""
     return rides.groupBy(as_date(rides, time).alias("request_date")).agg(
         F.count("ride_id").alias("total_rides"),
-        exact_mean(F.col("fare_amount"), scale).alias("avg_fare"),
+        exact_mean(F.col("fare_amount")).alias("avg_fare"),
     )
 
 
@@ -158,20 +137,17 @@ def daily_city_rides(
     rides: DataFrame,
     time: str = "request_timestamp",
     city: str = "pickup_city",
-    scale: int = SCALE,
 ) -> DataFrame:
     """Per day and city: ride count, completed rides, mean fare, total distance."""
     return rides.groupBy(as_date(rides, time).alias("request_date"), city).agg(
         F.count("ride_id").alias("total_rides"),
-        F.sum(F.when(F.col("ride_status") == COMPLETED, 1).otherwise(0)).alias("completed_rides"),
-        exact_mean(F.col("fare_amount"), scale).alias("avg_fare"),
-        exact_total(F.col("distance_km"), scale).alias("total_distance_km"),
+        F.count_if(F.col("ride_status") == COMPLETED).alias("completed_rides"),
+        exact_mean(F.col("fare_amount")).alias("avg_fare"),
+        exact_total(F.col("distance_km")).alias("total_distance_km"),
     )
 
 
-def driver_performance(
-    rides: DataFrame, drivers: DataFrame | None = None, scale: int = SCALE
-) -> DataFrame:
+def driver_performance(rides: DataFrame, drivers: DataFrame | None = None) -> DataFrame:
     """Per driver: completed rides, revenue and mean fare; with `drivers`, the rating.
 
     `drivers` is expected to hold each driver once, as silver does.
@@ -181,8 +157,8 @@ def driver_performance(
         .groupBy("driver_id")
         .agg(
             F.count("ride_id").alias("completed_rides"),
-            exact_total(F.col("fare_amount"), scale).alias("total_revenue"),
-            exact_mean(F.col("fare_amount"), scale).alias("avg_fare"),
+            exact_total(F.col("fare_amount")).alias("total_revenue"),
+            exact_mean(F.col("fare_amount")).alias("avg_fare"),
         )
     )
     if drivers is None:
@@ -190,14 +166,12 @@ def driver_performance(
     return out.join(drivers.select("driver_id", "rating"), "driver_id", "left")
 
 
-def passenger_activity(
-    rides: DataFrame, passengers: DataFrame | None = None, scale: int = SCALE
-) -> DataFrame:
+def passenger_activity(rides: DataFrame, passengers: DataFrame | None = None) -> DataFrame:
     """Per passenger: rides, spend and mean fare; with `passengers`, city and status."""
     out = rides.groupBy("passenger_id").agg(
         F.count("ride_id").alias("total_rides"),
-        exact_total(F.col("fare_amount"), scale).alias("total_spent"),
-        exact_mean(F.col("fare_amount"), scale).alias("avg_fare"),
+        exact_total(F.col("fare_amount")).alias("total_spent"),
+        exact_mean(F.col("fare_amount")).alias("avg_fare"),
     )
     if passengers is None:
         return out

@@ -6,7 +6,6 @@ the domain views, which give both sides the same input.
 
 from __future__ import annotations
 
-from ridelake.functions.text import BLANKS
 from ridelake.sources.star_schema import with_views
 
 ISO = (
@@ -15,6 +14,13 @@ ISO = (
 )
 
 
+# Characters that count as blank, by code point.
+BLANKS = "".join(
+    chr(c)
+    for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+)
+
+
 # --- scalar snippets -------------------------------------------------------
 
 
@@ -38,22 +44,36 @@ def _tidy(x: str) -> str:
 
 
 def _units(x: str) -> str:
-    return f"CAST(ROUND({x} * 100) AS BIGINT)"
+    """Whole 10^-12 units of a number by its decimal text; NULL if it has none in range."""
+    text = f"CAST(TRY_CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 12)) AS VARCHAR)"
+    return f"CAST(REPLACE({text}, '.', '') AS HUGEINT)"
+
+
+def _plain(x: str) -> str:
+    """Whether every value has units."""
+    return f"COUNT({x}) = COUNT({_units(x)})"
 
 
 def _total(x: str) -> str:
-    return f"CAST(CAST(SUM({_units(x)}) AS BIGINT) AS DOUBLE) / 100"
+    return (
+        f"CASE WHEN {_plain(x)} THEN CAST(CAST(SUM({_units(x)}) AS VARCHAR) || 'e-12' AS DOUBLE) "
+        f"ELSE SUM(CAST({x} AS DOUBLE)) END"
+    )
 
 
 def _mean(x: str) -> str:
-    return f"CAST(CAST(SUM({_units(x)}) AS BIGINT) AS DOUBLE) / CAST(COUNT({x}) * 100 AS DOUBLE)"
+    return f"({_total(x)}) / NULLIF(COUNT({x}), 0)"
 
 
-def _half_up(total: str, n: str) -> str:
-    size = f"((abs({total}) * 2 + {n}) // ({n} * 2))"
+def _rounded(x: str, n: str) -> str:
+    """SUM({x}) / n in whole hundredths, halves away from zero, by integers."""
+    total, step = f"SUM({_units(x)})", f"(CAST({n} AS HUGEINT) * 10000000000)"
+    size = f"((abs({total}) * 2 + {step}) // ({step} * 2))"
+    cents = f"CASE WHEN {total} < 0 THEN -{size} ELSE {size} END"
     return (
-        f"CASE WHEN {n} = 0 THEN 0.0 ELSE "
-        f"CAST(CASE WHEN {total} < 0 THEN -{size} ELSE {size} END AS DOUBLE) / 100 END"
+        f"COALESCE(CASE WHEN {n} = 0 THEN 0.0 "
+        f"WHEN {_plain(x)} THEN CAST(CAST({cents} AS VARCHAR) || 'e-2' AS DOUBLE) "
+        f"ELSE ROUND(SUM(CAST({x} AS DOUBLE)) / {n}, 2) END, 0.0)"
     )
 
 
@@ -414,26 +434,24 @@ def _daily(source: str, date: str) -> str:
     done = "ride_status = 'completed'"
     return f"""
 SELECT date, city, total_rides, completed_rides, total_rides - completed_rides AS cancelled_rides,
-       CAST(COALESCE(km, 0) AS DOUBLE) / 100 AS total_distance_km,
-       CAST(COALESCE(fare, 0) AS DOUBLE) / 100 AS total_revenue,
-       {_half_up("fare", "fare_n")} AS avg_fare,
-       {_half_up("km", "km_n")} AS avg_distance_km,
-       {_half_up("minutes", "minutes_n")} AS avg_duration_minutes
+       total_distance_km, total_revenue, avg_fare, avg_distance_km, avg_duration_minutes
 FROM (
   SELECT date, city, COUNT(*) AS total_rides,
          COUNT(*) FILTER (WHERE {done}) AS completed_rides,
-         CAST(SUM(f) AS BIGINT) AS fare, COUNT(f) AS fare_n,
-         CAST(SUM(k) AS BIGINT) AS km, COUNT(k) AS km_n,
-         CAST(SUM(m) AS BIGINT) AS minutes, COUNT(m) AS minutes_n
+         {_rounded("k", "1")} AS total_distance_km,
+         {_rounded("f", "1")} AS total_revenue,
+         {_rounded("f", "COUNT(f)")} AS avg_fare,
+         {_rounded("k", "COUNT(k)")} AS avg_distance_km,
+         {_rounded("m", "COUNT(m)")} AS avg_duration_minutes
   FROM (
     SELECT {date} AS date,
            trim(CASE WHEN pickup_city IS NULL OR pickup_city = '' THEN 'Unknown'
                      ELSE pickup_city END, '{BLANKS}') AS city,
            ride_status,
-           CASE WHEN {done} THEN {_units("fare_amount")} END AS f,
-           CASE WHEN {done} AND fare_amount IS NOT NULL THEN {_units("distance_km")} END AS k,
+           CASE WHEN {done} THEN fare_amount END AS f,
+           CASE WHEN {done} AND fare_amount IS NOT NULL THEN distance_km END AS k,
            CASE WHEN {done} AND fare_amount IS NOT NULL AND distance_km IS NOT NULL
-                THEN duration_minutes * 100 END AS m
+                THEN duration_minutes END AS m
     FROM {source}
   ) r WHERE date IS NOT NULL GROUP BY date, city
 ) g"""
@@ -449,8 +467,8 @@ SELECT g.date, g.driver_id, completed_rides, total_distance_km, total_revenue,
        COALESCE(CAST(d.rating AS DOUBLE), 0.0) AS avg_rating
 FROM (
   SELECT date, driver_id, COUNT(*) AS completed_rides,
-         COALESCE({_total("distance_km")}, 0.0) AS total_distance_km,
-         COALESCE({_total("fare")}, 0.0) AS total_revenue
+         {_rounded("distance_km", "1")} AS total_distance_km,
+         {_rounded("fare", "1")} AS total_revenue
   FROM (SELECT {date} AS date, driver_id, distance_km,
                CASE WHEN distance_km IS NOT NULL THEN fare_amount END AS fare
         FROM {rides} WHERE ride_status = 'completed') r
@@ -647,17 +665,17 @@ def oracle_sql(ride_bounds: dict[str, tuple[float, float]]) -> dict[str, str]:
             "raw_ride",
         ),
         "fk_ride_passenger": (
-            _violations("passenger_id", "ride", _refined_passenger("passenger")),
+            _violations("passenger_id", "ride", "SELECT passenger_id FROM passenger"),
             "ride",
             "passenger",
         ),
         "fk_ride_driver": (
-            _violations("driver_id", "ride", _refined_driver("driver")),
+            _violations("driver_id", "ride", "SELECT driver_id FROM driver"),
             "ride",
             "driver",
         ),
         "fk_ride_vehicle": (
-            _violations("vehicle_id", "ride", _refined_vehicle("vehicle")),
+            _violations("vehicle_id", "ride", "SELECT vehicle_id FROM vehicle"),
             "ride",
             "vehicle",
         ),

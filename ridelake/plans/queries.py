@@ -206,23 +206,9 @@ def parsed_times(spark, sf_dir):
     )
 
 
-def fk_ride_passenger(spark, sf_dir):
-    return fk_violations(
-        load(spark, sf_dir, "ride"),
-        "passenger_id",
-        REFINE["passenger"](load(spark, sf_dir, "passenger")),
-    )
-
-
-def fk_ride_driver(spark, sf_dir):
-    return fk_violations(
-        load(spark, sf_dir, "ride"), "driver_id", REFINE["driver"](load(spark, sf_dir, "driver"))
-    )
-
-
-def fk_ride_vehicle(spark, sf_dir):
-    return fk_violations(
-        load(spark, sf_dir, "ride"), "vehicle_id", REFINE["vehicle"](load(spark, sf_dir, "vehicle"))
+def _fk_ride(parent: str) -> Query:
+    return lambda spark, sf_dir: fk_violations(
+        load(spark, sf_dir, "ride"), f"{parent}_id", load(spark, sf_dir, parent)
     )
 
 
@@ -379,9 +365,7 @@ QUERIES: dict[str, Query] = {
     "quarantined_rides": quarantined_rides,
     "quarantine_from_files": quarantine_from_files,
     "quarantine_counts": quarantine_counts,
-    "fk_ride_passenger": fk_ride_passenger,
-    "fk_ride_driver": fk_ride_driver,
-    "fk_ride_vehicle": fk_ride_vehicle,
+    **{f"fk_ride_{p}": _fk_ride(p) for p in ("passenger", "driver", "vehicle")},
     "fk_payment_ride": fk_payment_ride,
     "fk_vehicle_driver": fk_vehicle_driver,
     "orphan_payments": orphan_payments,

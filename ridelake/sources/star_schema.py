@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 VIEWS = {
     "ride": """
 SELECT l.l_orderkey * 10 + l.l_linenumber AS ride_id,
-       o.o_custkey AS passenger_id,
-       l.l_suppkey AS driver_id,
-       l.l_partkey AS vehicle_id,
+       CASE WHEN l.l_orderkey % 211 = 5 THEN -o.o_custkey ELSE o.o_custkey END AS passenger_id,
+       CASE WHEN l.l_orderkey % 223 = 5 THEN -l.l_suppkey ELSE l.l_suppkey END AS driver_id,
+       CASE WHEN l.l_partkey % 227 = 5 THEN -l.l_partkey ELSE l.l_partkey END AS vehicle_id,
        l.l_shipdate AS request_timestamp,
        l.l_shipdate + INTERVAL '5' MINUTE AS pickup_timestamp,
        l.l_shipdate + INTERVAL '5' MINUTE
@@ -33,7 +33,7 @@ SELECT l.l_orderkey * 10 + l.l_linenumber AS ride_id,
          + CAST(l.l_partkey % 90 AS DOUBLE) / 1000 AS dropoff_longitude,
        pn.n_name AS pickup_city,
        dn.n_name AS dropoff_city,
-       l.l_quantity AS distance_km,
+       l.l_quantity + CAST(l.l_partkey % 4096 AS DOUBLE) / 4096 AS distance_km,
        CAST(l.l_quantity AS INT) AS duration_minutes,
        l.l_extendedprice AS fare_amount,
        'USD' AS currency,
@@ -97,7 +97,7 @@ FROM {part} p
     "payment": """
 SELECT e.event_id AS payment_id,
        e.event_id AS ride_id,
-       SUBSTRING(CAST(e.ts AS STRING), 1, 19) AS payment_timestamp,
+       CAST(e.ts AS STRING) AS payment_timestamp,
        CASE e.user_id % 3 WHEN 0 THEN 'Cash' WHEN 1 THEN 'credit_card'
             ELSE ' digital_wallet' END AS payment_method,
        CASE WHEN e.event_id % 29 = 0 THEN -e.value ELSE e.value END AS amount,
@@ -149,6 +149,9 @@ SELECT CASE WHEN ride_id % 127 = 7 THEN NULL
        CASE WHEN ride_id % 37 = 1 THEN 'n/a'
             WHEN ride_id % 41 = 2 THEN NULL
             WHEN ride_id % 43 = 3 THEN '-' || CAST(fare_amount AS STRING)
+            WHEN ride_id % 499 = 7 THEN 'Infinity'
+            WHEN ride_id % 503 = 9 THEN '1e17'
+            WHEN ride_id % 509 = 11 THEN '1e308'
             ELSE CAST(fare_amount AS STRING) END AS fare_amount,
        CASE WHEN ride_id % 61 = 1 THEN NULL WHEN ride_id % 61 = 2 THEN ''
             WHEN ride_id % 61 = 3 THEN 'eur' ELSE currency END AS currency,
@@ -216,28 +219,11 @@ def sources_of(name: str) -> list[str]:
     return list(dict.fromkeys(f for _, f, _, _ in Formatter().parse(VIEWS[name]) if f))
 
 
-# Tables that grow with the number of rides and payments.
-FACTS = ("lineitem", "events")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """`df` over every core, if its files give too few splits for that.
-
-    A file of one row group cannot be split and would keep the costly reading of
-    text records on one core. Larger inputs pass unchanged: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) == 1 else df
-
-
-def load(spark: SparkSession, sf_dir: str, name: str, costly: bool = False) -> DataFrame:
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Table or domain view `name` over the Parquet files in `sf_dir`."""
     if name not in VIEWS:
-        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        return spread(table) if costly and name in FACTS else table
-    costly = costly or name.startswith("raw_")
-    parts = {s: load(spark, sf_dir, s, costly) for s in sources_of(name)}
-    return spark.sql(VIEWS[name], **parts)
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.sql(VIEWS[name], **{s: load(spark, sf_dir, s) for s in sources_of(name)})
 
 
 def with_views(sql: str, *names: str) -> str:

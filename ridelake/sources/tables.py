@@ -96,10 +96,13 @@ def in_partition(df: DataFrame, column: str, *values: str) -> DataFrame:
     return out
 
 
-def list_layer(spark: SparkSession, layer: str) -> DataFrame:
-    """Tables of a layer, that is those named <layer>_*."""
+def list_layer(spark: SparkSession, layer: str, prefix: str = "") -> DataFrame:
+    """Tables of a layer: those named <prefix><layer>_*, where the prefix may begin
+    with a catalog and a database, as in `LayerConfig`."""
+    *place, start = prefix.split(".")
+    where = f" IN {'.'.join(place)}" if place else ""
     return (
-        spark.sql(f"SHOW TABLES LIKE '{layer}_*'")
+        spark.sql(f"SHOW TABLES{where} LIKE '{start}{layer}_*'")
         .filter(~F.col("isTemporary"))
         .select("tableName")
         .orderBy("tableName")

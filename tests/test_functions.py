@@ -112,18 +112,33 @@ def test_parse_int(spark):
     assert column(spark, [3.9, -3.9], "double", R.parse_int) == [3, -3]
 
 
-def test_units(spark):
-    got = column(spark, [1.25, -1.25, 0.07, float("nan"), None], "double", R.to_units)
-    assert got == [125, -125, 7, 0, None]
+def sums(spark, values, *aggregates):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    return tuple(df.agg(*(f(F.col("x")).alias(str(k)) for k, f in enumerate(aggregates))).first())
+
+
+def test_sums_keep_every_digit(spark):
+    assert sums(spark, [1.2345] * 1000, R.exact_total) == (1234.5,)
+    assert sums(spark, [0.004] * 1000, R.exact_total) == (4.0,)
+    assert sums(spark, [1.234, 1.234], R.exact_mean) == (1.234,)
+    assert sums(spark, [0.1] * 10 + [float("nan")], R.exact_total, R.exact_mean) == (1.0, 1.0 / 11)
 
 
 @pytest.mark.parametrize(
-    "total, n, want",
-    [(1, 2, 1), (5, 3, 2), (-5, 3, -2), (-1, 2, -1), (4, 3, 1), (0, 5, 0), (7, 0, 0), (None, 0, 0)],
+    "values, want",
+    [([0.01, 0.0], 0.01), ([-0.01, 0.0], -0.01), ([0.05, 0.0, 0.0], 0.02), ([1.0, 1.0], 1.0), ([None], 0.0), ([], 0.0)],
 )
-def test_rounded_mean(spark, total, n, want):
-    df = spark.createDataFrame([(total, n)], "s bigint, n bigint")
-    assert df.select(R.rounded_mean(F.col("s"), F.col("n"))).first()[0] == want
+def test_rounded_mean(spark, values, want):
+    assert sums(spark, values, lambda c: R.rounded_mean(c, 2)) == (want,)
+
+
+def test_extreme_values_do_not_abort(spark):
+    inf = float("inf")
+    total = [R.exact_total, lambda c: R.exact_total(c, 2), R.exact_mean, lambda c: R.rounded_mean(c, 2)]
+    assert sums(spark, [1.0, inf], *total) == (inf,) * 4
+    assert sums(spark, [1.0, 1e308], *total) == (1e308, 1e308, 5e307, 5e307)
+    assert sums(spark, [1e17, 1e17], *total) == (2e17, 2e17, 1e17, 1e17)
+    assert sums(spark, [9e25] * 20, R.exact_total)[0] == pytest.approx(1.8e27)
 
 
 def test_totals_do_not_depend_on_order(spark):
