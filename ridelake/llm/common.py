@@ -30,8 +30,13 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+#: Arrow batches hold at most this much, whatever the length of the texts.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it; bound batches."""
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     here = spark.sparkContext.environment.get("PYTHONPATH", "")
     if REPO not in here.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{REPO}:{here}" if here else REPO
@@ -42,12 +47,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """`df` written to the shared folder and read again: lineage ends here."""
-    spark = df.sparkSession
-    path = shared_folder(spark)
-    (df if partitions is None else df.repartition(partitions)).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path, compression=compression)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def held_out(doc_id: Column, parts: int, rest: int) -> Column:
@@ -177,7 +181,7 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hashes of `size` successive words; the last size - 1 entries mean nothing."""
     total = hashes * PLACES[0]
     for k in range(1, size):
-        total[: len(hashes) - k] += hashes[k:] * PLACES[k]
+        total[: max(0, len(hashes) - k)] += hashes[k:] * PLACES[k]
     return mixed(total + np.uint64(size))
 
 

@@ -15,9 +15,13 @@ candidate is dropped, sampled or capped.
    text with more of them than its prefix is long can link with none, and leaves here
    (about nine in ten do); for the rest only the shared tokens matter any more.
 3. Prefix filter: linked sets share one of the first n - ceil(0.75 n) + 1 tokens. Texts
-   are first grouped by the first shared token of the prefix alone, which joins most
-   copies of one text. Of all prefix tokens, only those whose texts are in several
-   components yet are looked at again, one token for each distinct list of texts.
+   are first grouped by the first shared token of the prefix and by a min-hash alone,
+   which joins most copies of one text. Of all prefix tokens, only those whose texts are
+   in several components yet are looked at again. Texts that such tokens connect make a
+   group, to which each set is sent once or a few times. Where tokens connect more than
+   `WIDE` * `GROUP` texts, each distinct list of texts of a token is a group instead;
+   there histograms of the sets (an upper bound of the overlap) are sent first, and sets
+   only of the texts that the bound leaves with a partner.
 4. Within a group, sets are stored in a prefix tree in the global order. A traversal
    with one set carries the overlap from the root, shares it between all sets below,
    and leaves a subtree when the tokens left on either side cannot reach the overlap
@@ -49,6 +53,12 @@ from ridelake.llm.components import components
 WORDS = 5
 #: Tokens of a block of texts, bytes of a range of tokens, texts of a group in one task.
 BLOCK, RANGE, GROUP = 1 << 20, 8 << 20, 1024
+#: Groups of connected texts up to this many blocks are compared as one.
+WIDE = 8
+#: A token is sent as this many low bytes of its hash; its range tells the high bits.
+SENT_BYTES = 6
+#: Cells of a histogram of a set; a cell that is full counts as without limit.
+CELLS, FULL = 256, (1 << 16) - 1
 #: A token after counting: class of its frequency in the top bits, then its hash.
 CLASS_BITS = 6
 
@@ -103,19 +113,23 @@ def members(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, f1 long, f2 long")
 
 
-def packed(*arrays: np.ndarray) -> bytes:
-    """Small counts first, compressed, then the rest as it is."""
+def packed(*arrays: np.ndarray, width: int = 8) -> bytes:
+    """Small counts first, compressed, then the low bytes of the rest."""
     head = pa.compress(np.stack(arrays[:-1]).astype("<u4").tobytes(), "zstd", asbytes=True)
     sizes = np.array([len(arrays) - 1, len(arrays[0]), len(head)], "<u8").tobytes()
-    return sizes + head + arrays[-1].astype("<u8").tobytes()
+    numbers = arrays[-1].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return sizes + head + np.ascontiguousarray(numbers).tobytes()
 
 
-def unpacked(payload: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
-    """(rows of counts, numbers)."""
+def unpacked(payload: pa.Scalar, width: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of counts, numbers of `width` bytes)."""
     buffer = payload.as_buffer()
     many, size, head = np.frombuffer(buffer, "<u8", 3).tolist()
     counts = np.frombuffer(pa.decompress(buffer.slice(24, head), 4 * many * size, "zstd"), "<u4").reshape(many, size)
-    return counts.astype(np.int64), np.frombuffer(buffer.slice(24 + head).to_pybytes(), "<u8")
+    low = np.frombuffer(buffer, np.uint8)[24 + head :].reshape(-1, width)
+    numbers = np.zeros((len(low), 8), np.uint8)
+    numbers[:, :width] = low
+    return counts.astype(np.int64), numbers.view("<u8").ravel()
 
 
 SENT = "bin long, block long, directory boolean, payload binary"
@@ -146,7 +160,8 @@ def dealt_tokens(docs: DataFrame, bins: int) -> DataFrame:
         token = token[order]
         some = np.flatnonzero(cuts[1:] > cuts[:-1])
         payload = [
-            packed(np.bincount(text[cuts[k] : cuts[k + 1]], minlength=len(count)), token[cuts[k] : cuts[k + 1]]) for k in some
+            packed(np.bincount(text[cuts[k] : cuts[k + 1]], minlength=len(count)), token[cuts[k] : cuts[k + 1]], width=SENT_BYTES)
+            for k in some
         ]
         payload.append(packed(np.zeros(2 * len(count)), np.concatenate((f1, f2)).view(np.uint64)))
         size = len(payload)
@@ -186,10 +201,11 @@ def counted(table: pa.Table) -> pa.Table:
     out = [table.filter(pa.array(directory)).select(["block", "directory", "payload"])]
     rows = table.filter(pa.array(~directory))
     if rows.num_rows:
-        parts = [unpacked(p) for p in rows["payload"]]
+        parts = [unpacked(p, SENT_BYTES) for p in rows["payload"]]
         token = np.concatenate([p[1] for p in parts])
         _, inverse, count = np.unique(token, return_inverse=True, return_counts=True)
         count = count[inverse]
+        token = mixed(token + np.uint64((int(table["bin"][0].as_py()) << 8 * SENT_BYTES) & (1 << 64) - 1))
         key = (np.log2(np.maximum(count, 1)).astype(np.uint64) << np.uint64(64 - CLASS_BITS)) | (token >> np.uint64(CLASS_BITS))
         shared = count > 1
         payload, low = [], 0
@@ -327,16 +343,19 @@ def links_in(sets: list[np.ndarray], sizes: list[int], label: np.ndarray) -> lis
     return found
 
 
-def group_links(groups: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b): links between the texts of each group; groups: (key, id, component)."""
+def in_blocks(groups: DataFrame) -> DataFrame:
+    """(key, low, high, id, component): groups of two or more as pairs of blocks of texts."""
     sizes = groups.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
     cut = groups.join(sizes, "key").withColumn("blocks", F.ceil(F.col("size") / GROUP))
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     paired = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    paired = paired.select(
-        "key", "id", "component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    return paired.select(
+        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "component"
     )
-    full = paired.join(nodes.select("id", "n", "tokens"), "id")
+
+
+def group_links(groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): links between the texts of each group; groups: (key, id, component)."""
 
     def run(table: pa.Table) -> pa.Table:
         ids, sizes = table["id"].to_numpy(), table["n"].to_pylist()
@@ -346,25 +365,77 @@ def group_links(groups: DataFrame, nodes: DataFrame) -> DataFrame:
         pairs = np.array([(ids[order[a]], ids[order[b]]) for a, b in found], np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
+    full = in_blocks(groups).join(nodes.select("id", "n", "tokens"), "id")
     return full.groupBy("key", "low", "high").applyInArrow(run, "a long, b long")
 
 
+def possible(cells: np.ndarray, n: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Texts that may link with a text of another component: no link passes the bound.
+
+    cells: histograms of the shared tokens; the overlap of two sets is at most the sum
+    of the smaller cells.
+    """
+    cells = cells.astype(np.int64)
+    cells[cells == FULL] = 1 << 40
+    out = np.zeros(len(n), bool)
+    for k in range(len(n)):
+        other = np.flatnonzero((label != label[k]) & (7 * np.minimum(n, n[k]) >= 3 * (n + n[k])))
+        if len(other):
+            most = np.minimum(cells[other], cells[k]).sum(axis=1)
+            near = other[7 * most >= 3 * (n[other] + n[k])]
+            out[near] = True
+            out[k] |= len(near) > 0
+    return out
+
+
+def possible_groups(groups: DataFrame, histograms: DataFrame) -> DataFrame:
+    """Of the rows of `groups`, those whose text the bound leaves with a partner."""
+
+    def run(table: pa.Table) -> pa.Table:
+        cells = np.stack([np.frombuffer(c.as_buffer(), "<u2") for c in table["cells"]])
+        keep = possible(cells, table["n"].to_numpy(), table["component"].to_numpy())
+        return table.select(["key", "id", "component"]).filter(pa.array(keep))
+
+    full = in_blocks(groups).join(histograms, "id")
+    left = full.groupBy("key", "low", "high").applyInArrow(run, "key long, id long, component long")
+    return left.distinct()
+
+
+def histograms(nodes: DataFrame) -> DataFrame:
+    """(id, n, cells): how many shared tokens of each text fall into each cell."""
+
+    def run(batches):
+        for batch in batches:
+            cells = []
+            for payload in batch.column("tokens"):
+                token = np.frombuffer(payload.as_buffer(), "<u8")
+                count = np.bincount((token % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+                cells.append(np.minimum(count, FULL).astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("n"), pa.array(cells, pa.binary())], names=["id", "n", "cells"]
+            )
+
+    return nodes.select("id", "n", "tokens").mapInArrow(run, "id long, n long, cells binary")
+
+
 def prefix_postings(nodes: DataFrame) -> DataFrame:
-    """(token, id, place): the shared tokens of each text's prefix."""
+    """(token, id, place): the shared tokens of each text's prefix.
+
+    Place -1 has a min-hash of all its shared tokens in place of a token.
+    """
 
     def run(batches):
         for batch in batches:
-            tokens, many = [], batch.column("prefix").to_numpy()
-            many = np.minimum(many, [len(t.as_buffer()) // 8 for t in batch.column("tokens")]) if len(many) else many
-            for payload, size in zip(batch.column("tokens"), many, strict=True):
-                tokens.append(np.frombuffer(payload.as_buffer(), "<i8")[:size])
-            place = [np.arange(size) for size in many]
-            none = [np.zeros(0, np.int64)]
+            tokens, many = [np.zeros(0, np.int64)], []
+            for payload, size in zip(batch.column("tokens"), batch.column("prefix").to_pylist(), strict=True):
+                own = np.frombuffer(payload.as_buffer(), "<u8")
+                tokens += [mixed(own ^ np.uint64(0xA4093822299F31D0)).min(keepdims=True).view(np.int64), own[:size].view("<i8")]
+                many.append(1 + min(size, len(own)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(tokens or none).astype(np.int64)),
+                    pa.array(np.concatenate(tokens).astype(np.int64)),
                     pa.array(np.repeat(batch.column("id").to_numpy(), many)),
-                    pa.array(np.concatenate(place or none).astype(np.int64)),
+                    pa.array(np.concatenate([np.zeros(0, np.int64), *(np.arange(-1, size - 1) for size in many)])),
                 ],
                 names=["token", "id", "place"],
             )
@@ -372,6 +443,34 @@ def prefix_postings(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", "prefix", "tokens").mapInArrow(run, "token long, id long, place long")
 
 
+def open_groups(rest: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, id, component): groups that hold each pair of texts to compare.
+
+    rest: (token, id, component, hub) of the tokens whose texts are in several
+    components; hub is one of a token's texts.
+    """
+    connected = components(rest.select(F.col("hub").alias("a"), F.col("id").alias("b")))
+    sizes = connected.groupBy("component").agg(F.count("*").alias("size"))
+    sized = stored(connected.join(sizes, "component").select("id", F.col("component").alias("key"), "size"))
+    labels = rest.select("id", "component").distinct()
+    small = sized.where(F.col("size") <= WIDE * GROUP).join(labels, "id").select("key", "id", "component")
+    large = rest.join(sized.where(F.col("size") > WIDE * GROUP).select("id"), "id")
+    # One token for each distinct list of texts.
+    lists = (
+        large.groupBy("token")
+        .agg(
+            F.count("*").alias("size"),
+            F.bit_xor(F.xxhash64("id")).alias("x"),
+            F.bit_xor(F.xxhash64("id", F.lit("again"))).alias("y"),
+        )
+        .groupBy("size", "x", "y")
+        .agg(F.min("token").alias("token"))
+        .select("token")
+    )
+    listed = large.join(lists, "token").select(F.col("token").alias("key"), "id", "component")
+    return small.unionAll(stored(possible_groups(listed, histograms(nodes))))
+
+
 def similar_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     spark = ready(docs.sparkSession)
@@ -387,27 +486,22 @@ def similar_components(docs: DataFrame) -> DataFrame:
     once = able.groupBy("f1", "f2").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "tokens")))
     nodes = stored(once.join(stands.where(F.col("id").isNotNull()), ["f1", "f2"]).select("id", "n", "prefix", "tokens"))
     postings = stored(prefix_postings(nodes))
-    # Texts by their first prefix token; none is connected yet.
-    first = postings.where(F.col("place") == 0).select(F.col("token").alias("key"), "id", F.col("id").alias("component"))
+    # Texts by their first prefix token, and by their min-hash; none is connected yet.
+    first = postings.where(F.col("place") <= 0).select(F.col("token").alias("key"), "id", F.col("id").alias("component"))
     links = stored(group_links(first, nodes))
     known = components(links)
-    labelled = postings.join(known, "id", "left").select("token", "id", F.coalesce("component", "id").alias("component"))
-    lists = (
+    labelled = (
+        postings.where(F.col("place") >= 0)
+        .join(known, "id", "left")
+        .select("token", "id", F.coalesce("component", "id").alias("component"))
+    )
+    several = (
         labelled.groupBy("token")
-        .agg(
-            F.count("*").alias("size"),
-            F.min("component").alias("least"),
-            F.max("component").alias("most"),
-            F.bit_xor(F.xxhash64("id")).alias("x"),
-            F.bit_xor(F.xxhash64("id", F.lit("again"))).alias("y"),
-        )
+        .agg(F.min("component").alias("least"), F.max("component").alias("most"), F.min("id").alias("hub"))
         .where(F.col("least") != F.col("most"))
-        .groupBy("size", "x", "y")
-        .agg(F.min("token").alias("token"))
-        .select("token")
     )
-    rest = labelled.join(lists, "token").select(F.col("token").alias("key"), "id", "component")
-    more = stored(group_links(rest, nodes))
+    rest = stored(labelled.join(several.select("token", "hub"), "token"))
+    more = stored(group_links(open_groups(rest, nodes), nodes))
     joined = components(links.unionAll(more))
     stand = every.join(stands, ["f1", "f2"], "left").select(
         "doc_id", "n_shingles", F.coalesce("id", F.col("doc_id").cast("long")).alias("id")
