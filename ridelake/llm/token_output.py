@@ -2,7 +2,7 @@
 
 1. Texts are tokenised and packed: the ids of a task's texts, each followed by the end
    mark, are cut into sequences of `length` ids; the last one of a task is padded.
-   Sequences are written once, compressed.
+   Sequences are written once, with a codec that sees many of them together.
 2. A sequence's index is its number within its task plus the number of sequences of
    the tasks before. A keyed Feistel network permutes the indices: walking its cycle
    until the value is below the number of sequences makes it a permutation of exactly
@@ -39,7 +39,7 @@ from ridelake.llm.pieces import MARK, Distinct, gathered, vocabulary
 from ridelake.llm.token_counts import merge
 from ridelake.sources.scratch import shared_folder
 
-LENGTH, PER_SHARD = 2048, 2048
+LENGTH, PER_SHARD = 4096, 1024
 END, PAD = 2, 0
 #: Distinct pre-tokens whose ids a task keeps; that saves time only.
 KNOWN = 1 << 20
@@ -134,7 +134,7 @@ class Packer:
             "number": self.number - 1,
             "n_tokens": len(ids),
             "doc_ids": owners,
-            "tokens": pa.compress(body.tobytes(), "zstd", asbytes=True),
+            "tokens": body.tobytes(),
         }
 
     def rest(self) -> list[dict]:
@@ -154,7 +154,7 @@ ARROW = pa.schema(
 
 
 def sequences(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
-    """Packed sequences (compressed), numbered within their task."""
+    """Packed sequences, numbered within their task."""
     ready(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
 
@@ -262,7 +262,7 @@ def write_shards(docs: DataFrame, path: str, key: int = 1, length: int = LENGTH,
     """Writes the shards into a new shared folder; returns the manifest, itself written."""
     spark = ready(docs.sparkSession)
     folder = as_uri(shared_folder(spark))
-    made = stored(sequences(docs, path, length))
+    made = stored(sequences(docs, path, length), compression="zstd")
     # One row for each task that wrote sequences.
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     tasks = made.groupBy("task").agg(F.count("*").alias("n"))
@@ -271,12 +271,18 @@ def write_shards(docs: DataFrame, path: str, key: int = 1, length: int = LENGTH,
     stride = 2 * length
 
     def place(batches):
-        order = Permutation(total, key)
+        order, codec = Permutation(total, key), pa.Codec("zstd", compression_level=3)
         for batch in batches:
             index = pc.add(batch.column("base"), batch.column("number")).to_numpy()
             slot = order.slot(index)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slot // per_shard), pa.array(slot), *(batch.column(c) for c in ("n_tokens", "doc_ids", "tokens"))],
+                [
+                    pa.array(slot // per_shard),
+                    pa.array(slot),
+                    batch.column("n_tokens"),
+                    batch.column("doc_ids"),
+                    pa.array([codec.compress(t.as_buffer(), asbytes=True) for t in batch.column("tokens")], pa.binary()),
+                ],
                 names=["shard", "slot", "n_tokens", "doc_ids", "tokens"],
             )
 
@@ -304,14 +310,18 @@ def write_shards(docs: DataFrame, path: str, key: int = 1, length: int = LENGTH,
     return stored(dealt.mapInArrow(write, MANIFEST))
 
 
-READ = "slot long, shard long, n_tokens int, doc_ids array<long>, tokens binary"
+READ = "slot long, shard long, n_tokens int, doc_ids array<long>"
 
 
-def read_shards(manifest: DataFrame, first_slot: int = 0, length: int = LENGTH) -> DataFrame:
-    """The sequences from `first_slot` on, read from the shards, in order within a shard."""
+def read_shards(manifest: DataFrame, first_slot: int = 0, length: int = LENGTH, digest: bool = False) -> DataFrame:
+    """The sequences from `first_slot` on, read from the shards, in order within a shard.
+
+    Their ids are in `tokens`, as bytes; with `digest` their crc32 is in `tokens_crc32` instead.
+    """
     ready(manifest.sparkSession)
     stride = 2 * length
     wanted = manifest.where(F.col("first_slot") + F.col("records") > first_slot)
+    name, kind = ("tokens_crc32", pa.int64()) if digest else ("tokens", pa.binary())
 
     def run(batches):
         for batch in batches:
@@ -320,29 +330,20 @@ def read_shards(manifest: DataFrame, first_slot: int = 0, length: int = LENGTH)
                 files, place = fs.FileSystem.from_uri(row["path"])
                 with files.open_input_file(place) as stream:
                     stream.seek(skip * stride)
-                    bodies = [stream.read(stride) for _ in range(skip, row["records"])]
+                    bodies = (stream.read(stride) for _ in range(skip, row["records"]))
+                    read = [zlib.crc32(b) for b in bodies] if digest else list(bodies)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "slot": pa.array(row["first_slot"] + np.arange(skip, row["records"]), pa.int64()),
-                        "shard": pa.array([row["shard"]] * len(bodies), pa.int64()),
+                        "shard": pa.array([row["shard"]] * len(read), pa.int64()),
                         "n_tokens": pa.array(row["n_tokens"][skip:], pa.int32()),
                         "doc_ids": pa.array(row["doc_ids"][skip:], pa.list_(pa.int64())),
-                        "tokens": pa.array(bodies, pa.binary()),
+                        name: pa.array(read, kind),
                     }
                 )
 
-    return wanted.mapInArrow(run, READ)
+    return wanted.mapInArrow(run, f"{READ}, {name} {'long' if digest else 'binary'}")
 
 
 def op10_token_output(docs: DataFrame, path: str) -> DataFrame:
-    rows = read_shards(write_shards(docs, path))
-
-    def run(batches):
-        for batch in batches:
-            bodies = [b.as_py() for b in batch.column("tokens")]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("slot", "shard", "n_tokens", "doc_ids")), pa.array([zlib.crc32(b) for b in bodies], pa.int64())],
-                names=["slot", "shard", "n_tokens", "doc_ids", "tokens_crc32"],
-            )
-
-    return rows.mapInArrow(run, "slot long, shard long, n_tokens int, doc_ids array<long>, tokens_crc32 long")
+    return read_shards(write_shards(docs, path), digest=True)
