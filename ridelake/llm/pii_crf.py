@@ -108,15 +108,16 @@ def shape(token: str) -> str:
 def features(token: str, before: str, after: str) -> list[int]:
     """Hashed features of a token between its neighbours, `SLOTS` of them."""
     digits = digits_of(token)
-    parts = token.strip(".,;:!?()[]\"'").split(".")
+    bare = token.rstrip(".,;:!?\"'")
+    parts = bare.strip("()[]\"'").split(".")
     named = (
         "bias",
-        f"shape {shape(token)}",
+        f"shape {shape(bare)}",
         f"digits {min(len(digits), 20)} of {min(len(token), 24) // 4}",
-        f"at {token.count('@')} {min(token.count('.'), 4)}",
+        f"at {bare.count('@')} {min(bare.count('.'), 4)}",
         f"luhn {12 <= len(digits) <= 19 and luhn(digits)}",
         f"address {len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) < 4 and int(p) < 256 for p in parts)}",
-        f"first {token[0] if not token[0].isalnum() else 'a'} {token[-1] if not token[-1].isalnum() else 'a'}",
+        f"first {token[0] if not token[0].isalnum() else 'a'} {bare[-1] if bare and not bare[-1].isalnum() else 'a'}",
         f"before {before.lower() if not re.search('[0-9@]', before) else shape(before)}",
         f"after {shape(after) if re.search('[0-9@]', after) else 'word'}",
         f"hyphens {min(token.count('-'), 3)} {'(' in token}",
