@@ -6,40 +6,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.operators.validate import all_pass, failures, judge
+from ridelake.sources.scratch import written
 
-# Fixed value: a report quotes this many errors at most.
+# Fixed value: a report quotes this many errors unless asked for another number.
 SHOWN_ERRORS = 100
 
 
+def verdicts(df: DataFrame, entity: str, key: str | None = None) -> DataFrame:
+    """(record, valid, failures) of each row: its key, and its failed rules in order."""
+    judged, rules = judge(df, entity)
+    return judged.select(
+        F.col(key or f"{entity}_id").cast("string").alias("record"),
+        all_pass(rules).alias("valid"),
+        failures(rules).alias("failures"),
+    )
+
+
 def quality_report(
-    df: DataFrame, entity: str, key: str | None = None, dataset: str | None = None
+    df: DataFrame,
+    entity: str,
+    key: str | None = None,
+    dataset: str | None = None,
+    shown: int = SHOWN_ERRORS,
 ) -> DataFrame:
     """One row: record counts, validity rate, failures per rule, first errors.
 
-    `checks` is counted per rule code, so that the row is bounded by the number
-    of rules; `failure_messages` gives the counts per full message as rows.
-    Errors are quoted in key order, each named by the key of its record.
+    The input is read and judged once; both parts of the report come from the written
+    verdicts. `checks` is counted per rule code, so that the row is bounded by the
+    number of rules; `failure_messages` gives the counts per full message, and
+    `error_rows` every error, as rows. `shown` errors are quoted in key order, each
+    named by the key of its record.
     """
-    key = key or f"{entity}_id"
-    judged, rules = judge(df, entity)
-    valid = all_pass(rules)
-    failed = [F.count_if(~r.passed) for r in rules]
-    found = sum(failed[1:], failed[0])
-    total, good = F.count(F.lit(1)), F.count_if(valid)
+    judged = written(verdicts(df, entity, key))
+    codes = [r.code for r in judge(df, entity)[1]]
+    failed = [F.count_if(F.array_contains(F.col("failures.code"), code)) for code in codes]
+    found = F.sum(F.size("failures"))
+    total, good = F.count(F.lit(1)), F.count_if("valid")
     # Hundredths of a percent as an integer: exact, halves up.
     rate = F.call_function("div", good * 20000 + total, F.greatest(total, F.lit(1)) * 2)
-    checks = F.create_map(
-        *(part for r, n in zip(rules, failed) for part in (F.lit(r.code), n))
-    )
+    checks = F.create_map(*(part for code, n in zip(codes, failed) for part in (F.lit(code), n)))
     counts = judged.agg(
         total.alias("records"),
         good.alias("valid_records"),
-        F.count_if(~valid).alias("invalid_records"),
+        F.count_if(~F.col("valid")).alias("invalid_records"),
         F.when(total == 0, F.lit(0.0)).otherwise(rate / 100).alias("validity_rate"),
         F.map_filter(checks, lambda _, n: n > 0).alias("checks"),
-        (found > SHOWN_ERRORS).alias("errors_truncated"),
+        F.coalesce(found > shown, F.lit(False)).alias("errors_truncated"),
     )
-    quoted = first_errors(df, entity, key).agg(
+    quoted = _first(judged, shown).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("place", "record", "error"))),
             lambda e: F.concat(
@@ -54,26 +68,23 @@ def quality_report(
     ).select(F.lit(dataset or entity).alias("dataset"), "*")
 
 
-def first_errors(df: DataFrame, entity: str, key: str, n: int = SHOWN_ERRORS) -> DataFrame:
-    """The first n errors, by record key and within a record in rule order.
+def first_errors(
+    df: DataFrame, entity: str, key: str | None = None, n: int = SHOWN_ERRORS
+) -> DataFrame:
+    """The first n errors, by record key and within a record in rule order."""
+    return _first(verdicts(df, entity, key), n)
+
+
+def _first(judged: DataFrame, n: int) -> DataFrame:
+    """The first n errors of verdicts.
 
     n records hold at least n errors, so the top n records are enough; records
     with the same key come in the order of their errors. Valid rows sort last
     and are dropped after the cut: a filter before it would make the optimizer
     evaluate every rule twice.
     """
-    judged, rules = judge(df, entity)
     order = [F.col("record"), F.col("failures")]
-    records = (
-        judged.select(
-            all_pass(rules).alias("valid"),
-            F.col(key).cast("string").alias("record"),
-            failures(rules).alias("failures"),
-        )
-        .orderBy("valid", *order)
-        .limit(n)
-        .filter(~F.col("valid"))
-    )
+    records = judged.orderBy("valid", *order).limit(n).filter(~F.col("valid"))
     return (
         records.select("record", "failures", F.explode("failures").alias("failure"))
         .select(
@@ -86,6 +97,20 @@ def first_errors(df: DataFrame, entity: str, key: str, n: int = SHOWN_ERRORS) ->
     )
 
 
+def error_rows(df: DataFrame, entity: str, key: str | None = None) -> DataFrame:
+    """Rows (record, error_code, error): every failed rule of every record."""
+    return (
+        verdicts(df, entity, key)
+        .select("record", F.explode_outer("failures").alias("failure"))
+        .select(
+            "record",
+            F.col("failure.code").alias("error_code"),
+            F.col("failure.message").alias("error"),
+        )
+        .filter(F.col("error_code").isNotNull())
+    )
+
+
 def failure_messages(df: DataFrame, entity: str) -> DataFrame:
     """Rows (error_code, error, records): how often each full message occurs.
 

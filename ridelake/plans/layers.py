@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ridelake.operators import gold
+from ridelake.operators.bronze import BRONZE
 from ridelake.operators.normalise import NORMALISE
 from ridelake.operators.refine import REFINE, WIDE_RIDE_STATUSES, refine_ride
-from ridelake.sources.files import ingest_bronze, read_bronze
+from ridelake.sources.files import ingest_bronze, malformed_lines, read_bronze, read_raw, write_quarantine
 from ridelake.sources.schemas import ENTITIES
 from ridelake.sources.tables import read_table, write_table
 
@@ -25,7 +26,8 @@ class LayerConfig:
 
     `jobs` and `notebooks` refine silver, the latter with the wider ride filter,
     city grouping and joined dimensions in gold. `records` normalises silver and
-    computes the daily metrics from unfiltered bronze rides.
+    computes the daily metrics from unfiltered bronze rides. With `quarantine_dir` the
+    run also writes judged records, and lines that are no records, there.
     """
 
     raw_dir: str
@@ -33,6 +35,7 @@ class LayerConfig:
     prefix: str = ""
     table_dir: str | None = None
     style: str = "jobs"
+    quarantine_dir: str | None = None
 
     def __post_init__(self):
         if self.style not in STYLES:
@@ -100,24 +103,44 @@ def gold_frames(spark: SparkSession, cfg: LayerConfig) -> dict[str, tuple[DataFr
     }
 
 
+def write_quarantines(spark: SparkSession, cfg: LayerConfig) -> None:
+    """Per entity the judged records, valid and invalid apart, and the malformed lines."""
+    for entity in ENTITIES:
+        records = BRONZE[entity](read_raw(spark, cfg.raw_dir, entity, as_text=True))
+        write_quarantine(records, entity, f"{cfg.quarantine_dir}/{entity}")
+        lines = malformed_lines(spark, cfg.raw_dir, entity)
+        lines.write.mode("overwrite").parquet(f"{cfg.quarantine_dir}/malformed/{entity}")
+
+
 def layer_row_counts(
     spark: SparkSession, cfg: LayerConfig, layer: str, names: list[str]
 ) -> DataFrame:
-    """Rows (entity, record_count) of what a layer holds; fails if a part is missing."""
+    """Rows (entity, record_count) of what a layer holds, counted now.
+
+    Fails if a part is missing or empty. One row per table comes to the driver.
+    """
     if layer == "bronze":
         frames = {n: read_bronze(spark, cfg.bronze_dir, n) for n in names}
     else:
         frames = {n: read_table(spark, cfg.table(layer, n)) for n in names}
-    return gold.entity_row_counts(frames)
+    counts = gold.entity_row_counts(frames)
+    found = counts.collect()
+    empty = sorted(set(names) - {r["entity"] for r in found})
+    if empty:
+        raise RuntimeError(f"{layer} has no rows in {', '.join(empty)}")
+    return spark.createDataFrame(found, counts.schema)
 
 
 def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict[str, DataFrame]:
-    """Run every layer and return the row counts per layer, as lazy frames.
+    """Run every layer and return the row counts per layer.
 
     Each step reads what the step before has written, so a lost executor costs
-    its tasks only, and an exception in a step ends the run.
+    its tasks only. A layer is counted before the next one begins; an exception in a
+    step, or an empty table, ends the run.
     """
     ingest_bronze(spark, cfg.raw_dir, cfg.bronze_dir, project=cfg.style == "records")
+    if cfg.quarantine_dir:
+        write_quarantines(spark, cfg)
     counts = {"bronze": layer_row_counts(spark, cfg, "bronze", list(ENTITIES))}
     log.info("bronze written")
     counts["silver"] = layer_row_counts(spark, cfg, "silver", build_silver(spark, cfg))

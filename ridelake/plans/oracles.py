@@ -505,17 +505,17 @@ GROUP BY c.{column}"""
 
 def _nulls(entity: str, columns: list[str]) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+        f"SELECT '{c.strip(chr(34))}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, "
         f"COUNT(*) AS row_count FROM bronze_{entity}"
         for c in columns
     )
 
 
-def _ranges(bounds: dict[str, tuple[float, float]]) -> str:
+def _ranges(entity: str, bounds: dict[str, tuple[float, float]]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} < {lo}) AS below, "
         f"COUNT(*) FILTER (WHERE {c} > {hi}) AS above, "
-        f"COUNT(*) FILTER (WHERE {c} IS NULL) AS missing FROM bronze_ride"
+        f"COUNT(*) FILTER (WHERE {c} IS NULL) AS missing FROM bronze_{entity}"
         for c, (lo, hi) in bounds.items()
     )
 
@@ -588,7 +588,7 @@ def _over_bronze(sql: str, *entities: str) -> str:
     return with_views(f"WITH {ctes}{rest}", *(f"raw_{e}" for e in entities))
 
 
-def oracle_sql(ride_bounds: dict[str, tuple[float, float]]) -> dict[str, str]:
+def oracle_sql(bounds: dict[str, dict[str, tuple[float, float]]]) -> dict[str, str]:
     from_views = {
         "ride_daily_metrics": (DAILY, "ride"),
         "city_metrics": (
@@ -775,7 +775,7 @@ def oracle_sql(ride_bounds: dict[str, tuple[float, float]]) -> dict[str, str]:
                    NOT {_bad("payment")} AS valid_record FROM bronze_payment""",
         "payment",
     )
-    for e in ("driver", "ride", "payment"):
+    for e in FAILS:
         out[f"failure_messages_{e}"] = _over_bronze(
             f"SELECT error_code, error, COUNT(*) AS records FROM ({_errors(e)}) x GROUP BY 1, 2", e
         )
@@ -803,7 +803,36 @@ def oracle_sql(ride_bounds: dict[str, tuple[float, float]]) -> dict[str, str]:
             GROUP BY 1 HAVING COUNT(*) > 1""",
         "vehicle",
     )
-    out["null_profile_passenger"] = _over_bronze(_nulls("passenger", PASSENGER), "passenger")
-    out["null_profile_ride"] = _over_bronze(_nulls("ride", RIDE), "ride")
-    out["range_profile_ride"] = _over_bronze(_ranges(ride_bounds), "ride")
+    for e, names in columns.items():
+        out[f"null_profile_{e}"] = _over_bronze(_nulls(e, names), e)
+        out[f"error_rows_{e}"] = _over_bronze(
+            f"SELECT CAST(record AS VARCHAR) AS record, error_code, error FROM ({_errors(e)}) x", e
+        )
+    for e, own in bounds.items():
+        out[f"range_profile_{e}"] = _over_bronze(_ranges(e, own), e)
+    out["norm_raw_passenger"] = out["norm_passenger"]
+    out["norm_raw_payment"] = out["norm_payment"]
+    out["silver_listing"] = _over_bronze(
+        " UNION ALL ".join(
+            f"SELECT 'silver_{e}' AS table_name, COUNT(*) AS records FROM ({REFINED[e]}) {e[0]}"
+            for e in ("passenger", "driver", "vehicle")
+        ),
+        "passenger",
+        "driver",
+        "vehicle",
+    )
+    out["payments_as_lines"] = with_views("SELECT * FROM raw_payment", "raw_payment")
+    out["landed_lines"] = with_views(
+        """SELECT CASE WHEN payment_id LIKE '%7' THEN 'malformed' ELSE 'record' END AS kind,
+                  COUNT(*) AS lines,
+                  CAST(SUM(CASE WHEN payment_id LIKE '%7' THEN 20 ELSE LENGTH(payment_id) END)
+                       AS BIGINT) AS characters
+           FROM raw_payment GROUP BY 1""",
+        "raw_payment",
+    )
+    out["report_file"] = _over_bronze(
+        f"""SELECT dataset, records, valid_records, invalid_records, validity_rate
+            FROM ({_report("ride")}) r""",
+        "ride",
+    )
     return out

@@ -20,21 +20,25 @@ from ridelake.operators.integrity import fk_violations, null_profile, orphan_row
 from ridelake.operators.dedup import duplicate_keys
 from ridelake.operators.normalise import NORMALISE, normalise_payment, normalise_ride
 from ridelake.operators.refine import REFINE, WIDE_RIDE_STATUSES, refine_ride
-from ridelake.operators.report import failure_messages, quality_report
+from ridelake.operators.report import error_rows, failure_messages, quality_report
 from ridelake.operators.validate import split_quarantine, validate
 from ridelake.plans.layers import LayerConfig, run_layers
 from ridelake.sources.files import (
     ingest_bronze,
     land_all,
     land_raw,
+    malformed_lines,
     read_bronze,
     read_quarantine,
+    read_raw,
+    write_jsonl,
     write_quarantine,
+    write_report,
 )
-from ridelake.sources.schemas import ENTITIES
-from ridelake.sources.scratch import shared_folder
+from ridelake.sources.schemas import ENTITIES, raw_text
+from ridelake.sources.scratch import shared_folder, written
 from ridelake.sources.star_schema import load
-from ridelake.sources.tables import read_table, write_table
+from ridelake.sources.tables import list_layer, read_table, reset_tables, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +50,8 @@ RIDE_BOUNDS = {
     "pickup_latitude": (-45, 60),
     "pickup_longitude": (-180, 150),
 }
+PAYMENT_BOUNDS = {"amount": (0, 1000)}
+DRIVER_BOUNDS = {"rating": (3.5, 5.0)}
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -112,6 +118,10 @@ def _messages(entity: str) -> Query:
     return lambda spark, sf_dir: failure_messages(bronze(spark, sf_dir, entity), entity)
 
 
+def _error_rows(entity: str) -> Query:
+    return lambda spark, sf_dir: error_rows(bronze(spark, sf_dir, entity), entity)
+
+
 def _on_rides(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(load(spark, sf_dir, "ride"))
 
@@ -238,8 +248,8 @@ def _nulls(entity: str) -> Query:
     return lambda spark, sf_dir: null_profile(bronze(spark, sf_dir, entity))
 
 
-def range_profile_ride(spark, sf_dir):
-    return range_profile(bronze(spark, sf_dir, "ride"), RIDE_BOUNDS)
+def _ranges(entity: str, bounds: dict) -> Query:
+    return lambda spark, sf_dir: range_profile(bronze(spark, sf_dir, entity), bounds)
 
 
 def haversine_fare(spark, sf_dir):
@@ -304,13 +314,62 @@ def silver_ride_table(spark, sf_dir):
     name = "silver_ride_" + base[-8:]
     rides = refine_ride(bronze(spark, sf_dir, "ride"))
     write_table(rides, name, "pickup_city", location=f"{base}/silver/ride")
-    return (
-        read_table(spark, name)
-        .groupBy("pickup_city")
-        .agg(F.count(F.lit(1)).alias("rides"), F.countDistinct("passenger_id").alias("passengers"))
+    counts = read_table(spark, name).groupBy("pickup_city").agg(
+        F.count(F.lit(1)).alias("rides"), F.countDistinct("passenger_id").alias("passengers")
+    )
+    out = written(counts)
+    reset_tables(spark, [name])
+    return out
+
+
+def silver_listing(spark, sf_dir):
+    """Write the refined dimensions as tables, list the layer, count the rows, drop all."""
+    base = shared_folder(spark)
+    prefix = f"l{base[-8:]}_"
+    for entity in ("passenger", "driver", "vehicle"):
+        frame = REFINE[entity](bronze(spark, sf_dir, entity))
+        write_table(frame, f"{prefix}silver_{entity}", location=f"{base}/{entity}")
+    names = [r["tableName"] for r in list_layer(spark, "silver", prefix).collect()]
+    rows = [
+        read_table(spark, n).select(F.lit(n.removeprefix(prefix)).alias("table_name")) for n in names
+    ]
+    counts = reduce(DataFrame.unionByName, rows).groupBy("table_name")
+    out = written(counts.agg(F.count(F.lit(1)).alias("records")))
+    reset_tables(spark, names)
+    return out
+
+
+def payments_as_lines(spark, sf_dir):
+    """Raw payments written as JSON Lines and read back."""
+    path = f"{shared_folder(spark)}/payment"
+    write_jsonl(load(spark, sf_dir, "raw_payment"), path)
+    return spark.read.schema(raw_text("payment")).json(path)
+
+
+def landed_lines(spark, sf_dir):
+    """Payments landed with some lines cut short: how many are records, how many are not."""
+    raw = f"{shared_folder(spark)}/raw"
+    whole = F.to_json(F.struct(*(F.col(n.split()[0]) for n in raw_text("payment").split(", "))))
+    cut = F.when(F.col("payment_id").endswith("7"), F.substring(whole, 1, 20)).otherwise(whole)
+    lines = load(spark, sf_dir, "raw_payment").select(cut.alias("value"))
+    lines.write.text(f"{raw}/payment/ingestion_date=2026-05-01")
+    records = read_raw(spark, raw, "payment").select(F.lit("record").alias("kind"), "payment_id")
+    bad = malformed_lines(spark, raw, "payment")
+    rest = bad.select(F.lit("malformed").alias("kind"), F.col("line").alias("payment_id"))
+    return records.unionByName(rest).groupBy("kind").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.length("payment_id")).alias("characters"),
     )
 
 
+def report_file(spark, sf_dir):
+    """The report on rides, written as a file and read back."""
+    path = f"{shared_folder(spark)}/report"
+    write_report(quality_report(bronze(spark, sf_dir, "ride"), "ride"), path)
+    kinds = "dataset STRING, records BIGINT, valid_records BIGINT, invalid_records BIGINT, validity_rate DOUBLE"
+    return spark.read.schema(kinds).json(path)
+
+
 def _layer_counts(style: str) -> Query:
     """Run all layers from landed raw records; row counts of every table."""
 
@@ -319,10 +378,16 @@ def _layer_counts(style: str) -> Query:
         land_all(
             {e: load(spark, sf_dir, f"raw_{e}") for e in ENTITIES}, f"{base}/raw", "2026-05-01"
         )
+        prefix = f"t{base[-8:]}_"
         cfg = LayerConfig(
-            f"{base}/raw", f"{base}/bronze", f"t{base[-8:]}_", f"{base}/tables", style
+            f"{base}/raw", f"{base}/bronze", prefix, f"{base}/tables", style, f"{base}/quarantine"
         )
-        counts = run_layers(spark, cfg)
+        try:
+            counts = run_layers(spark, cfg)
+        finally:
+            for layer in ("silver", "gold"):
+                names = [r["tableName"] for r in list_layer(spark, layer, prefix).collect()]
+                reset_tables(spark, names)
         return reduce(
             DataFrame.unionByName,
             (c.select(F.lit(layer).alias("layer"), "*") for layer, c in counts.items()),
@@ -352,7 +417,7 @@ QUERIES: dict[str, Query] = {
     "first_drivers": first_drivers,
     **{f"bronze_{e}": _bronze(e) for e in ENTITIES},
     **{f"norm_{e}": _normalised(e) for e in ENTITIES},
-    **{f"norm_raw_{e}": _normalised_from_raw(e) for e in ("driver", "vehicle", "ride")},
+    **{f"norm_raw_{e}": _normalised_from_raw(e) for e in ENTITIES},
     "norm_ride_checked": norm_ride_checked,
     "norm_payment_checked": norm_payment_checked,
     **{f"silver_{e}": _refined(e) for e in ENTITIES},
@@ -361,7 +426,8 @@ QUERIES: dict[str, Query] = {
     "contact_formats": contact_formats,
     "parsed_times": parsed_times,
     **{f"quality_report_{e}": _report(e) for e in ENTITIES},
-    **{f"failure_messages_{e}": _messages(e) for e in ("driver", "ride", "payment")},
+    **{f"failure_messages_{e}": _messages(e) for e in ENTITIES},
+    **{f"error_rows_{e}": _error_rows(e) for e in ENTITIES},
     "quarantined_rides": quarantined_rides,
     "quarantine_from_files": quarantine_from_files,
     "quarantine_counts": quarantine_counts,
@@ -371,10 +437,16 @@ QUERIES: dict[str, Query] = {
     "orphan_payments": orphan_payments,
     "duplicate_ride_ids": duplicate_ride_ids,
     "duplicate_license_plates": duplicate_license_plates,
-    **{f"null_profile_{e}": _nulls(e) for e in ("passenger", "ride")},
-    "range_profile_ride": range_profile_ride,
+    **{f"null_profile_{e}": _nulls(e) for e in ENTITIES},
+    "range_profile_ride": _ranges("ride", RIDE_BOUNDS),
+    "range_profile_payment": _ranges("payment", PAYMENT_BOUNDS),
+    "range_profile_driver": _ranges("driver", DRIVER_BOUNDS),
     "haversine_fare": haversine_fare,
     "bronze_from_landing": bronze_from_landing,
     "silver_ride_table": silver_ride_table,
+    "silver_listing": silver_listing,
+    "payments_as_lines": payments_as_lines,
+    "landed_lines": landed_lines,
+    "report_file": report_file,
     **{f"layer_counts_{s}": _layer_counts(s) for s in ("jobs", "notebooks", "records")},
 }

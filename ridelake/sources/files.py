@@ -46,14 +46,29 @@ def land_all(frames: dict[str, DataFrame], raw_dir: str, ingestion_date: str) ->
     return landed
 
 
+# Where the parser puts the text of a line that is no JSON record.
+MALFORMED = "_corrupt_record"
+
+
+def _landed(spark: SparkSession, raw_dir: str, entity: str) -> DataFrame:
+    """(ingestion_date, record) of every landed line that is not blank."""
+    lines = spark.read.text(f"{raw_dir}/{entity}").filter(F.trim("value") != "")
+    record = F.from_json(
+        "value", f"{raw_text(entity)}, {MALFORMED} STRING", {"columnNameOfCorruptRecord": MALFORMED}
+    )
+    return lines.withColumn("record", record).drop("value")
+
+
 def read_raw(spark: SparkSession, raw_dir: str, entity: str, as_text: bool = False) -> DataFrame:
     """All landed records of an entity, with a fixed schema (no inference pass).
 
     Reading the directory, not a file pattern, finds the dated subdirectories
     and adds their `ingestion_date`. Numbers may be quoted in the records;
-    unreadable ones are NULL. `as_text` keeps numbers as written.
+    unreadable ones are NULL. `as_text` keeps numbers as written. Lines that are
+    no records are left out here: `malformed_lines` has them.
     """
-    records = spark.read.schema(raw_text(entity)).json(f"{raw_dir}/{entity}")
+    found = _landed(spark, raw_dir, entity).filter(F.col("record")[MALFORMED].isNull())
+    records = found.select("record.*", *(c for c in found.columns if c != "record")).drop(MALFORMED)
     if as_text:
         return records
     parsers = {"DOUBLE": parse_double, "INT": parse_int}
@@ -63,6 +78,13 @@ def read_raw(spark: SparkSession, raw_dir: str, entity: str, as_text: bool = Fal
     )
 
 
+def malformed_lines(spark: SparkSession, raw_dir: str, entity: str) -> DataFrame:
+    """(ingestion_date, entity, line): landed lines that are no JSON records, as they came."""
+    line = F.col("record")[MALFORMED]
+    found = _landed(spark, raw_dir, entity).filter(line.isNotNull())
+    return found.select("ingestion_date", F.lit(entity).alias("entity"), line.alias("line"))
+
+
 def ingest_bronze(
     spark: SparkSession,
     raw_dir: str,

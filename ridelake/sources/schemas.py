@@ -171,7 +171,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     out = []
     for f in schema.fields:
         if f.name not in df.columns and f.nullable:
-            c = F.lit(True) if f.name == "valid_record" else F.lit(None)
+            # Also `valid_record`: a row that no rule has seen is not valid for that.
+            c = F.lit(None)
         elif f.dataType.typeName() == "timestamp_ntz":
             c = as_timestamp(df, f.name)
         else:

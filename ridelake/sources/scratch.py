@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -17,3 +17,10 @@ def shared_folder(spark: SparkSession) -> str:
     """
     base = spark.conf.get(SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/ridelake-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """`df` written to a new shared folder and read again: computed once, lineage ends."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from ridelake.functions import between_dates
+
 from ridelake.operators import gold
 from ridelake.operators.dedup import dedup
 from ridelake.operators.integrity import fk_violations
@@ -19,11 +22,14 @@ from ridelake.sources.tables import read_table, write_table
 SF = "/root/testdata/sf0.001"
 
 # Written to disk on the way: their plans only show the last step.
-WRITES = {"bronze_from_landing", "silver_ride_table", "quarantine_from_files"} | {
+WRITES = {
+    "bronze_from_landing", "silver_ride_table", "quarantine_from_files", "silver_listing",
+    "payments_as_lines", "landed_lines", "report_file",
+} | {
     f"layer_counts_{s}" for s in ("jobs", "notebooks", "records")
 }
 # One row for the whole input, or a union of such rows.
-GLOBAL = {"ride_count", "distinct_passengers", "range_profile_ride", "quarantine_counts"}
+GLOBAL = {"ride_count", "distinct_passengers", "quarantine_counts"}
 
 
 @pytest.fixture(autouse=True)
@@ -52,7 +58,7 @@ def test_no_python_no_cross_join(spark, no_broadcast, name):
     for banned in ("EvalPython", "MapInPandas", "InPandas", "CartesianProduct", "BroadcastNestedLoop"):
         assert banned not in text, banned
     single = "SinglePartition" in text
-    if name.startswith(("quality_report_", "null_profile_")) or name in GLOBAL:
+    if name.startswith(("quality_report_", "null_profile_", "range_profile_")) or name in GLOBAL:
         return
     # The vehicle view counts the drivers in a one-row subquery.
     if "vehicle" in name:
@@ -90,6 +96,30 @@ def test_gold_shuffles_once(spark, big, no_broadcast):
         assert "partial_" in text and "HashAggregate" in text and "SortAggregate" not in text
 
 
+def test_daily_driver_metrics_sum_by_hash(spark, big, no_broadcast):
+    """The rides are summed in one hash aggregation; only the rating lookup sorts."""
+    text = plan(gold.driver_daily_metrics(big, spark.range(5).selectExpr("id AS driver_id", "1.0D AS rating")))
+    sums = [line for line in text.splitlines() if "try_sum" in line]
+    assert sums and all("HashAggregate" in line for line in sums)
+
+
+def test_report_reads_its_input_once(spark):
+    report = QUERIES["quality_report_payment"](spark, SF)
+    assert "events" not in plan(report) and "ridelake-" in plan(report)
+
+
+def test_months_reach_the_partition_filters(spark):
+    days = spark.range(800).selectExpr("date_add(DATE'2024-11-20', CAST(id AS INT)) AS date", "id")
+    write_table(days, "by_month", [("years", "date"), ("months", "date")])
+    table = read_table(spark, "by_month")
+    for low, high in (("2025-02-03", "2025-02-07"), ("2024-12-30", "2025-01-02"), ("2024-12-01", "2026-02-01")):
+        part = between_dates(table, "date", low, high)
+        filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(part)).group(1)
+        assert "date_month" in filters and "date_year" in filters
+        assert part.count() == (dt.date.fromisoformat(high) - dt.date.fromisoformat(low)).days
+    spark.sql("DROP TABLE by_month")
+
+
 def test_joined_gold_reuses_the_partitioning(spark, big, no_broadcast):
     drivers = spark.range(10).selectExpr("id AS driver_id", "1.0D AS rating")
     # One for the aggregate, one for the dimension, none for the join itself.

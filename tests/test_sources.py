@@ -160,7 +160,10 @@ def test_conform(spark):
     kinds = {f.name: f.dataType.simpleString() for f in out.schema.fields}
     assert kinds["fare_amount"] == "decimal(8,2)" and kinds["request_time"] == "timestamp_ntz"
     row = out.first()
-    assert row["valid_record"] is True and row["data_quality_checks"] is None
+    # No rule has looked at the row.
+    assert row["valid_record"] is None and row["data_quality_checks"] is None
+    checked = schemas.conform(normalise_ride(df, checks=True), "silver_ride").first()
+    assert checked["valid_record"] is not None and checked["data_quality_checks"]
     assert row["request_time"] == dt.datetime(2026, 5, 1, 10)
     wide = spark.createDataFrame([ride(fare_amount=1e9)], schemas.RAW["ride"])
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
@@ -192,6 +195,45 @@ def test_run_layers(spark, tmp_path, style):
             assert got["gold"]["passenger_activity"] == 5
 
 
+def test_an_empty_silver_table_stops_the_run(spark, tmp_path):
+    frames = raw_frames(spark)
+    frames["payment"] = frames["payment"].withColumn("amount", frames["payment"]["amount"] * 0)
+    files.land_all(frames, str(tmp_path / "raw"), "2026-05-01")
+    cfg = LayerConfig(str(tmp_path / "raw"), str(tmp_path / "bronze"), "empty_")
+    with pytest.raises(RuntimeError, match="silver has no rows in payment"):
+        run_layers(spark, cfg)
+    assert tables.list_layer(spark, "gold", "empty_").count() == 0
+    names = [r["tableName"] for r in tables.list_layer(spark, "silver", "empty_").collect()]
+    assert len(names) == 5
+    tables.reset_tables(spark, names)
+
+
+def test_malformed_lines_go_to_the_quarantine(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    files.land_all(raw_frames(spark), raw, "2026-05-01")
+    bad = ['{"payment_id": "PM1", "amo', "no json"]
+    spark.createDataFrame([(b,) for b in bad], "value string").write.mode("append").text(
+        f"{raw}/payment/ingestion_date=2026-05-02"
+    )
+    cfg = LayerConfig(raw, str(tmp_path / "bronze"), "bad_", quarantine_dir=str(tmp_path / "quarantine"))
+    counts = run_layers(spark, cfg)
+    assert {r[0]: r[1] for r in counts["bronze"].collect()}["payment"] == 40
+    lines = spark.read.parquet(str(tmp_path / "quarantine/malformed/payment"))
+    assert sorted(r["line"] for r in lines.collect()) == sorted(bad)
+    good, invalid = files.read_quarantine(spark, str(tmp_path / "quarantine/payment"))
+    assert good.count() + invalid.count() == 40
+    for layer in ("silver", "gold"):
+        tables.reset_tables(spark, [r["tableName"] for r in tables.list_layer(spark, layer, "bad_").collect()])
+
+
+def test_list_layer_in_a_database(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake_db")
+    spark.range(3).write.saveAsTable("lake_db.x_silver_ride")
+    assert [r["tableName"] for r in tables.list_layer(spark, "silver", "lake_db.x_").collect()] == ["x_silver_ride"]
+    assert tables.list_layer(spark, "silver", "lake_db.").count() == 0
+    spark.sql("DROP DATABASE lake_db CASCADE")
+
+
 def test_run_stops_at_the_first_failure(spark, tmp_path):
     frames = raw_frames(spark)
     del frames["vehicle"]
