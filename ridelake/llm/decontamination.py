@@ -1,21 +1,20 @@
 """Benchmark decontamination: texts that hold a benchmark item, some edits apart.
 
-Texts and items are lower-cased and their blanks folded to one. CGK random walks map
-edit distance to Hamming distance: step j of a walk puts out the byte under its
-pointer and moves the pointer on or not by a random bit of (j, byte), so that walks
-over two strings fall into step again after an edit. A walk starts at each word and
-has `STEPS` steps; the embedding of an item-sized window is the row of the walks of
-its words, which overlapping windows share, so each word is walked once, however long
-the items are. Bit sampling: each of `TABLES` tables hashes `SAMPLED` coordinates of a
-walk, and each word of the window is one more repetition. A window and an item are
-candidates if any repetition agrees. An item of w words has w * TABLES chances less
-those whose walk would leave it; if each agrees with probability p, recall is
-1 - (1 - p) ** repetitions. The parameters aim at 0.99 for items of 80 to 400
-characters with one character in ten edited (measured: README).
-
-Verification is exact: the smallest edit distance of the item to any substring of the
-window and some words around it (bit-parallel, on whole strings). A text holds the
-item if the distance is at most `MOST` of the item's length.
+Texts and items are lower-cased and their blanks folded to one. A text holds an item if
+the smallest edit distance of the item to any substring of the text is at most `MOST` of
+the item's length. A pair is found in three steps:
+
+1. Runs of bytes that an item and a text share, looked up at every byte of the text, so
+   that blanks and scripts do not matter. `SEEDS` gives by the item's length how long a
+   run is and how many bytes of a text must begin one within the item's length and its
+   edits. The longer the item, the longer and the more the runs. An item of s bytes is
+   found for sure if a stretch of run + need - 1 bytes is unedited anywhere in it, so
+   with up to about s / (run + need) edits however they are placed; with characters
+   edited at random the counts aim at 0.97 at `MOST` for the shortest (measured: README).
+2. A lower bound: the item is cut into blocks of 64 characters, whose smallest distances
+   to the place add up to no more than the item's (bit-parallel, over all places of a
+   chunk at once). No pair that is near enough is lost here.
+3. The exact distance at the places left (bit-parallel, on whole strings).
 
 Items shorter than `SHORTEST` code points after folding (also empty and null ones) are
 held by no text: too short to tell from chance. Null and empty texts hold nothing.
@@ -34,40 +33,38 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import Words, mixed, pieces_of, ready
+from ridelake.llm.common import CHUNK, Words, pieces_of, ready
 from ridelake.llm.pieces import gathered
 
-STEPS, TABLES, SAMPLED = 64, 6, 14
 MOST, SHORTEST, BLOCK = 0.2, 40, 4 << 20
+#: (bytes of an item from which on it holds, bytes of a run, least runs, bytes of the item for each run).
+SEEDS = [(180, 8, 8, 22), (100, 7, 6, 14), (56, 6, 4, 16), (0, 5, 3, 18)]
 FILTER_BITS = 22
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+#: Characters of a block of an item, kinds of characters that the lower bound tells apart.
+BITS, KINDS = 64, 64
+#: Bytes of items for which texts are read in chunks of `CHUNK`; with more, chunks are smaller.
+LIGHT = 1 << 17
 
 
-def randomness() -> tuple[np.ndarray, list[np.ndarray]]:
-    """(moves by step and byte, sampled steps of each table), the same everywhere."""
-    rng = np.random.default_rng(20240229)
-    moves = rng.integers(0, 2, (STEPS, 256), dtype=np.int32)
-    return moves, [np.sort(rng.choice(STEPS, SAMPLED, replace=False)) for _ in range(TABLES)]
+def seeds(size: int) -> tuple[int, int]:
+    """(bytes of a run, how many must be shared) for an item of `size` bytes."""
+    for least, run, need, each in SEEDS:
+        if size >= least:
+            return run, max(need, size // each)
+    raise AssertionError
 
 
-MOVES, COORDINATES = randomness()
+def runs(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte on as one number, the first lowest."""
+    wide = np.concatenate((data, np.zeros(7, np.uint8))).astype(np.uint64)
+    for k in (1, 2, 4):
+        wide = wide[:-k] | (wide[k:] << np.uint64(8 * k))
+    return wide
 
 
-def walks(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each table's sampled coordinates, where the walk ends) from each start."""
-    data = np.concatenate((data, np.full(STEPS + 1, 0x20, np.uint8)))
-    at = starts.astype(np.int32)
-    hashes = np.zeros((TABLES, len(starts)), np.uint64)
-    for step in range(STEPS):
-        byte = data[at]
-        for t, chosen in enumerate(COORDINATES):
-            if step in chosen:
-                hashes[t] *= np.uint64(0x100000001B3)
-                hashes[t] += byte
-                hashes[t] += np.uint64(1)
-        at += MOVES[step][byte]
-    for t in range(TABLES):
-        hashes[t] = mixed(hashes[t] + np.uint64(t << 56))
-    return hashes, at
+def low_bytes(many: int) -> np.uint64:
+    return np.uint64((1 << (8 * many)) - 1)
 
 
 def folded(data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -112,55 +109,145 @@ def distance(pattern: str, text: str, most: int) -> tuple[int, int]:
     return best, end
 
 
+class Runs:
+    """Which items have a run of `size` bytes."""
+
+    def __init__(self, size: int, run: np.ndarray, item: np.ndarray):
+        order = np.lexsort((item, run))
+        self.size, self.item = size, item[order]
+        self.keys, first = np.unique(run[order], return_index=True)
+        self.first = np.append(first, len(run))
+        self.filter = np.zeros(1 << FILTER_BITS, bool)
+        self.filter[self.slot(self.keys)] = True
+
+    def slot(self, run: np.ndarray) -> np.ndarray:
+        return ((run * SPREAD) >> np.uint64(64 - FILTER_BITS)).view(np.int64)
+
+    def shared(self, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(byte of the text, item) of all runs that begin at a byte and are an item's."""
+        run = wide & low_bytes(self.size)
+        near = np.flatnonzero(self.filter[self.slot(run)])
+        key = np.minimum(np.searchsorted(self.keys, run[near]), len(self.keys) - 1)
+        same = self.keys[key] == run[near]
+        near, key = near[same], key[same]
+        low = self.first[key]
+        many = self.first[key + 1] - low
+        entry = np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)
+        return np.repeat(near, many), self.item[entry]
+
+
 @dataclass
 class Index:
-    """Walks of a block of items. Entry k of `hashes` belongs to word offset[k] of item[k]."""
+    """Runs and blocks of characters of a block of items."""
 
     ids: list
     texts: list[str] = field(default_factory=list)
-    sizes: list[int] = field(default_factory=list)
+    #: By item: shared runs needed, edits allowed, characters of a place that may hold it.
+    need: np.ndarray | list[int] = field(default_factory=list)
+    most: np.ndarray | list[int] = field(default_factory=list)
 
     @classmethod
     def of(cls, ids: list, texts: list[str | None]) -> Index:
         out = cls([])
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        out.bytes = 0
         for item_id, text in zip(ids, texts, strict=True):
             lowered = pc.utf8_lower(pa.array([text or ""]))
             for _, _, data, offsets in pieces_of(lowered):
-                words = Words(data, offsets)
-                flat, at = folded(data, words)
-                plain = flat.tobytes().decode()[:-1]
+                flat = folded(data, Words(data, offsets))[0][:-1]
+                plain = flat.tobytes().decode()
                 if len(plain) < SHORTEST:
                     continue
-                hashes, ends = walks(flat, at[:-1])
-                inside = np.flatnonzero(ends < len(flat))
-                number = len(out.ids)
+                size, need = seeds(len(flat))
+                own = np.unique(runs(flat)[: len(flat) - size + 1] & low_bytes(size))
+                found.setdefault(size, []).append((own, np.full(len(own), len(out.ids))))
                 out.ids.append(item_id)
                 out.texts.append(plain)
-                out.sizes.append(len(at) - 1)
-                found.append((hashes[:, inside], np.full(len(inside), number), inside))
-        hashes = np.concatenate([f[0] for f in found], axis=1).ravel() if found else np.zeros(0, np.uint64)
-        item = np.tile(np.concatenate([f[1] for f in found]), TABLES) if found else np.zeros(0, np.int64)
-        offset = np.tile(np.concatenate([f[2] for f in found]), TABLES) if found else np.zeros(0, np.int64)
-        order = np.argsort(hashes, kind="stable")
-        out.hashes, out.item, out.offset = hashes[order], item[order], offset[order]
-        out.filter = np.zeros(1 << FILTER_BITS, bool)
-        out.filter[out.hashes >> np.uint64(64 - FILTER_BITS)] = True
+                out.need.append(need)
+                out.most.append(int(MOST * len(plain)))
+                out.bytes += len(flat)
+        out.runs = [Runs(size, *(np.concatenate(x) for x in zip(*own, strict=True))) for size, own in sorted(found.items())]
+        out.need, out.most = np.array(out.need, np.int64), np.array(out.most, np.int64)
+        out.span = np.array([len(t) for t in out.texts], np.int64) + out.most
+        out.cut()
         return out
 
-    def candidates(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word, item, word at which the item would begin) of agreeing walks."""
-        word, item, begin = [], [], []
-        for own in hashes:
-            near = np.flatnonzero(self.filter[own >> np.uint64(64 - FILTER_BITS)])
-            low = np.searchsorted(self.hashes, own[near], "left")
-            many = np.searchsorted(self.hashes, own[near], "right") - low
-            entry = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - low, many)
-            at = np.repeat(near, many)
-            word.append(at)
-            item.append(self.item[entry])
-            begin.append(at - self.offset[entry])
-        return np.concatenate(word), np.concatenate(item), np.concatenate(begin)
+    def cut(self) -> None:
+        """Blocks of the items: for each kind of character, the bits of its places."""
+        blocks = [t[k : k + BITS] for t in self.texts for k in range(0, len(t), BITS)]
+        self.block_at = np.cumsum([0] + [-(-len(t) // BITS) for t in self.texts])
+        self.block_size = np.array([len(b) for b in blocks], np.int64)
+        self.places = np.zeros((len(blocks), KINDS), np.uint64)
+        for k, block in enumerate(blocks):
+            for bit, c in enumerate(block):
+                self.places[k, ord(c) % KINDS] |= np.uint64(1 << bit)
+        self.places = self.places.ravel()
+
+    def chunk(self) -> int:
+        """Bytes of texts to look at together: runs shared with many items take memory."""
+        return max(CHUNK >> 6, CHUNK * LIGHT // max(LIGHT, self.bytes))
+
+    def least(self, item: np.ndarray, low: np.ndarray, high: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """Lower bounds of the distances of items to any substring of kinds[low:high]."""
+        many = self.block_at[item + 1] - self.block_at[item]
+        place = np.repeat(np.arange(len(item)), many)
+        block = np.arange(many.sum()) + np.repeat(self.block_at[item] - np.cumsum(many) + many, many)
+        order = np.argsort(low[place] - high[place], kind="stable")
+        place, block = place[order], block[order]
+        size = (high - low)[place]
+        best = self.block_size[block]
+        score, own, at = best.copy(), block * KINDS, low[place]
+        top = (best - 1).astype(np.uint64)
+        rise, fall = np.full(len(place), ~np.uint64(0)), np.zeros(len(place), np.uint64)
+        one = np.uint64(1)
+        # Lanes of shorter places are last, and leave first.
+        active = len(place) - np.searchsorted(size[::-1], np.arange(size[0] if len(size) else 0), "right")
+        for step, left in enumerate(active.tolist()):
+            if left < len(rise):
+                rise, fall, score, own, at, top = (x[:left] for x in (rise, fall, score, own, at, top))
+            same = self.places[own + kinds[at + step]]
+            flat = same | fall
+            across = same & rise
+            across += rise
+            across ^= rise
+            across |= same
+            up = fall | ~(across | rise)
+            down = rise & across
+            score += ((up >> top) & one).view(np.int64)
+            score -= ((down >> top) & one).view(np.int64)
+            np.minimum(best[:left], score, out=best[:left])
+            up <<= one
+            down <<= one
+            rise = down | ~(flat | up)
+            fall = up & flat
+        return np.bincount(place, best, len(item)).astype(np.int64)
+
+    def candidates(self, flat: np.ndarray, number: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(text, item, first and end character) of places that share enough runs, in order.
+
+        number: the character of each byte; begins: the first character of each text.
+        """
+        wide = runs(flat)
+        byte, item = (np.concatenate(x) for x in zip(*(own.shared(wide) for own in self.runs), strict=True))
+        order = np.argsort(item.astype(np.uint16) if len(self.ids) <= 1 << 16 else item, kind="stable")
+        item, at = item[order], number[byte[order]].astype(np.int64)
+        last = np.arange(len(item)) + self.need[item] - 1
+        some = np.flatnonzero(last < len(item))
+        last = last[some]
+        close = (item[last] == item[some]) & (at[last] - at[some] <= self.span[item[some]])
+        some, last = some[close], last[close]
+        text = np.searchsorted(begins, at[some], "right") - 1
+        inside = at[last] < begins[text + 1]
+        text, item, at = text[inside], item[some][inside], at[some][inside]
+        span = self.span[item]
+        part = at // span
+        new = np.ones(len(at), bool)
+        new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (part[1:] != part[:-1])
+        first = np.flatnonzero(new)
+        end = np.append(first[1:], len(at))[: len(first)] - 1
+        text, item, span = text[first], item[first], span[first]
+        # The last character of a text in `flat` is the blank behind it.
+        return text, item, np.maximum(begins[text], at[first] - span), np.minimum(begins[text + 1] - 1, at[end] + span + 1)
 
     def held(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, distance, first word, words) of lower-cased texts, best place of each item."""
@@ -168,39 +255,33 @@ class Index:
         if not len(self.ids) or not len(words.row):
             return
         flat, at = folded(data, words)
-        hashes, _ = walks(flat, at[:-1])
-        word, item, begin = self.candidates(hashes)
-        if not len(word):
-            return
-        row = words.row[word]
-        order = np.lexsort((begin, item, row))
-        row, item, begin = row[order], item[order], begin[order]
-        slack = np.array([max(2, int(MOST * n) + 1) for n in self.sizes])[item]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > slack[1:])
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(row)) - 1
+        lead = (flat & 0xC0) != 0x80
+        number = np.cumsum(lead, dtype=np.int32) - 1
+        # The byte of each character, the character at which each text begins.
+        byte = np.append(np.flatnonzero(lead), len(flat))
+        begins = np.append(number, len(byte) - 1)[at[words.offsets]].astype(np.int64)
+        text, item, low, high = self.candidates(flat, number, begins)
+        # The low bits of a character are those of its last byte.
+        kinds = flat[byte[1:] - 1] % np.uint8(KINDS)
+        near = np.flatnonzero(self.least(item, low, high, kinds) <= self.most[item])
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for a, b in zip(first.tolist(), last.tolist(), strict=True):
-            text, which, room = int(row[a]), int(item[a]), int(slack[a])
-            low = max(int(words.offsets[text]), int(begin[a]) - room)
-            high = min(int(words.offsets[text + 1]), int(begin[b]) + self.sizes[which] + room)
-            if low >= high:
+        for held, which, a, b in zip(*(x[near].tolist() for x in (text, item, low, high)), strict=True):
+            old = best.get((held, which))
+            if old is not None and old[0] == 0:
                 continue
-            pattern = self.texts[which]
-            window = flat[at[low] : at[high] - 1].tobytes().decode()
-            most = int(MOST * len(pattern))
+            pattern, most = self.texts[which], int(self.most[which])
+            window = flat[byte[a] : byte[b]].tobytes().decode()
             away, end = distance(pattern, window, most)
-            if away <= most:
+            if away <= most and (old is None or away < old[0]):
                 # The best start: the same from the end, with both strings turned round.
                 _, back = distance(pattern[::-1], window[:end][::-1], most)
-                before, inside = window[: end - back], window[end - back : end]
-                place = low + before.count(" ")
-                old = best.get((text, which))
-                if old is None or away < old[0]:
-                    best[text, which] = (away, place - int(words.offsets[text]), inside.strip().count(" ") + 1)
-        for (text, which), (away, place, many) in sorted(best.items()):
-            yield text, which, away, place, many
+                inside = window[end - back : end]
+                # The word of the first character that is no blank.
+                first = byte[a + end - back + len(inside) - len(inside.lstrip())]
+                place = int(np.searchsorted(at, first, "right")) - 1 - int(words.offsets[held])
+                best[held, which] = (away, place, inside.strip().count(" ") + 1)
+        for (held, which), (away, place, many) in sorted(best.items()):
+            yield held, which, away, place, many
 
 
 def indexes(benchmark: DataFrame, id_column: str, text: str) -> Iterator[Index]:
@@ -228,7 +309,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "item_id", t
             index = sent.value
             for batch in batches:
                 rows, found = [], []
-                for low, _, data, offsets in pieces_of(pc.utf8_lower(batch.column("text"))):
+                for low, _, data, offsets in pieces_of(pc.utf8_lower(batch.column("text")), index.chunk()):
                     for text, *rest in index.held(data, offsets):
                         rows.append(low + text)
                         found.append(rest)
@@ -265,7 +346,7 @@ def without_items(docs: DataFrame, benchmark: DataFrame, id_column: str = "item_
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 lowered = pc.utf8_lower(batch.column("text"))
-                for low, _, data, offsets in pieces_of(lowered):
+                for low, _, data, offsets in pieces_of(lowered, sent.value.chunk()):
                     for held in sent.value.held(data, offsets):
                         keep[low + held[0]] = False
                 yield batch.filter(pa.array(keep))

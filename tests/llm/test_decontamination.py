@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from ridelake.llm import decontamination
@@ -62,6 +63,42 @@ def test_recall_against_exact_edit_distance(texts, benchmark, rate, least):
     assert got <= due and len(got) >= least * len(due)
 
 
+@pytest.mark.parametrize("rate", [0.12, 0.15, 0.18, 0.2])
+@pytest.mark.parametrize("size", [44, 64, 120, 400])
+def test_recall_up_to_the_accepted_distance_by_length(benchmark, size, rate):
+    rng = random.Random(size)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    items = [fold(r.text[:size]) for r in benchmark.collect()]
+    index = decontamination.Index.of(list(range(len(items))), items)
+    rows, due = [], set()
+    for n in range(160):
+        item = items[n % len(items)]
+        edited = "".join(rng.choice(["", rng.choice(letters), c + rng.choice(letters)]) if rng.random() < rate else c for c in item)
+        rows.append(fold(f"some words before {edited} and some words behind").encode())
+        if len(item) >= 40 and distance(item, rows[-1].decode(), 0)[0] <= int(0.2 * len(item)):
+            due.add((n, n % len(items)))
+    offsets = np.cumsum([0, *map(len, rows)])
+    got = {found[:2] for found in index.held(np.frombuffer(b"".join(rows), np.uint8), offsets)}
+    assert len(due) >= 50 and len(got & due) >= 0.97 * len(due)
+
+
+def test_lower_bound_is_one(benchmark):
+    rng = random.Random(3)
+    items = [fold(r.text) for r in benchmark.collect()]
+    index = decontamination.Index.of(list(range(len(items))), items)
+    text = " ".join(fold(r) for r in rng.sample(items, 10))
+    kinds = np.frombuffer(text.encode("utf-32-le"), np.uint32) % decontamination.KINDS
+    for _ in range(20):
+        item = np.array([rng.randrange(len(items)) for _ in range(5)])
+        low = np.array([rng.randrange(len(text) // 2) for _ in range(5)])
+        high = low + [rng.randrange(1, len(text) // 2) for _ in range(5)]
+        least = index.least(item, low, high, kinds)
+        for i, a, b, bound in zip(item, low, high, least, strict=True):
+            assert bound <= distance(items[i], text[a:b], 0)[0]
+            merged = [ord(c) % decontamination.KINDS for c in items[i]]
+            assert bound == sum(table_distance(merged[k : k + 64], kinds[a:b])[0] for k in range(0, len(merged), 64))
+
+
 def test_odd_rows(spark, texts, odd_texts, benchmark):
     item = benchmark.first().text
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "short"), (4, item), (4, item), (5, "  ".join(item.split()))], "item_id long, text string")
