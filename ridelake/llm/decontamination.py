@@ -2,12 +2,15 @@
 
 Texts and items are lower-cased and their blanks folded to one. A text holds an item if
 the smallest edit distance of the item to any substring of the text is at most `MOST` of
-the item's length. A pair is found in three steps:
+the item's length. An item shorter than `SHORTEST` code points after folding has one edit,
+below `WHOLE` code points none, and must then stand in the text as whole words (where a
+script puts blanks between words). A pair is found in three steps:
 
 1. Runs of bytes that an item and a text share, looked up at every byte of the text, so
    that blanks and scripts do not matter. `SEEDS` gives by the item's length how long a
    run is and how many bytes of a text must begin one within the item's length and its
-   edits. The longer the item, the longer and the more the runs. An item of s bytes is
+   edits. The longer the item, the longer and the more the runs. Items below `SHORTEST`
+   have such runs that none is missed, and for others an item of s bytes is
    found for sure if a stretch of run + need - 1 bytes is unedited anywhere in it, so
    with up to about s / (run + need) edits however they are placed; with characters
    edited at random the counts aim at 0.97 at `MOST` for the shortest (measured: README).
@@ -16,9 +19,7 @@ the item's length. A pair is found in three steps:
    chunk at once). No pair that is near enough is lost here.
 3. The exact distance at the places left (bit-parallel, on whole strings).
 
-Items shorter than `SHORTEST` code points after folding (also empty and null ones) are
-held by no text: too short to tell from chance. Null and empty texts hold nothing.
-Repeated items and texts are reported each; empty tables give an empty result. Items
+Empty and null items are held by no text. Null and empty texts hold nothing. Repeated items and texts are reported each; empty tables give an empty result. Items
 are sent to the tasks in blocks of about `BLOCK` bytes, one reading of the texts each.
 """
 
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from ridelake.llm.common import CHUNK, Words, pieces_of, ready
 from ridelake.llm.pieces import gathered
 
-MOST, SHORTEST, BLOCK = 0.2, 40, 4 << 20
+MOST, SHORTEST, WHOLE, BLOCK = 0.2, 40, 20, 4 << 20
 #: (bytes of an item from which on it holds, bytes of a run, least runs, bytes of the item for each run).
 SEEDS = [(180, 8, 8, 22), (100, 7, 6, 14), (56, 6, 4, 16), (0, 5, 3, 18)]
 FILTER_BITS = 22
@@ -47,8 +48,18 @@ BITS, KINDS = 64, 64
 LIGHT = 1 << 17
 
 
-def seeds(size: int) -> tuple[int, int]:
-    """(bytes of a run, how many must be shared) for an item of `size` bytes."""
+def allowed(length: int) -> int:
+    """Edits up to which an item of so many characters is held."""
+    return int(MOST * length) if length >= SHORTEST else length // WHOLE
+
+
+def seeds(length: int, size: int) -> tuple[int, int]:
+    """(bytes of a run, how many must be shared) for an item of so many characters and bytes."""
+    if length < WHOLE:
+        return min(8, size), 1
+    if length < SHORTEST:
+        # One edit leaves ten characters in a row, so three runs.
+        return 8, 2
     for least, run, need, each in SEEDS:
         if size >= least:
             return run, max(need, size // each)
@@ -136,6 +147,24 @@ class Runs:
         return np.repeat(near, many), self.item[entry]
 
 
+def in_word(c: str) -> bool:
+    """Whether a character is part of a word in a script with blanks between words."""
+    return c.isalnum() and (c < "\u0e00" or "\uac00" <= c < "\ud7a4")
+
+
+def whole(pattern: str, text: str) -> int:
+    """Where the first `pattern` ends in `text` that is not cut out of a longer word, or -1."""
+    at = text.find(pattern)
+    while at >= 0:
+        end = at + len(pattern)
+        before = at > 0 and in_word(text[at - 1]) and in_word(pattern[0])
+        behind = end < len(text) and in_word(text[end]) and in_word(pattern[-1])
+        if not before and not behind:
+            return end
+        at = text.find(pattern, at + 1)
+    return -1
+
+
 @dataclass
 class Index:
     """Runs and blocks of characters of a block of items."""
@@ -156,15 +185,17 @@ class Index:
             for _, _, data, offsets in pieces_of(lowered):
                 flat = folded(data, Words(data, offsets))[0][:-1]
                 plain = flat.tobytes().decode()
-                if len(plain) < SHORTEST:
+                if not plain:
                     continue
-                size, need = seeds(len(flat))
-                own = np.unique(runs(flat)[: len(flat) - size + 1] & low_bytes(size))
+                size, need = seeds(len(plain), len(flat))
+                # Without edits the first run is enough.
+                places = 1 if len(plain) < WHOLE else len(flat) - size + 1
+                own = np.unique(runs(flat)[:places] & low_bytes(size))
                 found.setdefault(size, []).append((own, np.full(len(own), len(out.ids))))
                 out.ids.append(item_id)
                 out.texts.append(plain)
                 out.need.append(need)
-                out.most.append(int(MOST * len(plain)))
+                out.most.append(allowed(len(plain)))
                 out.bytes += len(flat)
         out.runs = [Runs(size, *(np.concatenate(x) for x in zip(*own, strict=True))) for size, own in sorted(found.items())]
         out.need, out.most = np.array(out.need, np.int64), np.array(out.most, np.int64)
@@ -271,7 +302,11 @@ class Index:
                 continue
             pattern, most = self.texts[which], int(self.most[which])
             window = flat[byte[a] : byte[b]].tobytes().decode()
-            away, end = distance(pattern, window, most)
+            if len(pattern) < WHOLE:
+                end = whole(pattern, window)
+                away = 0 if end >= 0 else most + 1
+            else:
+                away, end = distance(pattern, window, most)
             if away <= most and (old is None or away < old[0]):
                 # The best start: the same from the end, with both strings turned round.
                 _, back = distance(pattern[::-1], window[:end][::-1], most)

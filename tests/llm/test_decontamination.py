@@ -82,6 +82,69 @@ def test_recall_up_to_the_accepted_distance_by_length(benchmark, size, rate):
     assert len(due) >= 50 and len(got & due) >= 0.97 * len(due)
 
 
+def test_copies_of_short_and_blank_free_items(spark, texts):
+    chinese = "请问下列哪一项不是光合作用的产物以及它在植物体内的作用是什么请说明理由并举出至少两个例子加以解释"
+    items = [
+        (1, "What is 2+2?"),
+        (2, "Who wrote Hamlet and when was it?"),
+        (3, "水的沸点是多少"),
+        (4, chinese),
+        (5, "https://example.org/a/very/long/path/that/has/no/blank?query=1&other=2"),
+        (6, "art"),
+        (7, "é"),
+        (8, "pneumonoultramicroscopicsilicovolcanoconiosisesare words"),
+        (9, "  "),
+        (10, None),
+    ]
+    rows = [
+        (1, "They asked:  what is\n2+2? And so on"),
+        (2, "it said (who wrote hamlet and when was it?) there"),
+        (3, "it said who wrote hamlt and when was it? there"),
+        (4, "it said who wrote hamlt and when is it? there"),
+        (5, "我想知道水的沸点是多少度"),
+        (6, "前面还有别的文字" + chinese + "后面也还有别的文字"),
+        (7, "前面还有别的文字" + chinese.replace("植物", "动物") + "后面也还有别的文字"),
+        (8, "see(https://example.org/a/very/long/path/that/has/no/blank?query=1&other=2)there"),
+        (9, "the start of a party, artful"),
+        (10, "the start of a party: Art!"),
+        (11, "café"),
+        (12, "x é"),
+        (13, "xxpneumonoultramicroscopicsilicovolcanoconiosisesare wordsyy"),
+        (14, "what is 2+22?"),
+        (15, "art"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.edit_distance, r.first_word, r.n_words) for r in matches(texts(rows), benchmark).collect()}
+    assert got == {
+        (1, 1): (0, 2, 3),
+        (2, 2): (0, 2, 7),
+        (3, 2): (1, 2, 7),
+        (5, 3): (0, 0, 1),
+        (6, 4): (0, 0, 1),
+        (7, 4): (1, 0, 1),
+        (8, 5): (0, 0, 1),
+        (10, 6): (0, 5, 1),
+        (12, 7): (0, 1, 1),
+        (13, 8): (0, 0, 2),
+        (15, 6): (0, 0, 1),
+    }
+    assert sorted(r.doc_id for r in without_items(texts(rows), benchmark).collect()) == [4, 9, 11, 14]
+
+
+def test_an_edit_in_short_items_is_found_wherever_it_is():
+    rng = random.Random(9)
+    for size in range(1, 40):
+        item = "".join(rng.choice("abcdeé中") for _ in range(size))
+        index = decontamination.Index.of([1], [item])
+        edits = [item]
+        if size >= 20:
+            edits += [item[:k] + change + item[k + 1 :] for k in range(size) for change in ("", "z", item[k] + "z")]
+        rows = [f"some {e} text".encode() for e in edits]
+        held = list(index.held(np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])))
+        assert [h[0] for h in held] == list(range(len(rows)))
+        assert all(h[2] <= 1 and h[3:] == (1, 1) for h in held)
+
+
 def test_lower_bound_is_one(benchmark):
     rng = random.Random(3)
     items = [fold(r.text) for r in benchmark.collect()]
