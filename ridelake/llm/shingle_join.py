@@ -44,8 +44,9 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ridelake.llm.common import Words, grams, mixed, pieces_of, ready, stored
 from ridelake.llm.components import components
@@ -471,16 +472,13 @@ def open_groups(rest: DataFrame, nodes: DataFrame) -> DataFrame:
     return small.unionAll(stored(possible_groups(listed, histograms(nodes))))
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row."""
-    spark = ready(docs.sparkSession)
-    every = stored(members(docs))
+def linked(docs: DataFrame, every: DataFrame, stands: DataFrame) -> DataFrame:
+    """(id, component) of the sets that link with others.
+
+    every: the sets of `docs`; stands: (f1, f2, id), the node of each set that takes part.
+    """
     total = every.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     bins = max(1, -(-8 * total // RANGE))
-    # The smallest id of equal sets; a set without tokens equals no other.
-    stands = stored(
-        every.where(F.col("n_shingles") > 0).groupBy("f1", "f2").agg(F.min(F.col("doc_id").cast("long")).alias("id"))
-    )
     sent = dealt_tokens(docs, bins).groupBy("bin").applyInArrow(counted, "block long, directory boolean, payload binary")
     able = sent.groupBy("block").applyInArrow(reassembled, "f1 long, f2 long, n long, prefix long, tokens binary")
     once = able.groupBy("f1", "f2").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "tokens")))
@@ -502,7 +500,18 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
     rest = stored(labelled.join(several.select("token", "hub"), "token"))
     more = stored(group_links(open_groups(rest, nodes), nodes))
-    joined = components(links.unionAll(more))
+    return components(links.unionAll(more))
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row."""
+    ready(docs.sparkSession)
+    every = stored(members(docs))
+    # The smallest id of equal sets; a set without tokens equals no other.
+    stands = stored(
+        every.where(F.col("n_shingles") > 0).groupBy("f1", "f2").agg(F.min(F.col("doc_id").cast("long")).alias("id"))
+    )
+    joined = linked(docs, every, stands)
     stand = every.join(stands, ["f1", "f2"], "left").select(
         "doc_id", "n_shingles", F.coalesce("id", F.col("doc_id").cast("long")).alias("id")
     )
@@ -511,17 +520,67 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
 
 
+def with_sets(docs: DataFrame) -> DataFrame:
+    """`docs` with the text as __text and the size and fingerprint of its set as __n, __f1, __f2."""
+
+    def run(batches):
+        for batch in batches:
+            for low, high, data, offsets in pieces_of(batch.column("__text")):
+                token, at = text_sets(data, offsets)
+                own = [np.diff(at), *fingerprints(token, at)]
+                part = batch.slice(low, high - low)
+                yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, own)], names=[*part.schema.names, "__n", "__f1", "__f2"])
+
+    source = docs.withColumn("__text", F.col("text").cast("string"))
+    schema = StructType([*source.schema.fields, *(StructField(name, LongType()) for name in ("__n", "__f1", "__f2"))])
+    return source.mapInArrow(run, schema)
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its component, all columns.
+    """One row of `docs` for each component of texts, all columns.
 
-    Of rows that share an id the first by text stays; rows without an id all stay.
+    Rows are told apart by their texts, whatever their ids: of a component the row with
+    the smallest id stays (without an id only if none has one), of several texts with
+    that id the one with the smallest fingerprint, of several rows with the same set the
+    first by text. Texts without words are in no component; of those with the same id and
+    text one stays, and all without an id.
     """
-    found = similar_components(docs)
-    gone = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti")
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = named.withColumn("__number", number).where(F.col("__number") == 1).select(*docs.columns)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    ready(docs.sparkSession)
+    every = stored(members(docs))
+    # A node for each set, as ids need not tell sets apart.
+    sets = every.where(F.col("n_shingles") > 0).groupBy("f1", "f2").agg(F.min(F.col("doc_id").cast("long")).alias("first_id"))
+    sets = stored(sets.withColumn("id", F.monotonically_increasing_id()))
+    joined = linked(docs, every, sets.select("f1", "f2", "id"))
+    stays = (
+        sets.join(joined, "id", "left")
+        .groupBy(F.coalesce("component", "id").alias("component"))
+        .agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "f1", "f2")).alias("row"))
+        .select(
+            F.col("row.f1").alias("__f1"),
+            F.col("row.f2").alias("__f2"),
+            F.coalesce("row.first_id", F.lit(0)).alias("__id"),
+            F.col("row.first_id").isNotNull().alias("__named"),
+            F.lit("").alias("__own"),
+            F.lit(True).alias("__stays"),
+        )
+    )
+    by = ["__f1", "__f2", "__id", "__named", "__own"]
+    wordless = (
+        F.when(F.col("doc_id").isNull(), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")))
+        .when(F.col("__text").isNull(), F.lit("null"))
+        .otherwise(F.concat(F.lit("text "), F.col("__text")))
+    )
+    # Rows with the same id and set are combined before the shuffle.
+    rows = (
+        with_sets(docs)
+        .withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+        .withColumn("__named", F.col("doc_id").isNotNull())
+        .withColumn("__own", F.when(F.col("__n") > 0, F.lit("")).otherwise(wordless))
+        .groupBy(*by)
+        .agg(F.min_by(F.struct(*docs.columns), F.coalesce("__text", F.lit(""))).alias("row"), F.max("__n").alias("__n"))
+    )
+    kept = rows.join(stays, by, "left").where((F.col("__n") == 0) | F.col("__stays"))
+    return kept.select("row.*")
 
 
 def op3_ngram_jaccard(docs: DataFrame) -> DataFrame:

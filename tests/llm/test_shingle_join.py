@@ -96,6 +96,39 @@ def test_one_of_each(texts, odd_texts):
     assert got == sorted(map(repr, [1, 2, 3, 4, None, 6, 7, 8, 9, 10, 19, 21]))
 
 
+def test_one_of_each_goes_by_texts(texts):
+    def text(word):
+        return " ".join(f"{word}{k}" for k in range(40))
+
+    near = text("a").replace("a39", "other")
+    rows = [
+        (3, text("a")),
+        (5, text("b")),
+        (5, text("b")),
+        (5, near),
+        (5, text("c")),
+        (6, text("c")),
+        (None, text("d")),
+        (None, text("d").upper()),
+        (None, text("a")),
+        (None, text("e")),
+        (7, text("e")),
+        (7, ""),
+        (7, ""),
+        (7, None),
+        (None, ""),
+        (None, ""),
+    ]
+    got = sorted(((r.doc_id, (r.text or repr(r.text)).lower()) for r in one_of_each(texts(rows).repartition(3)).collect()), key=repr)
+    want = [(3, text("a")), (5, text("b")), (5, text("c")), (None, text("d")), (7, text("e")), (7, "''"), (7, "none"), (None, "''"), (None, "''")]
+    assert got == sorted(want, key=repr)
+
+
+def test_one_id_on_many_texts(texts):
+    rows = [(1 if n % 3 else n, f"{n} one text with words of its own {n * 7} and {n * n}") for n in range(90)]
+    assert one_of_each(texts(rows)).count() == 90
+
+
 def test_tree_traversal_gives_all_partners():
     rng = np.random.default_rng(2)
     pool = np.sort(rng.integers(0, 1 << 60, 400).astype(np.uint64))
