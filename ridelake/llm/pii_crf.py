@@ -341,12 +341,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = (
         docs.where(F.col("doc_id").isNotNull())
         .select(F.col("doc_id").alias("chosen_id"), F.xxhash64("doc_id").alias("key"))
+        .distinct()
         .orderBy("key", "chosen_id")
         .limit(sample)
-        .distinct()
     )
     # At most `sample` rows of two numbers.
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id"))
+    matched = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id"))
+    # One text of each id, combined before the shuffle, so that the bound holds for rows.
+    first = F.min(F.struct(F.xxhash64("text"), "text")).alias("row")
+    texts = matched.groupBy("chosen_id", "key").agg(first).select("key", "row.text")
 
     def run(batches):
         for batch in batches:

@@ -15,7 +15,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, excluded: Co
     """(key, label, lang, text) of at most `bound` labelled texts, chosen by a hash of the id.
 
     `excluded` is over the doc_id of `labels`. An id labelled more than once takes
-    its smallest label; of documents that share an id, all are used.
+    its smallest label; of documents that share an id, the one with the smallest hash is
+    used, so that the bound holds for rows.
     """
     chosen = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~excluded)
@@ -34,7 +35,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, excluded: Co
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     joined = texts.join(small, texts.doc_id == small.labelled_id)
-    return joined.select("key", "label", "lang", "text")
+    # Combined before the shuffle, however many rows an id has.
+    first = F.min(F.struct(F.xxhash64("text", "lang"), "lang", "text")).alias("row")
+    return joined.groupBy("labelled_id", "key", "label").agg(first).select("key", "label", "row.lang", "row.text")
 
 
 def fitted(examples: DataFrame, train: Callable[[pa.Table], object]) -> object:

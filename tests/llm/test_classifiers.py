@@ -3,11 +3,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ridelake.llm import quality_nbsvm, toxicity_cnn
 from ridelake.llm.common import held_out, pieces_of
 from ridelake.llm.quality_nbsvm import op1_quality_classifier
-from ridelake.llm.supervised import platt, sigmoid
+from ridelake.llm.supervised import labelled_sample, platt, sigmoid
 from ridelake.llm.toxicity_cnn import Model, buckets, op9_toxicity, padded, without_toxic
 
 QUERIES = [(op1_quality_classifier, "quality", 5, 0), (op9_toxicity, "toxic", 3, 1)]
@@ -134,3 +135,13 @@ def test_stage_keeps_columns(texts, odd_texts, larger):
     kept = without_toxic(df, model)
     assert kept.columns == df.columns
     assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(repr(i) for i, _ in odd_texts)
+
+
+def test_sample_is_bounded_by_rows(spark, texts):
+    rows = [(1, f"text {n}") for n in range(200)] + [(n, "other") for n in range(2, 12)] + [(12, None), (12, None)]
+    labels = spark.createDataFrame([(n, n % 2) for n in range(1, 13)], "doc_id long, good int")
+    got = labelled_sample(texts(rows), labels, "good", F.lit(False), 12).collect()
+    assert len(got) == 12 and len({r.key for r in got}) == 12
+    assert [r.text for r in labelled_sample(texts(rows[::-1]), labels, "good", F.lit(False), 12).orderBy("key").collect()] == [
+        r.text for r in sorted(got, key=lambda r: r.key)
+    ]

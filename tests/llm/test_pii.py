@@ -130,3 +130,13 @@ def test_masking(texts, model):
     assert got.columns == df.columns
     assert {r.doc_id: r.text for r in got.collect()} == {1: "write to [email] or [ip] ok", 2: None, 3: "nothing", None: "[email]"}
     assert masked("abcdef", [("email", 0, 3), ("card", 2, 4)]) == "[email]ef"
+
+
+def test_sample_of_the_fit_is_bounded_by_rows(texts, monkeypatch):
+    from ridelake.llm import pii_crf
+
+    given = []
+    monkeypatch.setattr(pii_crf, "fitted", lambda packed, train: given.append(sorted(r.key for r in packed.collect())))
+    rows = [(1, f"mail {n}@example.org or call 12345{n}") for n in range(200)] + [(n, f"{n}@example.org") for n in range(2, 10)]
+    fit(texts(rows), 9)
+    assert len(given[0]) == len(set(given[0])) == 9
