@@ -10,17 +10,18 @@ script puts blanks between words). A pair is found in three steps:
    that blanks and scripts do not matter. `SEEDS` gives by the item's length how long a
    run is and how many bytes of a text must begin one within the item's length and its
    edits. The longer the item, the longer and the more the runs. Items below `SHORTEST`
-   have such runs that none is missed, and for others an item of s bytes is
-   found for sure if a stretch of run + need - 1 bytes is unedited anywhere in it, so
-   with up to about s / (run + need) edits however they are placed; with characters
+   have such runs that none is missed; any other item of s bytes is found for sure if
+   a stretch of run + need - 1 bytes is unedited anywhere in it, so with up to about s / (run + need) edits however they are placed; with characters
    edited at random the counts aim at 0.97 at `MOST` for the shortest (measured: README).
 2. A lower bound: the item is cut into blocks of 64 characters, whose smallest distances
    to the place add up to no more than the item's (bit-parallel, over all places of a
    chunk at once). No pair that is near enough is lost here.
 3. The exact distance at the places left (bit-parallel, on whole strings).
 
-Empty and null items are held by no text. Null and empty texts hold nothing. Repeated items and texts are reported each; empty tables give an empty result. Items
-are sent to the tasks in blocks of about `BLOCK` bytes, one reading of the texts each.
+Empty and null items are held by no text. Null and empty texts hold nothing. Repeated
+items and texts are reported each; empty tables give an empty result. Items are sent to
+the tasks in blocks of about `BLOCK` bytes, one reading of the texts each; equal rows
+are sent once, with their number.
 """
 
 from __future__ import annotations
@@ -171,16 +172,18 @@ class Index:
 
     ids: list
     texts: list[str] = field(default_factory=list)
+    #: How many rows each item stands for.
+    copies: list[int] = field(default_factory=list)
     #: By item: shared runs needed, edits allowed, characters of a place that may hold it.
     need: np.ndarray | list[int] = field(default_factory=list)
     most: np.ndarray | list[int] = field(default_factory=list)
 
     @classmethod
-    def of(cls, ids: list, texts: list[str | None]) -> Index:
+    def of(cls, ids: list, texts: list[str | None], copies: list[int] | None = None) -> Index:
         out = cls([])
         found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         out.bytes = 0
-        for item_id, text in zip(ids, texts, strict=True):
+        for item_id, text, many in zip(ids, texts, copies or [1] * len(ids), strict=True):
             lowered = pc.utf8_lower(pa.array([text or ""]))
             for _, _, data, offsets in pieces_of(lowered):
                 flat = folded(data, Words(data, offsets))[0][:-1]
@@ -194,6 +197,7 @@ class Index:
                 found.setdefault(size, []).append((own, np.full(len(own), len(out.ids))))
                 out.ids.append(item_id)
                 out.texts.append(plain)
+                out.copies.append(many)
                 out.need.append(need)
                 out.most.append(allowed(len(plain)))
                 out.bytes += len(flat)
@@ -320,14 +324,15 @@ class Index:
 
 
 def indexes(benchmark: DataFrame, id_column: str, text: str) -> Iterator[Index]:
-    """The items in blocks, each of which is small enough to send to all tasks."""
-    items = benchmark.select(F.col(id_column).alias("item_id"), F.col(text).cast("string").alias("text"))
+    """The distinct items in blocks, each of which is small enough to send to all tasks."""
+    rows = benchmark.select(F.col(id_column).alias("item_id"), F.col(text).cast("string").alias("text"))
+    items = rows.where(F.octet_length("text") > 0).groupBy("item_id", "text").agg(F.count("*").alias("many"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     count = -(-total // BLOCK)
     dealt = items.withColumn("block", F.pmod(F.xxhash64("text", "item_id"), F.lit(max(1, count))))
     for block in range(count):
         rows = dealt.where(F.col("block") == block).orderBy("item_id", "text").collect()
-        yield Index.of([r["item_id"] for r in rows], [r["text"] for r in rows])
+        yield Index.of([r["item_id"] for r in rows], [r["text"] for r in rows], [r["many"] for r in rows])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "item_id", text: str = "text") -> DataFrame:
@@ -359,15 +364,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "item_id", t
                             pa.array(like, pa.float64()),
                             pa.array(first, pa.int64()),
                             pa.array(many, pa.int64()),
+                            pa.array([index.copies[w] for w in which], pa.int64()),
                         ],
-                        names=["doc_id", "item_id", "edit_distance", "similarity", "first_word", "n_words"],
+                        names=["doc_id", "item_id", "edit_distance", "similarity", "first_word", "n_words", "copies"],
                     )
 
         return run
 
     out = None
     for index in indexes(benchmark, id_column, text):
-        part = source.mapInArrow(finder(spark.sparkContext.broadcast(index)), schema)
+        part = source.mapInArrow(finder(spark.sparkContext.broadcast(index)), f"{schema}, copies long")
+        part = part.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "copy")
         out = part if out is None else out.unionAll(part)
     return out if out is not None else spark.createDataFrame([], schema)
 

@@ -145,6 +145,16 @@ def test_an_edit_in_short_items_is_found_wherever_it_is():
         assert all(h[2] <= 1 and h[3:] == (1, 1) for h in held)
 
 
+def test_a_repeated_item_is_sent_once(spark, texts, benchmark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK", 2000)
+    item = benchmark.first()
+    repeated = spark.createDataFrame([(item.item_id, item.text)] * 300 + [(-1, item.text)], "item_id long, text string")
+    sent = list(decontamination.indexes(repeated, "item_id", "text"))
+    assert sorted(i for index in sent for i in index.ids) == [-1, item.item_id]
+    got = [r.item_id for r in matches(texts([(1, f"x {item.text} y"), (2, "z")]), repeated).collect()]
+    assert sorted(got) == [-1] + [item.item_id] * 300
+
+
 def test_lower_bound_is_one(benchmark):
     rng = random.Random(3)
     items = [fold(r.text) for r in benchmark.collect()]
