@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and their SQL where SQL can express one."""
+"""The registered queries of the operators, and their SQL where SQL can express one."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ridelake.llm import (
+    best_fit_packing,
     chat_format,
     decontamination,
     pii_crf,
@@ -67,6 +68,10 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.op10_token_output(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.op11_best_fit_packing(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat_format,
         op9_toxicity,
         op10_token_output,
+        op11_best_fit_packing,
     )
 }
 
