@@ -10,6 +10,8 @@ from ridelake.llm import (
     best_fit_packing,
     chat_format,
     decontamination,
+    embedding_whitening,
+    impact_search,
     pii_crf,
     piece_sampling,
     quality_nbsvm,
@@ -72,6 +74,14 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.op11_best_fit_packing(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_search.op12_ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.op13_embedding_whitening(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,7 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_toxicity,
         op10_token_output,
         op11_best_fit_packing,
+        op12_ranked_search,
+        op13_embedding_whitening,
     )
 }
 
-ORACLES: dict[str, str] = {"op8_chat_format": chat_format.ORACLE}
+ORACLES: dict[str, str] = {"op8_chat_format": chat_format.ORACLE, "op12_ranked_search": impact_search.ORACLE}
