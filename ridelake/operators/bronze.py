@@ -1,11 +1,13 @@
 """Bronze projections: one output row per raw record, numbers made numeric.
 
 A missing number becomes 0. Text that is not a number becomes NULL, never 0, so
-that validation reports the row.
+that validation reports the row. `keep` names columns that go along as they are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +31,9 @@ def number(df: DataFrame, name: str, kind: str, default) -> Column:
     return F.when(c.isNull(), F.lit(default).cast(kind)).otherwise(value).alias(name)
 
 
-def _project(df: DataFrame, names: str, numbers: dict[str, str]) -> DataFrame:
+def _project(df: DataFrame, names: str, numbers: dict[str, str], keep: Sequence[str]) -> DataFrame:
     return df.select(
+        *keep,
         *(
             number(df, n, numbers[n], 0) if n in numbers else field(df, n).alias(n)
             for n in names.split()
@@ -38,31 +41,34 @@ def _project(df: DataFrame, names: str, numbers: dict[str, str]) -> DataFrame:
     )
 
 
-def bronze_passenger(df: DataFrame) -> DataFrame:
+def bronze_passenger(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return _project(
         df,
         "passenger_id first_name last_name email phone signup_timestamp city country status",
         {},
+        keep,
     )
 
 
-def bronze_driver(df: DataFrame) -> DataFrame:
+def bronze_driver(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return _project(
         df,
         "driver_id first_name last_name signup_timestamp rating city country status",
         {"rating": "double"},
+        keep,
     )
 
 
-def bronze_vehicle(df: DataFrame) -> DataFrame:
+def bronze_vehicle(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return _project(
         df,
         "vehicle_id driver_id make model year vehicle_type license_plate",
         {"year": "int"},
+        keep,
     )
 
 
-def bronze_ride(df: DataFrame) -> DataFrame:
+def bronze_ride(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return _project(
         df,
         "ride_id passenger_id driver_id vehicle_id "
@@ -79,14 +85,16 @@ def bronze_ride(df: DataFrame) -> DataFrame:
             "duration_minutes": "int",
             "fare_amount": "double",
         },
+        keep,
     )
 
 
-def bronze_payment(df: DataFrame) -> DataFrame:
+def bronze_payment(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return _project(
         df,
         "payment_id ride_id payment_timestamp payment_method amount currency payment_status",
         {"amount": "double"},
+        keep,
     )
 
 

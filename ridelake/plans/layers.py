@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ridelake.operators import gold
-from ridelake.operators.bronze import BRONZE
+from ridelake.operators.digest import Digest, digest, found
 from ridelake.operators.normalise import NORMALISE
 from ridelake.operators.refine import REFINE, WIDE_RIDE_STATUSES, refine_ride
-from ridelake.sources.files import ingest_bronze, malformed_lines, read_bronze, read_raw, write_quarantine
+from ridelake.sources.files import read_bronze, write_routed
 from ridelake.sources.schemas import ENTITIES
 from ridelake.sources.tables import read_table, write_table
 
@@ -26,8 +26,10 @@ class LayerConfig:
 
     `jobs` and `notebooks` refine silver, the latter with the wider ride filter,
     city grouping and joined dimensions in gold. `records` normalises silver and
-    computes the daily metrics from unfiltered bronze rides. With `quarantine_dir` the
-    run also writes judged records, and lines that are no records, there.
+    computes the daily metrics from unfiltered bronze rides. Bronze holds, beside the
+    valid records, the invalid ones with their errors, and the lines that are no
+    records (`read_routed`). With `verify` each table is compared, by a digest of its
+    content, with the rows that went into it.
     """
 
     raw_dir: str
@@ -35,7 +37,7 @@ class LayerConfig:
     prefix: str = ""
     table_dir: str | None = None
     style: str = "jobs"
-    quarantine_dir: str | None = None
+    verify: bool = True
 
     def __post_init__(self):
         if self.style not in STYLES:
@@ -44,12 +46,22 @@ class LayerConfig:
     def table(self, layer: str, name: str) -> str:
         return f"{self.prefix}{layer}_{name}"
 
-    def write(self, df: DataFrame, layer: str, name: str, partition_by=()) -> None:
+    def write(self, df: DataFrame, layer: str, name: str, partition_by=()) -> Digest | None:
         place = f"{self.table_dir}/{layer}/{name}" if self.table_dir else None
-        write_table(df, self.table(layer, name), partition_by, location=place)
+        return write_table(df, self.table(layer, name), partition_by, location=place, verify=self.verify)
 
 
-def build_silver(spark: SparkSession, cfg: LayerConfig) -> list[str]:
+Contents = dict[str, Digest | None]
+
+
+def build_bronze(spark: SparkSession, cfg: LayerConfig) -> Contents:
+    """Every landed line, read, parsed and judged once, in bronze or beside it."""
+    project = cfg.style == "records"
+    return {e: write_routed(spark, cfg.raw_dir, cfg.bronze_dir, e, project, cfg.verify) for e in ENTITIES}
+
+
+def build_silver(spark: SparkSession, cfg: LayerConfig) -> Contents:
+    made: Contents = {}
     for entity in ENTITIES:
         bronze = read_bronze(spark, cfg.bronze_dir, entity)
         if cfg.style == "records":
@@ -60,15 +72,13 @@ def build_silver(spark: SparkSession, cfg: LayerConfig) -> list[str]:
             parts = ("pickup_city",)
         else:
             out, parts = REFINE[entity](bronze), ()
-        cfg.write(out, "silver", entity, parts)
-    return list(ENTITIES)
+        made[entity] = cfg.write(out, "silver", entity, parts)
+    return made
 
 
-def build_gold(spark: SparkSession, cfg: LayerConfig) -> list[str]:
+def build_gold(spark: SparkSession, cfg: LayerConfig) -> Contents:
     frames = gold_frames(spark, cfg)
-    for name, (df, parts) in frames.items():
-        cfg.write(df, "gold", name, parts)
-    return list(frames)
+    return {name: cfg.write(df, "gold", name, parts) for name, (df, parts) in frames.items()}
 
 
 def gold_frames(spark: SparkSession, cfg: LayerConfig) -> dict[str, tuple[DataFrame, tuple]]:
@@ -103,48 +113,38 @@ def gold_frames(spark: SparkSession, cfg: LayerConfig) -> dict[str, tuple[DataFr
     }
 
 
-def write_quarantines(spark: SparkSession, cfg: LayerConfig) -> None:
-    """Per entity the judged records, valid and invalid apart, and the malformed lines."""
-    for entity in ENTITIES:
-        records = BRONZE[entity](read_raw(spark, cfg.raw_dir, entity, as_text=True))
-        write_quarantine(records, entity, f"{cfg.quarantine_dir}/{entity}")
-        lines = malformed_lines(spark, cfg.raw_dir, entity)
-        lines.write.mode("overwrite").parquet(f"{cfg.quarantine_dir}/malformed/{entity}")
+CONTENTS = "entity STRING, record_count BIGINT, digest_high BIGINT, digest_low BIGINT"
 
 
-def layer_row_counts(
-    spark: SparkSession, cfg: LayerConfig, layer: str, names: list[str]
-) -> DataFrame:
-    """Rows (entity, record_count) of what a layer holds, counted now.
+def layer_contents(spark: SparkSession, cfg: LayerConfig, layer: str, made: Contents) -> DataFrame:
+    """Rows (entity, record_count, digest_high, digest_low) of what a layer holds, by entity.
 
-    Fails if a part is missing or empty. One row per table comes to the driver.
+    The digests are those that the written tables were verified with; where they were
+    not, the tables are read for them now. Fails if a part is missing or empty.
     """
-    if layer == "bronze":
-        frames = {n: read_bronze(spark, cfg.bronze_dir, n) for n in names}
-    else:
-        frames = {n: read_table(spark, cfg.table(layer, n)) for n in names}
-    counts = gold.entity_row_counts(frames)
-    found = counts.collect()
-    empty = sorted(set(names) - {r["entity"] for r in found})
+    read = {n: d or found(digest(_part(spark, cfg, layer, n)).first()) for n, d in made.items()}
+    empty = sorted(n for n, d in read.items() if not d.record_count)
     if empty:
         raise RuntimeError(f"{layer} has no rows in {', '.join(empty)}")
-    return spark.createDataFrame(found, counts.schema)
+    rows = [(n, d.record_count, d.digest_high, d.digest_low) for n, d in sorted(read.items())]
+    return spark.createDataFrame(rows, CONTENTS)
+
+
+def _part(spark: SparkSession, cfg: LayerConfig, layer: str, name: str) -> DataFrame:
+    if layer == "bronze":
+        return read_bronze(spark, cfg.bronze_dir, name)
+    return read_table(spark, cfg.table(layer, name))
 
 
 def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict[str, DataFrame]:
-    """Run every layer and return the row counts per layer.
+    """Run every layer and return what each holds: rows and digest by table.
 
     Each step reads what the step before has written, so a lost executor costs
-    its tasks only. A layer is counted before the next one begins; an exception in a
-    step, or an empty table, ends the run.
+    its tasks only. A layer is verified before the next one begins; an exception in a
+    step, a table that is empty, or one that does not hold what was written, ends the run.
     """
-    ingest_bronze(spark, cfg.raw_dir, cfg.bronze_dir, project=cfg.style == "records")
-    if cfg.quarantine_dir:
-        write_quarantines(spark, cfg)
-    counts = {"bronze": layer_row_counts(spark, cfg, "bronze", list(ENTITIES))}
-    log.info("bronze written")
-    counts["silver"] = layer_row_counts(spark, cfg, "silver", build_silver(spark, cfg))
-    log.info("silver written")
-    counts["gold"] = layer_row_counts(spark, cfg, "gold", build_gold(spark, cfg))
-    log.info("gold written")
-    return counts
+    contents = {}
+    for layer, build in (("bronze", build_bronze), ("silver", build_silver), ("gold", build_gold)):
+        contents[layer] = layer_contents(spark, cfg, layer, build(spark, cfg))
+        log.info("%s written", layer)
+    return contents

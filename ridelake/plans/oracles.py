@@ -6,6 +6,8 @@ the domain views, which give both sides the same input.
 
 from __future__ import annotations
 
+import re
+
 from ridelake.sources.star_schema import with_views
 
 ISO = (
@@ -99,6 +101,12 @@ SELECT payment_id, ride_id, payment_timestamp, payment_method, {_num("amount")},
        currency, payment_status FROM raw_payment""",
 }
 
+# Records as they are read: no defaults.
+TYPED = {
+    e: re.sub(r"CASE WHEN (\S+) IS NULL THEN 0 (WHEN|ELSE)", r"CASE WHEN \1 IS NULL THEN NULL \2", q)
+    for e, q in BRONZE.items()
+}
+
 NORMALISED = {
     "passenger": f"""
 SELECT COALESCE(passenger_id, '') AS passenger_id, {_tidy("first_name")} AS first_name,
@@ -476,15 +484,27 @@ FROM (
 ) g LEFT JOIN ({ratings}) d ON g.driver_id = d.driver_id"""
 
 
-_PERFORMANCE = f"""
+def _performance(source: str) -> str:
+    return f"""
 SELECT driver_id, COUNT(ride_id) AS completed_rides, {_total("fare_amount")} AS total_revenue,
        {_mean("fare_amount")} AS avg_fare
-FROM ride WHERE ride_status = 'completed' GROUP BY driver_id"""
+FROM {source} WHERE ride_status = 'completed' GROUP BY driver_id"""
 
-_ACTIVITY = f"""
+
+def _activity(source: str) -> str:
+    return f"""
 SELECT passenger_id, COUNT(ride_id) AS total_rides, {_total("fare_amount")} AS total_spent,
        {_mean("fare_amount")} AS avg_fare
-FROM ride GROUP BY passenger_id"""
+FROM {source} GROUP BY passenger_id"""
+
+
+_PERFORMANCE, _ACTIVITY = _performance("ride"), _activity("ride")
+
+
+def _daily_rides(source: str) -> str:
+    return f"""
+SELECT {_DAY} AS request_date, COUNT(ride_id) AS total_rides, {_mean("fare_amount")} AS avg_fare
+FROM {source} GROUP BY 1"""
 
 
 def _daily_city(source: str) -> str:
@@ -577,12 +597,139 @@ def _layer_counts(style: str) -> str:
     )
 
 
+# --- contents of tables ----------------------------------------------------
+
+DOUBLES = (
+    "rating pickup_latitude pickup_longitude dropoff_latitude dropoff_longitude distance_km "
+    "fare_amount amount avg_fare total_distance_km total_revenue avg_distance_km "
+    "avg_duration_minutes avg_rating total_spent latitude longitude"
+).split()
+
+
+def _two(power: int) -> str:
+    return f"CAST('{2.0**power!r}' AS DOUBLE)"
+
+
+def _number_text(x: str) -> str:
+    """Whole part and 60 binary places, small and large numbers scaled before."""
+
+    def cut(band: str, y: str) -> str:
+        places = f"trunc(({y} - trunc({y})) * {_two(60)})"
+        return f"'{band}' || CAST(CAST(trunc({y}) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST({places} AS BIGINT) AS VARCHAR)"
+
+    return (
+        f"CASE WHEN {x} IS NULL THEN NULL WHEN isnan({x}) THEN 'nan' "
+        f"WHEN abs({x}) < {_two(-8)} THEN {cut('s', f'({x} * {_two(52)})')} "
+        f"WHEN abs({x}) < {_two(62)} THEN {cut('', x)} "
+        f"WHEN abs({x}) < {_two(122)} THEN {cut('l', f'({x} * {_two(-60)})')} "
+        f"WHEN {x} > 0 THEN 'far' ELSE '-far' END"
+    )
+
+
+def _mark(text: str) -> str:
+    return f"COALESCE('v' || length({text}) || ':' || {text}, 'n')"
+
+
+def _marked(column: str) -> str:
+    name, _, place = column.partition("=")
+    if place:
+        return _mark("(" + " || ".join(_marked(f"{name}_{part}") for part in place.split("+")) + ")")
+    number = name in DOUBLES or name.endswith(("_latitude", "_longitude"))
+    return _mark(f"({_number_text(name)})" if number else f"CAST({name} AS VARCHAR)")
+
+
+def _contents(layer: str, entity: str, columns: list[str], source: str) -> str:
+    row = " || ".join(_marked(c) for c in columns)
+
+    def limb(first: int) -> str:
+        return f"CAST(SUM(CAST('0x' || substr(h, {first}, 6) AS BIGINT)) AS BIGINT)"
+
+    return (
+        f"SELECT '{layer}' AS layer, '{entity}' AS entity, COUNT(*) AS record_count, "
+        f"{limb(1)} AS digest_high, {limb(7)} AS digest_low "
+        f"FROM (SELECT md5({row}) AS h FROM ({source}) x) y"
+    )
+
+
+_PLACE = "latitude+longitude+city"
+_SILVER_RECORDS = {
+    "passenger": "passenger_id first_name last_name email phone signup_date city country status",
+    "driver": "driver_id first_name last_name signup_date rating city country status",
+    "vehicle": 'vehicle_id driver_id make model "year" vehicle_type license_plate',
+    "ride": (
+        "ride_id passenger_id driver_id vehicle_id request_date request_time pickup_time dropoff_time "
+        f"pickup_location={_PLACE} dropoff_location={_PLACE} distance_km duration_minutes fare_amount "
+        "currency ride_status"
+    ),
+    "payment": "payment_id ride_id payment_date payment_time payment_method amount currency payment_status",
+}
+_RECORDS_DAY = f"CAST({_ts('request_timestamp')} AS DATE)"
+_LAST_RATING = """SELECT driver_id, rating FROM (
+    SELECT driver_id, rating, row_number() OVER (
+      PARTITION BY driver_id
+      ORDER BY signup_timestamp DESC NULLS LAST, rating DESC NULLS LAST) AS place
+    FROM bronze_driver) q WHERE place = 1"""
+
+
+def _layer_contents(style: str) -> str:
+    """Rows and digests of the 13 tables of a run."""
+    columns = {"passenger": PASSENGER, "driver": DRIVER, "vehicle": VEHICLE, "ride": RIDE, "payment": PAYMENT}
+    parts = [("bronze", e, names, f"SELECT * FROM bronze_{e}") for e, names in columns.items()]
+    if style == "records":
+        parts += [("silver", e, names.split(), NORMALISED[e]) for e, names in _SILVER_RECORDS.items()]
+        daily = _daily("bronze_ride", _RECORDS_DAY)
+        gold = {
+            "ride_daily_metrics": (
+                "date city total_rides completed_rides cancelled_rides total_distance_km total_revenue "
+                "avg_fare avg_distance_km avg_duration_minutes",
+                daily,
+            ),
+            "city_metrics": (
+                "date city total_rides completed_rides total_revenue avg_fare avg_distance_km",
+                daily,
+            ),
+            "driver_metrics": (
+                "date driver_id completed_rides total_distance_km total_revenue avg_rating",
+                _driver_daily("bronze_ride", _RECORDS_DAY, _LAST_RATING),
+            ),
+        }
+    else:
+        wide = style == "notebooks"
+        ride = WIDE_RIDE if wide else REFINED["ride"]
+        silver = {**REFINED, "ride": ride}
+        parts += [("silver", e, columns[e], q) for e, q in silver.items()]
+        performance, activity = _performance(f"({ride}) r"), _activity(f"({ride}) r")
+        gold = {
+            "daily_ride_metrics": ("request_date total_rides avg_fare", _daily_rides(f"({ride}) r")),
+            "driver_performance": ("driver_id completed_rides total_revenue avg_fare", performance),
+            "passenger_activity": ("passenger_id total_rides total_spent avg_fare", activity),
+        }
+        if wide:
+            gold = {
+                "daily_ride_metrics": (
+                    "request_date pickup_city total_rides completed_rides avg_fare total_distance_km",
+                    _daily_city(f"({ride}) r"),
+                ),
+                "driver_performance": (
+                    "driver_id completed_rides total_revenue avg_fare rating",
+                    f"SELECT g.*, d.rating FROM ({performance}) g LEFT JOIN ({REFINED['driver']}) d USING (driver_id)",
+                ),
+                "passenger_activity": (
+                    "passenger_id total_rides total_spent avg_fare city status",
+                    f"""SELECT g.*, p.city, p.status FROM ({activity}) g
+                        LEFT JOIN ({REFINED["passenger"]}) p USING (passenger_id)""",
+                ),
+            }
+    parts += [("gold", name, names.split(), q) for name, (names, q) in gold.items()]
+    return " UNION ALL ".join(_contents(*p) for p in parts)
+
+
 # --- assembly --------------------------------------------------------------
 
 
-def _over_bronze(sql: str, *entities: str) -> str:
+def _over_bronze(sql: str, *entities: str, bronze: dict[str, str] = BRONZE) -> str:
     """`sql` over bronze views of the given entities."""
-    ctes = ", ".join(f"bronze_{e} AS ({BRONZE[e]})" for e in entities)
+    ctes = ", ".join(f"bronze_{e} AS ({bronze[e]})" for e in entities)
     body = sql.strip()
     rest = f", {body[5:]}" if body.startswith("WITH ") else f" {body}"
     return with_views(f"WITH {ctes}{rest}", *(f"raw_{e}" for e in entities))
@@ -605,11 +752,7 @@ def oracle_sql(bounds: dict[str, dict[str, tuple[float, float]]]) -> dict[str, s
             "ride",
             "driver",
         ),
-        "daily_rides_by_date": (
-            f"""SELECT {_DAY} AS request_date, COUNT(ride_id) AS total_rides,
-                       {_mean("fare_amount")} AS avg_fare FROM ride GROUP BY 1""",
-            "ride",
-        ),
+        "daily_rides_by_date": (_daily_rides("ride"), "ride"),
         "daily_rides_by_city": (_daily_city("ride"), "ride"),
         "driver_performance": (_PERFORMANCE, "ride"),
         "driver_performance_with_rating": (
@@ -710,18 +853,11 @@ def oracle_sql(bounds: dict[str, dict[str, tuple[float, float]]]) -> dict[str, s
     out = {k: with_views(v[0], *v[1:]) for k, v in from_views.items() if v}
     for s in ("jobs", "notebooks", "records"):
         out[f"layer_counts_{s}"] = _over_bronze(_layer_counts(s), *FAILS)
-    records_day = f"CAST({_ts('request_timestamp')} AS DATE)"
-    out["daily_metrics_from_records"] = _over_bronze(_daily("bronze_ride", records_day), "ride")
+        own = BRONZE if s == "records" else TYPED
+        out[f"layer_contents_{s}"] = _over_bronze(_layer_contents(s), *FAILS, bronze=own)
+    out["daily_metrics_from_records"] = _over_bronze(_daily("bronze_ride", _RECORDS_DAY), "ride")
     out["driver_metrics_from_records"] = _over_bronze(
-        _driver_daily(
-            "bronze_ride",
-            records_day,
-            """SELECT driver_id, rating FROM (
-                 SELECT driver_id, rating, row_number() OVER (
-                   PARTITION BY driver_id
-                   ORDER BY signup_timestamp DESC NULLS LAST, rating DESC NULLS LAST) AS place
-                 FROM bronze_driver) q WHERE place = 1""",
-        ),
+        _driver_daily("bronze_ride", _RECORDS_DAY, _LAST_RATING),
         "ride",
         "driver",
     )
@@ -830,6 +966,22 @@ def oracle_sql(bounds: dict[str, dict[str, tuple[float, float]]]) -> dict[str, s
            FROM raw_payment GROUP BY 1""",
         "raw_payment",
     )
+    is_record = "NOT (payment_id LIKE '%7' OR payment_id LIKE '%3' OR payment_id LIKE '%5')"
+    only_id = """'{"payment_id":"' || payment_id || '"}'"""
+    out["routed_lines"] = _over_bronze(
+        f"""SELECT CASE WHEN {_bad("payment")} THEN 'invalid' ELSE 'valid' END AS destination,
+                   payment_id, amount,
+                   CASE WHEN {_bad("payment")} THEN {_codes("payment")} END AS error_codes,
+                   NULL AS line
+            FROM bronze_payment WHERE {is_record}
+            UNION ALL
+            SELECT 'malformed', NULL, NULL, NULL,
+                   CASE WHEN payment_id LIKE '%7' THEN substr({only_id}, 1, 16)
+                        WHEN payment_id LIKE '%3' THEN {only_id} || ' ' || {only_id}
+                        ELSE {only_id} || ' trailing' END
+            FROM bronze_payment WHERE NOT ({is_record})""",
+        "payment",
+    )
     out["report_file"] = _over_bronze(
         f"""SELECT dataset, records, valid_records, invalid_records, validity_rate
             FROM ({_report("ride")}) r""",

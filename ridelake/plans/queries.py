@@ -24,6 +24,9 @@ from ridelake.operators.report import error_rows, failure_messages, quality_repo
 from ridelake.operators.validate import split_quarantine, validate
 from ridelake.plans.layers import LayerConfig, run_layers
 from ridelake.sources.files import (
+    INVALID,
+    MALFORMED,
+    VALID,
     ingest_bronze,
     land_all,
     land_raw,
@@ -31,12 +34,14 @@ from ridelake.sources.files import (
     read_bronze,
     read_quarantine,
     read_raw,
+    read_routed,
     write_jsonl,
     write_quarantine,
     write_report,
+    write_routed,
 )
 from ridelake.sources.schemas import ENTITIES, raw_text
-from ridelake.sources.scratch import shared_folder, written
+from ridelake.sources.scratch import remove_folder, shared_folder, written
 from ridelake.sources.star_schema import load
 from ridelake.sources.tables import list_layer, read_table, reset_tables, write_table
 
@@ -370,8 +375,8 @@ def report_file(spark, sf_dir):
     return spark.read.schema(kinds).json(path)
 
 
-def _layer_counts(style: str) -> Query:
-    """Run all layers from landed raw records; row counts of every table."""
+def _run_layers(style: str, *columns: str) -> Query:
+    """Run all layers from landed raw records; `columns` of what every table holds."""
 
     def run(spark, sf_dir):
         base = shared_folder(spark)
@@ -379,23 +384,46 @@ def _layer_counts(style: str) -> Query:
             {e: load(spark, sf_dir, f"raw_{e}") for e in ENTITIES}, f"{base}/raw", "2026-05-01"
         )
         prefix = f"t{base[-8:]}_"
-        cfg = LayerConfig(
-            f"{base}/raw", f"{base}/bronze", prefix, f"{base}/tables", style, f"{base}/quarantine"
-        )
+        cfg = LayerConfig(f"{base}/raw", f"{base}/bronze", prefix, f"{base}/tables", style)
         try:
-            counts = run_layers(spark, cfg)
+            held = run_layers(spark, cfg)
         finally:
             for layer in ("silver", "gold"):
                 names = [r["tableName"] for r in list_layer(spark, layer, prefix).collect()]
                 reset_tables(spark, names)
+            remove_folder(spark, base)
         return reduce(
             DataFrame.unionByName,
-            (c.select(F.lit(layer).alias("layer"), "*") for layer, c in counts.items()),
+            (c.select(F.lit(layer).alias("layer"), *columns) for layer, c in held.items()),
         )
 
     return run
 
 
+def routed_lines(spark, sf_dir):
+    """Payments landed with faults in the lines: every line where one pass has put it.
+
+    Of ids that end in 7 the line is cut short, of those that end in 3 a second record
+    follows on the line, and behind those that end in 5 there is a word.
+    """
+    base = shared_folder(spark)
+    whole = F.to_json(F.struct(*(F.col(n.split()[0]) for n in raw_text("payment").split(", "))))
+    only_id = F.concat(F.lit('{"payment_id":"'), "payment_id", F.lit('"}'))
+    faulty = (
+        F.when(F.col("payment_id").endswith("7"), F.substring(only_id, 1, 16))
+        .when(F.col("payment_id").endswith("3"), F.concat(only_id, F.lit(" "), only_id))
+        .when(F.col("payment_id").endswith("5"), F.concat(only_id, F.lit(" trailing")))
+        .otherwise(whole)
+    )
+    lines = load(spark, sf_dir, "raw_payment").select(faulty.alias("value"))
+    lines.write.text(f"{base}/raw/payment/ingestion_date=2026-05-01")
+    write_routed(spark, f"{base}/raw", f"{base}/bronze", "payment", verify=True)
+    every = read_routed(spark, f"{base}/bronze", "payment", VALID, INVALID, MALFORMED)
+    return portable(every.select("destination", "payment_id", "amount", "error_codes", "line")).withColumn(
+        "error_codes", F.when(F.col("destination") == INVALID, F.col("error_codes"))
+    )
+
+
 QUERIES: dict[str, Query] = {
     "ride_daily_metrics": _on_rides(gold.ride_daily_metrics),
     "daily_metrics_from_records": daily_metrics_from_records,
@@ -448,5 +476,10 @@ QUERIES: dict[str, Query] = {
     "payments_as_lines": payments_as_lines,
     "landed_lines": landed_lines,
     "report_file": report_file,
-    **{f"layer_counts_{s}": _layer_counts(s) for s in ("jobs", "notebooks", "records")},
+    "routed_lines": routed_lines,
+    **{
+        f"layer_{what}_{s}": _run_layers(s, "entity", "record_count", *more)
+        for s in ("jobs", "notebooks", "records")
+        for what, more in (("counts", ()), ("contents", ("digest_high", "digest_low")))
+    },
 }

@@ -24,3 +24,22 @@ def written(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _files(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """Folders directly below `folder`, which may not exist."""
+    path, files = _files(spark, folder)
+    if not files.exists(path):
+        return []
+    return [s.getPath().toString() for s in files.listStatus(path) if s.isDirectory()]
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder and what is in it, wherever Spark writes to."""
+    path, files = _files(spark, folder)
+    files.delete(path, True)

@@ -1,13 +1,23 @@
-"""Layer tables: write, read, list and drop."""
+"""Layer tables: write, publish, read, list and drop.
+
+Outside Iceberg a table is a folder per version and a catalog entry that points to one of
+them. A rewrite fills a new folder and then moves the entry, in one catalog call: readers
+see the old version or the new one, and a write that fails leaves the old one alone.
+"""
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ridelake.operators.digest import Digest, digest, found, observed
 from ridelake.sources.schemas import derived_columns, iceberg_partitions
+from ridelake.sources.scratch import remove_folder, subfolders
 
 Partition = str | tuple[str, str]
 
@@ -27,17 +37,24 @@ def write_table(
     name: str,
     partition_by: Partition | Sequence[Partition] = (),
     location: str | None = None,
-) -> None:
+    verify: bool = False,
+) -> Digest | None:
     """Create or replace table `name` from `df`.
 
     `partition_by` takes column names and (transform, column) pairs with the
     transforms years, months and days. In an Iceberg catalog the replacement is
     atomic, so readers always see a table. Elsewhere the table is Parquet and
     each transform, and each text column, becomes a partition column of its own
-    (see `in_partition` and `between_dates` for reading).
+    (see `in_partition` and `between_dates` for reading); its versions lie below
+    `location`, or below the table's place in its database's folder, and
+    `expire_versions` removes those that nothing reads any more.
 
     Rows are rebalanced by partition first: one file set per partition instead of
     one per task, while AQE splits a partition that holds a large share.
+
+    With `verify` the digest of the rows is taken as they are written and compared with
+    that of what can be read; a difference raises, before the version is published
+    where that is possible. The digest is returned.
     """
     if isinstance(partition_by, str):
         partition_by = [partition_by]
@@ -48,18 +65,22 @@ def write_table(
     ):
         partition_by = [partition_by]
     spec = _spec(partition_by)
-    if is_iceberg(df.sparkSession, name):
+    spark, watch, columns = df.sparkSession, None, df.columns
+    if is_iceberg(spark, name):
+        if verify:
+            df, watch = observed(df)
         writer = df.writeTo(name).using("iceberg").tableProperty("format-version", "2")
         if location:
             writer = writer.tableProperty("location", location)
         if spec:
-            columns = [
-                F.col(c) if k == "identity" else getattr(F.partitioning, k)(c)
-                for k, c in iceberg_partitions(spec)
-            ]
-            writer = writer.partitionedBy(*columns)
+            writer = writer.partitionedBy(
+                *(
+                    F.col(c) if k == "identity" else getattr(F.partitioning, k)(c)
+                    for k, c in iceberg_partitions(spec)
+                )
+            )
         writer.createOrReplace()
-        return
+        return _verified(name, spark.table(name).select(columns), watch)
     derived, names = {}, []
     for kind, column in spec:
         if kind == "identity" and df.schema[column].dataType.typeName() != "string":
@@ -70,12 +91,91 @@ def write_table(
     out = df.withColumns(derived) if derived else df
     if names:
         out = out.hint("rebalance", *(F.col(n) for n in names))
-    writer = out.write.format("parquet").mode("overwrite")
+    if verify:
+        # Behind the rebalancing, in the tasks that write: each row goes by once.
+        kept, watch = observed(out.select(columns))
+        out = kept.withColumns(derived) if derived else kept
+    version = f"{(location or _place(spark, name)).rstrip('/')}/v-{uuid.uuid4().hex}"
+    writer = out.write.format("parquet")
     if names:
         writer = writer.partitionBy(*names)
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(name)
+    writer.save(version)
+    made = _verified(name, spark.read.schema(out.schema).parquet(version).select(columns), watch)
+    fields = [f for f in out.schema.fields if f.name not in names]
+    publish(spark, name, T.StructType([*fields, *(out.schema[n] for n in names)]), names, version)
+    return made
+
+
+def _verified(name: str, back: DataFrame, watch) -> Digest | None:
+    if watch is None:
+        return None
+    wrote, holds = found(watch.get), found(digest(back).first())
+    if wrote != holds:
+        raise RuntimeError(f"{name} does not hold what was written: {holds}, not {wrote}")
+    return holds
+
+
+def _place(spark: SparkSession, name: str) -> str:
+    """Where a table without a location of its own lies."""
+    *database, table = name.split(".")
+    base = spark.catalog.getDatabase(".".join(database) or spark.catalog.currentDatabase()).locationUri
+    return f"{base.rstrip('/')}/{table}"
+
+
+def _details(spark: SparkSession, name: str) -> dict[str, str]:
+    """What the catalog says of a table; empty where there is none."""
+    if not spark.catalog.tableExists(name):
+        return {}
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return {r["col_name"]: r["data_type"] for r in rows if r["col_name"] in ("Type", "Location", "Partition Provider")}
+
+
+VERSION = re.compile(r"/v-[0-9a-f]{32}/?$")
+
+
+def publish(spark: SparkSession, name: str, schema: T.StructType, partitions: Sequence[str], version: str) -> None:
+    """Let table `name` be what lies in the folder `version`.
+
+    One catalog call where the table has these columns and partitions already. Its
+    partitions are found in the folder, not kept in the catalog, so that they
+    change with it. Other columns need a new entry: the old one is dropped just before,
+    when the data of the new one are complete.
+    """
+    details = _details(spark, name)
+    movable = VERSION.search(details.get("Location", "")) and "Partition Provider" not in details
+    if movable:
+        columns = spark.catalog.listColumns(name)
+        have = [(c.name, c.dataType) for c in columns]
+        movable = have == [(f.name, f.dataType.simpleString()) for f in schema.fields]
+        movable = movable and [c.name for c in columns if c.isPartition] == list(partitions)
+    if movable:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        return
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    split = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
+    key = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet{split} LOCATION '{version}'")
+    finally:
+        spark.conf.set(key, before)
+
+
+def expire_versions(spark: SparkSession, name: str) -> list[str]:
+    """Remove the versions of a published table that it no longer points to; returns their folders.
+
+    Call it when neither a query over an older version nor a write is under way.
+    """
+    place = _details(spark, name).get("Location", "").rstrip("/")
+    if not VERSION.search(place):
+        return []
+    base, current = place.rsplit("/", 1)
+    old = [f for f in subfolders(spark, base) if VERSION.search(f) and not f.endswith(current)]
+    for folder in old:
+        remove_folder(spark, folder)
+    return old
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -110,6 +210,15 @@ def list_layer(spark: SparkSession, layer: str, prefix: str = "") -> DataFrame:
 
 
 def reset_tables(spark: SparkSession, names: Iterable[str]) -> None:
-    """Drop tables, ignoring those that do not exist."""
+    """Drop tables, ignoring those that do not exist.
+
+    A table in its database's own folder goes with its data; one that was given a
+    location leaves them there.
+    """
     for name in names:
+        place = _details(spark, name).get("Location", "")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if VERSION.search(place) and not is_iceberg(spark, name):
+            base = place.rstrip("/").rsplit("/", 1)[0]
+            if base.removeprefix("file:").endswith(_place(spark, name).removeprefix("file:").lstrip("/")):
+                remove_folder(spark, base)

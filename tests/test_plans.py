@@ -24,9 +24,9 @@ SF = "/root/testdata/sf0.001"
 # Written to disk on the way: their plans only show the last step.
 WRITES = {
     "bronze_from_landing", "silver_ride_table", "quarantine_from_files", "silver_listing",
-    "payments_as_lines", "landed_lines", "report_file",
+    "payments_as_lines", "landed_lines", "report_file", "routed_lines",
 } | {
-    f"layer_counts_{s}" for s in ("jobs", "notebooks", "records")
+    f"layer_{what}_{s}" for s in ("jobs", "notebooks", "records") for what in ("counts", "contents")
 }
 # One row for the whole input, or a union of such rows.
 GLOBAL = {"ride_count", "distinct_passengers", "quarantine_counts"}

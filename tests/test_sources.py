@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ridelake.operators import gold
+from ridelake.operators.digest import digest
 from ridelake.operators.normalise import normalise_ride
 from ridelake.operators.report import quality_report
 from ridelake.plans.layers import LayerConfig, run_layers
@@ -208,24 +209,147 @@ def test_an_empty_silver_table_stops_the_run(spark, tmp_path):
     tables.reset_tables(spark, names)
 
 
-def test_malformed_lines_go_to_the_quarantine(spark, tmp_path):
+def landed_payments(tmp_path, lines):
+    place = tmp_path / "raw/payment/ingestion_date=2026-05-02"
+    place.mkdir(parents=True, exist_ok=True)
+    (place / "payments.jsonl").write_text("\n".join(lines) + "\n")
+    return str(tmp_path / "raw")
+
+
+GOOD = '{"payment_id":"M1","ride_id":"R1","amount":"3.5","payment_status":"completed"}'
+BAD_LINES = [
+    '{"payment_id": "PM1", "amo', "no json", "null", "[]", f"[{GOOD}]", "5", '"text"',
+    f"{GOOD} trailing", f"{GOOD}{GOOD}", f"{GOOD},{GOOD}", f"{GOOD}] {GOOD}", f"{GOOD},",
+    f'{GOOD},{{"_end":"1"}}] x', f"{GOOD} // why",
+]
+
+
+def test_text_behind_a_record_is_not_lost(spark, tmp_path):
+    kept = [GOOD, f"  {GOOD}  ", "{}", '{"_end":"x","payment_id":"M2"}', '{"payment_id":{"a":1}}']
+    raw = landed_payments(tmp_path, [*kept, "", "   ", *BAD_LINES])
+    lines = files.malformed_lines(spark, raw, "payment")
+    assert sorted(r["line"] for r in lines.collect()) == sorted(BAD_LINES)
+    ids = [r["payment_id"] for r in files.read_raw(spark, raw, "payment").collect()]
+    assert sorted(map(str, ids)) == sorted(["M1", "M1", "None", "M2", '{"a":1}'])
+
+
+@pytest.mark.parametrize("project", [True, False])
+def test_routed_lines_are_parsed_once(spark, tmp_path, project):
+    invalid = ['{"payment_id":"M3","ride_id":"R1","amount":"x"}', '{"payment_id":"M4"}']
+    raw = landed_payments(tmp_path, [GOOD, *invalid, *BAD_LINES])
+    df = files.routed(spark, raw, "payment", project)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Exchange" not in plan
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    made = files.write_routed(spark, raw, str(tmp_path / "out"), "payment", project, verify=True)
+    assert made.record_count == 3
+    got = {d: files.read_routed(spark, str(tmp_path / "out"), "payment", d).collect()
+           for d in (files.VALID, files.INVALID, files.MALFORMED)}
+    assert [(r["payment_id"], r["amount"], r["errors"], r["line"]) for r in got["valid"]] == [("M1", 3.5, None, None)]
+    missing = 0.0 if project else None
+    assert {r["payment_id"]: r["amount"] for r in got["invalid"]} == {"M3": None, "M4": missing}
+    assert all(r["errors"] and r["error_codes"] and r["line"] is None for r in got["invalid"])
+    assert sorted(r["line"] for r in got["malformed"]) == sorted(BAD_LINES)
+    assert all(r["payment_id"] is None and r["amount"] is None and r["errors"] is None for r in got["malformed"])
+    back = files.read_bronze(spark, str(tmp_path / "out"), "payment")
+    assert back.columns == [c.split()[0] for c in schemas.RAW["payment"].split(", ")]
+    assert sorted(r["payment_id"] for r in back.collect()) == ["M1", "M3", "M4"]
+
+
+def test_the_run_routes_malformed_lines(spark, tmp_path):
     raw = str(tmp_path / "raw")
     files.land_all(raw_frames(spark), raw, "2026-05-01")
-    bad = ['{"payment_id": "PM1", "amo', "no json"]
-    spark.createDataFrame([(b,) for b in bad], "value string").write.mode("append").text(
-        f"{raw}/payment/ingestion_date=2026-05-02"
-    )
-    cfg = LayerConfig(raw, str(tmp_path / "bronze"), "bad_", quarantine_dir=str(tmp_path / "quarantine"))
-    counts = run_layers(spark, cfg)
-    assert {r[0]: r[1] for r in counts["bronze"].collect()}["payment"] == 40
-    lines = spark.read.parquet(str(tmp_path / "quarantine/malformed/payment"))
-    assert sorted(r["line"] for r in lines.collect()) == sorted(bad)
-    good, invalid = files.read_quarantine(spark, str(tmp_path / "quarantine/payment"))
-    assert good.count() + invalid.count() == 40
+    landed_payments(tmp_path, BAD_LINES)
+    cfg = LayerConfig(raw, str(tmp_path / "bronze"), "bad_")
+    contents = run_layers(spark, cfg)
+    assert {r[0]: r[1] for r in contents["bronze"].collect()}["payment"] == 40
+    lines = files.read_routed(spark, cfg.bronze_dir, "payment", files.MALFORMED)
+    assert sorted(r["line"] for r in lines.collect()) == sorted(BAD_LINES)
     for layer in ("silver", "gold"):
         tables.reset_tables(spark, [r["tableName"] for r in tables.list_layer(spark, layer, "bad_").collect()])
 
 
+def test_a_changed_value_stops_the_run(spark, tmp_path, monkeypatch):
+    files.land_all(raw_frames(spark), str(tmp_path / "raw"), "2026-05-01")
+    cfg = LayerConfig(str(tmp_path / "raw"), str(tmp_path / "bronze"), "changed_")
+    real = tables.digest
+
+    def changed(df):
+        if "rating" in df.columns:
+            df = df.withColumn("rating", F.when(F.col("driver_id") == "D1", 4.0).otherwise(F.col("rating")))
+        return real(df)
+
+    monkeypatch.setattr(tables, "digest", changed)
+    with pytest.raises(RuntimeError, match="changed_silver_driver does not hold what was written"):
+        run_layers(spark, cfg)
+    # The version that differs was not published, and nothing after it was begun.
+    have = {r["tableName"] for r in tables.list_layer(spark, "silver", "changed_").collect()}
+    assert have == {"changed_silver_passenger"}
+    assert tables.list_layer(spark, "gold", "changed_").count() == 0
+    tables.reset_tables(spark, have)
+
+
+def test_digest(spark):
+    kind = "a string, b double, c map<string, boolean>, d struct<x: double, y: string>, e array<int>, f timestamp_ntz"
+    when = dt.datetime(2026, 5, 1, 10)
+    rows = [
+        ("x", 0.1, {"p": True, "q": False}, (1.0, "y"), [1, None], when),
+        (None, None, None, None, None, None),
+        ("", 1e30, {}, (None, None), [], when),
+        ("xx", float("inf"), {"p": None}, (float("nan"), ""), [12], None),
+    ]
+
+    def of(rows):
+        return tuple(digest(spark.createDataFrame(rows, kind)).first())
+
+    whole = of(rows)
+    assert whole[0] == 4 and of(rows[::-1]) == whole
+    assert of([]) == (0, 0, 0)
+    assert of(rows + rows) == tuple(2 * x for x in whole)
+    changes = [
+        ("x", 0.1 + 2**-55, *rows[0][2:]), ("x", 0.1, {"p": True, "q": True}, *rows[0][3:]),
+        ("x", 0.1, rows[0][2], (1.0, None), *rows[0][4:]), ("x", 0.1, rows[0][2], (None, "y"), *rows[0][4:]),
+        ("x", 0.1, rows[0][2], rows[0][3], [1, 0], when), ("x", 0.1, rows[0][2], rows[0][3], [1], when),
+        ("x", 0.1, *rows[0][2:5], dt.datetime(2026, 5, 1, 11)), ("", *rows[0][1:]),
+    ]
+    assert len({of([c, *rows[1:]]) for c in changes} | {whole}) == len(changes) + 1
+    assert of([("", 1e30, *rows[2][2:])]) != of([("", 2e30, *rows[2][2:])])
+
+
+def test_a_failing_rewrite_leaves_the_table(spark):
+    df = raw_frames(spark)["ride"]
+    tables.write_table(df, "steady", "pickup_city")
+    before = tables.read_table(spark, "steady")  # planned on the version of now
+    failing = df.withColumn("fare_amount", F.expr("IF(ride_id = 'R7', raise_error('no'), 1.0D)"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_table(failing, "steady", "pickup_city")
+    assert tables.read_table(spark, "steady").count() == 40
+    made = tables.write_table(df.limit(5), "steady", "pickup_city", verify=True)
+    assert made.record_count == 5 and tables.read_table(spark, "steady").count() == 5
+    # A query that began on the old version still finds it, until versions are expired.
+    assert before.count() == 40
+    assert len(tables.expire_versions(spark, "steady")) == 1
+    assert tables.expire_versions(spark, "steady") == []
+    assert tables.read_table(spark, "steady").count() == 5
+    # Other columns, other partitions.
+    tables.write_table(df.select("ride_id", "fare_amount"), "steady", verify=True)
+    assert tables.read_table(spark, "steady").columns == ["ride_id", "fare_amount"]
+    tables.write_table(df.limit(0), "steady", "pickup_city", verify=True)
+    assert tables.read_table(spark, "steady").count() == 0
+    place = tables._details(spark, "steady")["Location"].rsplit("/", 1)[0]
+    tables.reset_tables(spark, ["steady"])
+    from ridelake.sources.scratch import subfolders
+
+    assert subfolders(spark, place) == []
+
+
+def test_a_given_location_outlives_its_table(spark, tmp_path):
+    df = raw_frames(spark)["driver"]
+    tables.write_table(df, "placed", location=str(tmp_path / "placed"))
+    tables.reset_tables(spark, ["placed"])
+    assert spark.read.parquet(str(next((tmp_path / "placed").glob("v-*")))).count() == 40
+
+
 def test_list_layer_in_a_database(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS lake_db")
     spark.range(3).write.saveAsTable("lake_db.x_silver_ride")
