@@ -1,27 +1,33 @@
 """Benchmark decontamination: texts that hold a benchmark item, some edits apart.
 
 Texts and items are lower-cased and their blanks folded to one. A text holds an item if
-the smallest edit distance of the item to any substring of the text is at most `MOST` of
-the item's length. An item shorter than `SHORTEST` code points after folding has one edit,
-below `WHOLE` code points none, and must then stand in the text as whole words (where a
-script puts blanks between words). A pair is found in three steps:
-
-1. Runs of bytes that an item and a text share, looked up at every byte of the text, so
-   that blanks and scripts do not matter. `SEEDS` gives by the item's length how long a
-   run is and how many bytes of a text must begin one within the item's length and its
-   edits. The longer the item, the longer and the more the runs. Items below `SHORTEST`
-   have such runs that none is missed; any other item of s bytes is found for sure if
-   a stretch of run + need - 1 bytes is unedited anywhere in it, so with up to about s / (run + need) edits however they are placed; with characters
-   edited at random the counts aim at 0.97 at `MOST` for the shortest (measured: README).
+the smallest edit distance of the item to any substring of the text is at most
+`Limits.most` of the item's length. An item shorter than `Limits.shortest` code points
+after folding has one edit, below `Limits.whole` none, and must then stand in the text as
+whole words (where a script puts blanks between words). A pair is found in three steps:
+
+1. CGK random walks map edit distance to Hamming distance: step j puts out the byte under
+   the walk's pointer and moves the pointer on or not by a random bit of (j, byte), so that
+   walks over two strings fall into step again after an edit. A walk of `STEPS` steps starts
+   at every byte, whatever the script and its blanks; overlapping windows share their
+   walks, and all of them are made in one sweep from the last step to the first, as
+   the rest of a walk is a walk that began later. Bit sampling: a table hashes some
+   of the steps (`TABLES`). The embedding of an item-sized window is the row of its
+   walks, and each byte of it is a repetition: a window is a candidate if `need` of
+   them agree with walks of the item. Items below `SEVERAL` bytes, with few walks, have three
+   tables. Unedited items agree everywhere; measured recall of edited ones: README.
+   Items below `Limits.shortest`, too short for walks, are found by runs of bytes of which
+   one edit leaves so many that none is missed.
 2. A lower bound: the item is cut into blocks of 64 characters, whose smallest distances
    to the place add up to no more than the item's (bit-parallel, over all places of a
    chunk at once). No pair that is near enough is lost here.
 3. The exact distance at the places left (bit-parallel, on whole strings).
 
-Empty and null items are held by no text. Null and empty texts hold nothing. Repeated
-items and texts are reported each; empty tables give an empty result. Items are sent to
-the tasks in blocks of about `BLOCK` bytes, one reading of the texts each; equal rows
-are sent once, with their number.
+Empty and null items are held by no text. Null and empty texts hold nothing; very long
+ones are read whole. Repeated items and texts are reported each; empty tables give an empty
+result. Only ids and texts are read, and `without_items` returns rows as they are, so that
+further columns, of whatever name, do no harm. Items are sent to the tasks in blocks of about
+`BLOCK` bytes, one reading of the texts each; equal rows are sent once, with their number.
 """
 
 from __future__ import annotations
@@ -39,8 +45,14 @@ from ridelake.llm.common import CHUNK, Words, pieces_of, ready
 from ridelake.llm.pieces import gathered
 
 MOST, SHORTEST, WHOLE, BLOCK = 0.2, 40, 20, 4 << 20
-#: (bytes of an item from which on it holds, bytes of a run, least runs, bytes of the item for each run).
-SEEDS = [(180, 8, 8, 22), (100, 7, 6, 14), (56, 6, 4, 16), (0, 5, 3, 18)]
+#: Steps of a walk. Its tables: a seed of the moves, and the steps sampled, with gaps where edits
+#: may lie. Seeds differ in how walks take deleted blanks; these were chosen by measured recall.
+STEPS = 12
+TABLES = [(1, (0, 1, 2, 3, 6, 8, 9, 10, 11)), (3, (0, 1, 3, 6, 7, 8, 9, 10, 11)), (2, (0, 1, 2, 3, 6, 8, 9, 10, 11))]
+#: Bytes of an item below which all tables are used; bytes of a longer one for each walk that must agree.
+SEVERAL, EACH = 72, 18
+#: Bytes that are walked together; their arrays stay in a near cache.
+SWEEP = 1 << 15
 FILTER_BITS = 22
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of a block of an item, kinds of characters that the lower bound tells apart.
@@ -49,22 +61,57 @@ BITS, KINDS = 64, 64
 LIGHT = 1 << 17
 
 
-def allowed(length: int) -> int:
-    """Edits up to which an item of so many characters is held."""
-    return int(MOST * length) if length >= SHORTEST else length // WHOLE
+@dataclass(frozen=True)
+class Limits:
+    """Edits per character; characters below which one edit, and none, is accepted."""
 
+    most: float = MOST
+    shortest: int = SHORTEST
+    whole: int = WHOLE
 
-def seeds(length: int, size: int) -> tuple[int, int]:
-    """(bytes of a run, how many must be shared) for an item of so many characters and bytes."""
-    if length < WHOLE:
-        return min(8, size), 1
-    if length < SHORTEST:
-        # One edit leaves ten characters in a row, so three runs.
-        return 8, 2
-    for least, run, need, each in SEEDS:
-        if size >= least:
-            return run, max(need, size // each)
-    raise AssertionError
+    def allowed(self, length: int) -> int:
+        """Edits up to which an item of so many characters is held."""
+        if length < self.whole:
+            return 0
+        return int(self.most * length) if length >= self.shortest else 1
+
+
+def randomness() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(moves by table, step and byte; codes by step and byte; factor), the same everywhere.
+
+    Of two successive steps each byte moves the pointer in one, which one is random:
+    no byte holds a walk up for long.
+    """
+    first = np.array([np.random.default_rng(seed).integers(0, 2, (STEPS // 2, 256)) for seed, _ in TABLES]).astype(bool)
+    moves = np.stack((first, ~first), axis=2).reshape(len(TABLES), STEPS, 256)
+    codes = np.random.default_rng(20240229).integers(0, 1 << 32, (STEPS, 256), dtype=np.uint64)
+    return moves, codes.astype(np.uint32), np.uint32(0x9E3779B1)
+
+
+MOVES, CODES, FACTOR = randomness()
+
+
+def walks(data: np.ndarray, table: int) -> np.ndarray:
+    """The hash of the sampled steps of the walk from each byte; blanks follow the last one."""
+    moves, sampled = MOVES[table], TABLES[table][1]
+    out = np.empty(len(data), np.uint64)
+    padded = np.concatenate((data, np.full(STEPS, 0x20, np.uint8)))
+    for low in range(0, len(data), SWEEP):
+        byte = padded[low : low + SWEEP + STEPS].astype(np.intp)
+        # later[k]: the rest of the walk, from the step at hand on, that stands at byte k.
+        later, now = np.zeros(len(byte) + 1, np.uint32), np.zeros(len(byte) + 1, np.uint32)
+        on, code = np.empty(len(byte), bool), np.empty(len(byte), np.uint32)
+        for step in range(STEPS - 1, -1, -1):
+            np.copyto(now[:-1], later[:-1])
+            np.take(moves[step], byte, out=on, mode="clip")
+            np.copyto(now[:-1], later[1:], where=on)
+            if step in sampled:
+                now *= FACTOR
+                now[:-1] += np.take(CODES[step], byte, out=code, mode="clip")
+            later, now = now, later
+        high = min(len(data), low + SWEEP)
+        out[low:high] = later[: high - low]
+    return out
 
 
 def runs(data: np.ndarray) -> np.ndarray:
@@ -121,33 +168,38 @@ def distance(pattern: str, text: str, most: int) -> tuple[int, int]:
     return best, end
 
 
-class Runs:
-    """Which items have a run of `size` bytes."""
+class Keys:
+    """Which items have a key: that of a walk, or `-kind` bytes for a negative kind."""
 
-    def __init__(self, size: int, run: np.ndarray, item: np.ndarray):
-        order = np.lexsort((item, run))
-        self.size, self.item = size, item[order]
-        self.keys, first = np.unique(run[order], return_index=True)
-        self.first = np.append(first, len(run))
+    def __init__(self, kind: int, key: np.ndarray, item: np.ndarray):
+        order = np.lexsort((item, key))
+        self.kind, self.item = kind, item[order]
+        self.keys, first = np.unique(key[order], return_index=True)
+        self.first = np.append(first, len(key))
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.slot(self.keys)] = True
 
-    def slot(self, run: np.ndarray) -> np.ndarray:
-        return ((run * SPREAD) >> np.uint64(64 - FILTER_BITS)).view(np.int64)
-
-    def shared(self, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(byte of the text, item) of all runs that begin at a byte and are an item's."""
-        run = wide & low_bytes(self.size)
-        near = np.flatnonzero(self.filter[self.slot(run)])
-        key = np.minimum(np.searchsorted(self.keys, run[near]), len(self.keys) - 1)
-        same = self.keys[key] == run[near]
-        near, key = near[same], key[same]
-        low = self.first[key]
-        many = self.first[key + 1] - low
+    def slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key * SPREAD) >> np.uint64(64 - FILTER_BITS)).view(np.int64)
+
+    def shared(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(byte of the text, item) of all keys that begin at a byte and are an item's."""
+        key = keys(data, self.kind)
+        near = np.flatnonzero(self.filter[self.slot(key)])
+        at = np.minimum(np.searchsorted(self.keys, key[near]), len(self.keys) - 1)
+        same = self.keys[at] == key[near]
+        near, at = near[same], at[same]
+        low = self.first[at]
+        many = self.first[at + 1] - low
         entry = np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)
         return np.repeat(near, many), self.item[entry]
 
 
+def keys(data: np.ndarray, kind: int) -> np.ndarray:
+    """The key that begins at each byte: of the walk of a table, or `-kind` bytes."""
+    return runs(data) & low_bytes(-kind) if kind < 0 else walks(data, kind)
+
+
 def in_word(c: str) -> bool:
     """Whether a character is part of a word in a script with blanks between words."""
     return c.isalnum() and (c < "\u0e00" or "\uac00" <= c < "\ud7a4")
@@ -168,19 +220,22 @@ def whole(pattern: str, text: str) -> int:
 
 @dataclass
 class Index:
-    """Runs and blocks of characters of a block of items."""
+    """Walks, runs and blocks of characters of a block of items."""
 
     ids: list
     texts: list[str] = field(default_factory=list)
     #: How many rows each item stands for.
     copies: list[int] = field(default_factory=list)
-    #: By item: shared runs needed, edits allowed, characters of a place that may hold it.
+    #: By item: shared keys needed, edits allowed, characters of a place that may hold it.
     need: np.ndarray | list[int] = field(default_factory=list)
     most: np.ndarray | list[int] = field(default_factory=list)
+    limits: Limits = Limits()
 
     @classmethod
-    def of(cls, ids: list, texts: list[str | None], copies: list[int] | None = None) -> Index:
-        out = cls([])
+    def of(
+        cls, ids: list, texts: list[str | None], copies: list[int] | None = None, limits: Limits = Limits()
+    ) -> Index:
+        out = cls([], limits=limits)
         found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         out.bytes = 0
         for item_id, text, many in zip(ids, texts, copies or [1] * len(ids), strict=True):
@@ -190,18 +245,28 @@ class Index:
                 plain = flat.tobytes().decode()
                 if not plain:
                     continue
-                size, need = seeds(len(plain), len(flat))
-                # Without edits the first run is enough.
-                places = 1 if len(plain) < WHOLE else len(flat) - size + 1
-                own = np.unique(runs(flat)[:places] & low_bytes(size))
-                found.setdefault(size, []).append((own, np.full(len(own), len(out.ids))))
+                if len(plain) >= limits.shortest:
+                    need = max(2, len(flat) // EACH)
+                    kinds = range(len(TABLES) if len(flat) < SEVERAL else 1)
+                elif len(plain) >= limits.whole:
+                    # One edit of twenty characters leaves ten in a row, so three runs of eight.
+                    need, kinds = 2, [-max(1, min(8, limits.whole // 2 - 2))]
+                else:
+                    need, kinds = 1, [-min(8, len(flat))]
+                for kind in kinds:
+                    # Without edits the first run is enough.
+                    places = 1 if need == 1 else len(flat)
+                    if kind < 0 < need - 1:
+                        places = len(flat) + kind + 1
+                    own = np.unique(keys(flat, kind)[:places])
+                    found.setdefault(kind, []).append((own, np.full(len(own), len(out.ids))))
                 out.ids.append(item_id)
                 out.texts.append(plain)
                 out.copies.append(many)
                 out.need.append(need)
-                out.most.append(allowed(len(plain)))
+                out.most.append(limits.allowed(len(plain)))
                 out.bytes += len(flat)
-        out.runs = [Runs(size, *(np.concatenate(x) for x in zip(*own, strict=True))) for size, own in sorted(found.items())]
+        out.keys = [Keys(kind, *(np.concatenate(x) for x in zip(*own, strict=True))) for kind, own in sorted(found.items())]
         out.need, out.most = np.array(out.need, np.int64), np.array(out.most, np.int64)
         out.span = np.array([len(t) for t in out.texts], np.int64) + out.most
         out.cut()
@@ -219,7 +284,7 @@ class Index:
         self.places = self.places.ravel()
 
     def chunk(self) -> int:
-        """Bytes of texts to look at together: runs shared with many items take memory."""
+        """Bytes of texts to look at together: keys shared with many items take memory."""
         return max(CHUNK >> 6, CHUNK * LIGHT // max(LIGHT, self.bytes))
 
     def least(self, item: np.ndarray, low: np.ndarray, high: np.ndarray, kinds: np.ndarray) -> np.ndarray:
@@ -258,12 +323,15 @@ class Index:
         return np.bincount(place, best, len(item)).astype(np.int64)
 
     def candidates(self, flat: np.ndarray, number: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(text, item, first and end character) of places that share enough runs, in order.
+        """(text, item, first and end character) of places that share enough keys, in order.
 
         number: the character of each byte; begins: the first character of each text.
         """
-        wide = runs(flat)
-        byte, item = (np.concatenate(x) for x in zip(*(own.shared(wide) for own in self.runs), strict=True))
+        byte, item = (np.concatenate(x) for x in zip(*(own.shared(flat) for own in self.keys), strict=True))
+        if len(self.keys) > 1:
+            # Two tables may agree at one byte; places are in order for each alone.
+            order = np.argsort(byte, kind="stable")
+            byte, item = byte[order], item[order]
         order = np.argsort(item.astype(np.uint16) if len(self.ids) <= 1 << 16 else item, kind="stable")
         item, at = item[order], number[byte[order]].astype(np.int64)
         last = np.arange(len(item)) + self.need[item] - 1
@@ -306,7 +374,7 @@ class Index:
                 continue
             pattern, most = self.texts[which], int(self.most[which])
             window = flat[byte[a] : byte[b]].tobytes().decode()
-            if len(pattern) < WHOLE:
+            if len(pattern) < self.limits.whole:
                 end = whole(pattern, window)
                 away = 0 if end >= 0 else most + 1
             else:
@@ -323,7 +391,7 @@ class Index:
             yield held, which, away, place, many
 
 
-def indexes(benchmark: DataFrame, id_column: str, text: str) -> Iterator[Index]:
+def indexes(benchmark: DataFrame, id_column: str, text: str, limits: Limits = Limits()) -> Iterator[Index]:
     """The distinct items in blocks, each of which is small enough to send to all tasks."""
     rows = benchmark.select(F.col(id_column).alias("item_id"), F.col(text).cast("string").alias("text"))
     items = rows.where(F.octet_length("text") > 0).groupBy("item_id", "text").agg(F.count("*").alias("many"))
@@ -332,10 +400,12 @@ def indexes(benchmark: DataFrame, id_column: str, text: str) -> Iterator[Index]:
     dealt = items.withColumn("block", F.pmod(F.xxhash64("text", "item_id"), F.lit(max(1, count))))
     for block in range(count):
         rows = dealt.where(F.col("block") == block).orderBy("item_id", "text").collect()
-        yield Index.of([r["item_id"] for r in rows], [r["text"] for r in rows], [r["many"] for r in rows])
+        yield Index.of([r["item_id"] for r in rows], [r["text"] for r in rows], [r["many"] for r in rows], limits)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "item_id", text: str = "text") -> DataFrame:
+def matches(
+    docs: DataFrame, benchmark: DataFrame, id_column: str = "item_id", text: str = "text", limits: Limits = Limits()
+) -> DataFrame:
     """(doc_id, item_id, edit_distance, similarity, first_word, n_words): items that texts hold."""
     spark = ready(docs.sparkSession)
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -372,14 +442,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "item_id", t
         return run
 
     out = None
-    for index in indexes(benchmark, id_column, text):
+    for index in indexes(benchmark, id_column, text, limits):
         part = source.mapInArrow(finder(spark.sparkContext.broadcast(index)), f"{schema}, copies long")
         part = part.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "copy")
         out = part if out is None else out.unionAll(part)
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-def without_items(docs: DataFrame, benchmark: DataFrame, id_column: str = "item_id", text: str = "text") -> DataFrame:
+def without_items(
+    docs: DataFrame, benchmark: DataFrame, id_column: str = "item_id", text: str = "text", limits: Limits = Limits()
+) -> DataFrame:
     """The rows of `docs` whose text holds no item, all columns."""
     spark = ready(docs.sparkSession)
 
@@ -395,7 +467,7 @@ def without_items(docs: DataFrame, benchmark: DataFrame, id_column: str = "item_
 
         return run
 
-    for index in indexes(benchmark, id_column, text):
+    for index in indexes(benchmark, id_column, text, limits):
         docs = docs.mapInArrow(cleaner(spark.sparkContext.broadcast(index)), docs.schema)
     return docs
 

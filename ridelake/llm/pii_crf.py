@@ -80,7 +80,8 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 
 
 def ip_ok(text: str) -> bool:
-    return all(len(p) < 400 and int(p) <= 255 for p in text.split("."))
+    parts = (p.lstrip("0") for p in text.split("."))
+    return all(len(p) < 4 and int(p or 0) <= 255 for p in parts)
 
 
 def base_spans(text: str) -> list[Span]:

@@ -521,29 +521,31 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
 
 def with_sets(docs: DataFrame) -> DataFrame:
-    """`docs` with the text as __text and the size and fingerprint of its set as __n, __f1, __f2."""
+    """(row, text, n, f1, f2): each row of `docs`, its text, and the size and fingerprint of its set."""
 
     def run(batches):
         for batch in batches:
-            for low, high, data, offsets in pieces_of(batch.column("__text")):
+            for low, high, data, offsets in pieces_of(batch.column("text")):
                 token, at = text_sets(data, offsets)
                 own = [np.diff(at), *fingerprints(token, at)]
                 part = batch.slice(low, high - low)
-                yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, own)], names=[*part.schema.names, "__n", "__f1", "__f2"])
+                yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, own)], names=["row", "text", "n", "f1", "f2"])
 
-    source = docs.withColumn("__text", F.col("text").cast("string"))
-    schema = StructType([*source.schema.fields, *(StructField(name, LongType()) for name in ("__n", "__f1", "__f2"))])
+    # The row's own columns stay inside, whatever their names are.
+    inside = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    source = docs.select(inside, F.col("text").cast("string").alias("text"))
+    schema = StructType([*source.schema.fields, *(StructField(name, LongType()) for name in ("n", "f1", "f2"))])
     return source.mapInArrow(run, schema)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of `docs` for each component of texts, all columns.
+    """One row of `docs` for each component of texts, all columns, whatever their names.
 
     Rows are told apart by their texts, whatever their ids: of a component the row with
     the smallest id stays (without an id only if none has one), of several texts with
     that id the one with the smallest fingerprint, of several rows with the same set the
     first by text. Texts without words are in no component; of those with the same id and
-    text one stays, and all without an id.
+    text one stays, and all without an id. Very long texts are read whole.
     """
     ready(docs.sparkSession)
     every = stored(members(docs))
@@ -556,30 +558,31 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         .groupBy(F.coalesce("component", "id").alias("component"))
         .agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "f1", "f2")).alias("row"))
         .select(
-            F.col("row.f1").alias("__f1"),
-            F.col("row.f2").alias("__f2"),
-            F.coalesce("row.first_id", F.lit(0)).alias("__id"),
-            F.col("row.first_id").isNotNull().alias("__named"),
-            F.lit("").alias("__own"),
-            F.lit(True).alias("__stays"),
+            "row.f1",
+            "row.f2",
+            F.coalesce("row.first_id", F.lit(0)).alias("id"),
+            F.col("row.first_id").isNotNull().alias("named"),
+            F.lit("").alias("own"),
+            F.lit(True).alias("stays"),
         )
     )
-    by = ["__f1", "__f2", "__id", "__named", "__own"]
+    by = ["f1", "f2", "id", "named", "own"]
+    doc_id = F.col("row")["doc_id"]
     wordless = (
-        F.when(F.col("doc_id").isNull(), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")))
-        .when(F.col("__text").isNull(), F.lit("null"))
-        .otherwise(F.concat(F.lit("text "), F.col("__text")))
+        F.when(doc_id.isNull(), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")))
+        .when(F.col("text").isNull(), F.lit("null"))
+        .otherwise(F.concat(F.lit("text "), F.col("text")))
     )
     # Rows with the same id and set are combined before the shuffle.
     rows = (
         with_sets(docs)
-        .withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
-        .withColumn("__named", F.col("doc_id").isNotNull())
-        .withColumn("__own", F.when(F.col("__n") > 0, F.lit("")).otherwise(wordless))
+        .withColumn("id", F.coalesce(doc_id.cast("long"), F.lit(0)))
+        .withColumn("named", doc_id.isNotNull())
+        .withColumn("own", F.when(F.col("n") > 0, F.lit("")).otherwise(wordless))
         .groupBy(*by)
-        .agg(F.min_by(F.struct(*docs.columns), F.coalesce("__text", F.lit(""))).alias("row"), F.max("__n").alias("__n"))
+        .agg(F.min_by("row", F.coalesce("text", F.lit(""))).alias("row"), F.max("n").alias("n"))
     )
-    kept = rows.join(stays, by, "left").where((F.col("__n") == 0) | F.col("__stays"))
+    kept = rows.join(stays, by, "left").where((F.col("n") == 0) | F.col("stays"))
     return kept.select("row.*")
 
 

@@ -82,6 +82,65 @@ def test_recall_up_to_the_accepted_distance_by_length(benchmark, size, rate):
     assert len(due) >= 50 and len(got & due) >= 0.97 * len(due)
 
 
+def every(k):
+    return lambda t, rng: "".join(rng.choice("bcdfgklmnp") if n % k == k - 1 else c for n, c in enumerate(t))
+
+
+EDITS = {
+    "no blanks": lambda t, rng: t.replace(" ", ""),
+    "signs for blanks": lambda t, rng: t.replace(" ", "_"),
+    "every 8th": every(8),
+    "every 7th": every(7),
+    "every 6th": every(6),
+    "every 5th": every(5),
+}
+
+
+@pytest.mark.parametrize("edit", EDITS)
+@pytest.mark.parametrize(("size", "least"), [(400, 0.95), (100, 0.9), (64, 0.9)])
+def test_recall_of_regular_edits(benchmark, size, least, edit):
+    rng = random.Random(size)
+    items = [fold(r.text[:size]) for r in benchmark.collect()]
+    items = [i for i in items if len(i) >= min(size, 80)]
+    index = decontamination.Index.of(list(range(len(items))), items)
+    rows = [fold(f"some words before {EDITS[edit](i, rng)} and some words behind").encode() for i in items]
+    due = {(n, n) for n, i in enumerate(items) if distance(i, rows[n].decode(), 0)[0] <= int(0.2 * len(i))}
+    offsets = np.cumsum([0, *map(len, rows)])
+    got = {found[:2] for found in index.held(np.frombuffer(b"".join(rows), np.uint8), offsets)}
+    assert len(due) >= 20 and len(got & due) >= least * len(due)
+
+
+def test_walks_step_by_step():
+    rng = np.random.default_rng(4)
+    data = rng.integers(97, 105, 500).astype(np.uint8)
+    padded = np.append(data, np.full(20, 0x20, np.uint8))
+    for table, (_, sampled) in enumerate(decontamination.TABLES):
+        want = []
+        for start in range(len(data)):
+            at, seen = start, []
+            for step in range(decontamination.STEPS):
+                if step in sampled:
+                    seen.append(int(decontamination.CODES[step][padded[at]]))
+                at += int(decontamination.MOVES[table][step][padded[at]])
+            total = 0
+            for code in reversed(seen):
+                total = (total * int(decontamination.FACTOR) + code) % (1 << 32)
+            want.append(total)
+        assert decontamination.walks(data, table).tolist() == want
+
+
+def test_limits_are_arguments(spark, texts):
+    items = spark.createDataFrame([(1, "thirty characters of one item"), (2, "twelve of it")], "item_id long, text string")
+    rows = [(1, "x thirty charakters off one item y"), (2, "x twelve off it y"), (3, "x twelve of it y")]
+
+    def found(limits):
+        return sorted((r.doc_id, r.item_id) for r in matches(texts(rows), items, limits=limits).collect())
+
+    assert found(decontamination.Limits()) == [(3, 2)]
+    assert found(decontamination.Limits(shortest=25, whole=5)) == [(1, 1), (2, 2), (3, 2)]
+    assert found(decontamination.Limits(most=0.05, shortest=25, whole=20)) == [(3, 2)]
+
+
 def test_copies_of_short_and_blank_free_items(spark, texts):
     chinese = "请问下列哪一项不是光合作用的产物以及它在植物体内的作用是什么请说明理由并举出至少两个例子加以解释"
     items = [

@@ -54,6 +54,12 @@ def test_long_runs_take_little_time(text):
     assert time.monotonic() - begin < 5
 
 
+def test_zeros_before_the_parts_of_an_address():
+    for part, fine in (("0" * 450 + "1", True), ("0" * 450, True), ("0" * 5000 + "255", True), ("0" * 450 + "256", False)):
+        for text in (f"{part}.2.3.4", f"1.{part}.3.4", f"1.2.3.{part}"):
+            assert base_spans(text) == ([("ip", 0, len(text))] if fine else [])
+
+
 def test_query_against_the_patterns(documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
     rows = op6_pii(documents).collect()

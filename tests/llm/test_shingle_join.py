@@ -124,6 +124,15 @@ def test_one_of_each_goes_by_texts(texts):
     assert got == sorted(want, key=repr)
 
 
+def test_columns_keep_their_values_whatever_their_names(spark):
+    names = ["__text", "__id", "__n", "__own", "__named", "row", "text_", "n", "f1", "f2", "id", "own", "named", "stays", "component"]
+    rows = [(k, f"one two three four five {k // 2}", *(f"{n} {k}" for n in names)) for k in range(6)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {', '.join(f'`{n}` string' for n in names)}")
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [r for r in rows if r[0] % 2 == 0]
+
+
 def test_one_id_on_many_texts(texts):
     rows = [(1 if n % 3 else n, f"{n} one text with words of its own {n * 7} and {n * n}") for n in range(90)]
     assert one_of_each(texts(rows)).count() == 90
