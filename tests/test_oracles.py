@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -36,6 +38,22 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+@pytest.mark.parametrize("left", ["nothing", "an empty folder"])
+def test_queries_without_the_text_operators(tmp_path, left):
+    """What is registered does not depend on the text operators, even if their folder is left over."""
+    here = Path(entry_points.__file__).parent
+    (tmp_path / "ridelake").mkdir()
+    for p in (here / "ridelake").iterdir():
+        if p.name != "llm":
+            (tmp_path / "ridelake" / p.name).symlink_to(p)
+    if left != "nothing":
+        (tmp_path / "ridelake/llm/__pycache__").mkdir(parents=True)
+    (tmp_path / "entry_copy.py").write_text((here / "__spark_entry__.py").read_text())
+    code = "import entry_copy as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(plans.QUERIES))] * 2
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
