@@ -11,6 +11,7 @@ from ridelake.operators import gold
 from ridelake.operators.digest import Digest, digest, found
 from ridelake.operators.normalise import NORMALISE
 from ridelake.operators.refine import REFINE, WIDE_RIDE_STATUSES, refine_ride
+from ridelake.sources.declared import load_declared
 from ridelake.sources.files import read_bronze, write_routed
 from ridelake.sources.schemas import ENTITIES
 from ridelake.sources.tables import read_table, write_table
@@ -30,6 +31,10 @@ class LayerConfig:
     valid records, the invalid ones with their errors, and the lines that are no
     records (`read_routed`). With `verify` each table is compared, by a digest of its
     content, with the rows that went into it.
+
+    With `declared`, which goes with the style `records`, silver and gold are the tables
+    of the DDL, in its types and partitions; rows that they refuse lie, with their codes,
+    in <bronze_dir>/refused_<table>.
     """
 
     raw_dir: str
@@ -38,8 +43,11 @@ class LayerConfig:
     table_dir: str | None = None
     style: str = "jobs"
     verify: bool = True
+    declared: bool = False
 
     def __post_init__(self):
+        if self.declared and self.style != "records":
+            raise ValueError("declared tables are those of the style 'records'")
         if self.style not in STYLES:
             raise ValueError(f"style must be one of {STYLES}")
 
@@ -47,6 +55,9 @@ class LayerConfig:
         return f"{self.prefix}{layer}_{name}"
 
     def write(self, df: DataFrame, layer: str, name: str, partition_by=()) -> Digest | None:
+        if self.declared:
+            kind = f"{layer}_{name}"
+            return load_declared(df, kind, self.table(layer, name), f"{self.bronze_dir}/refused_{kind}")[0]
         place = f"{self.table_dir}/{layer}/{name}" if self.table_dir else None
         return write_table(df, self.table(layer, name), partition_by, location=place, verify=self.verify)
 
@@ -65,7 +76,8 @@ def build_silver(spark: SparkSession, cfg: LayerConfig) -> Contents:
     for entity in ENTITIES:
         bronze = read_bronze(spark, cfg.bronze_dir, entity)
         if cfg.style == "records":
-            out, parts = NORMALISE[entity](bronze), ()
+            checked = {"checks": True} if cfg.declared and entity in ("ride", "payment") else {}
+            out, parts = NORMALISE[entity](bronze, **checked), ()
         elif entity == "ride":
             wide = cfg.style == "notebooks"
             out = refine_ride(bronze, WIDE_RIDE_STATUSES) if wide else refine_ride(bronze)

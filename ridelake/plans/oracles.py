@@ -724,6 +724,100 @@ def _layer_contents(style: str) -> str:
     return " UNION ALL ".join(_contents(*p) for p in parts)
 
 
+# --- declared tables -------------------------------------------------------
+
+# Columns as name, type and whether a value is required (`!`).
+_PLACE_TYPES = " ".join(
+    f"{end}_location_{part}" for end in ("pickup", "dropoff") for part in ("latitude:9.6", "longitude:9.6", "city")
+)
+DECLARED = {
+    "silver_ride": (
+        "ride_id! passenger_id! driver_id! vehicle_id! request_date request_time:ts! pickup_time:ts! "
+        f"dropoff_time:ts! {_PLACE_TYPES} distance_km:6.2! duration_minutes! fare_amount:8.2! currency! "
+        "ride_status! valid_record data_quality_checks"
+    ),
+    "silver_payment": (
+        "payment_id! ride_id! payment_date payment_time:ts! payment_method! amount:8.2! currency! "
+        "payment_status! valid_record"
+    ),
+    "silver_passenger": "passenger_id! first_name! last_name! email! phone! signup_date city! country! status!",
+    "gold_ride_daily_metrics": (
+        "date! city! total_rides! completed_rides! cancelled_rides! total_distance_km:10.2! "
+        "total_revenue:10.2! avg_fare:8.2! avg_distance_km:6.2! avg_duration_minutes:6.2!"
+    ),
+    "gold_driver_metrics": "date! driver_id! completed_rides! total_distance_km:10.2! total_revenue:10.2! avg_rating:2.1",
+    "gold_city_metrics": (
+        "date! city! total_rides! completed_rides! total_revenue:10.2! avg_fare:8.2! avg_distance_km:6.2!"
+    ),
+}
+
+
+def _declared_columns(table: str) -> list[tuple[str, str, str, bool]]:
+    """(name, value in its type, value as it is compared, required)."""
+    out = []
+    for text in DECLARED[table].split():
+        name, _, kind = text.rstrip("!").partition(":")
+        typed = shown = name
+        if kind == "ts":
+            typed = f"({_ts(name)})"
+            shown = f"CAST({typed} AS VARCHAR)"
+        elif kind:
+            # By the decimal text of the number, as rounding its binary may go the other way.
+            typed = f"TRY_CAST(CAST({name} AS VARCHAR) AS DECIMAL({kind.replace('.', ', ')}))"
+            shown = f"CAST({typed} AS DOUBLE)"
+        out.append((name, typed, shown, text.endswith("!")))
+    return out
+
+
+def _declared_sources() -> dict[str, tuple[str, tuple[str, ...]]]:
+    """(rows before the gate, bronze entities they need)."""
+    checks = ", ".join(
+        f"'{code}=' || CASE WHEN {fails} THEN 'false' ELSE 'true' END" for code, fails, _ in sorted(FAILS["ride"])
+    )
+    ride = NORMALISED["ride"].replace(
+        "FROM bronze_ride",
+        f", NOT {_bad('ride')} AS valid_record, concat_ws(',', {checks}) AS data_quality_checks FROM bronze_ride",
+    )
+    payment = NORMALISED["payment"].replace("FROM bronze_payment", f", NOT {_bad('payment')} AS valid_record FROM bronze_payment")
+    daily = _daily("bronze_ride", _RECORDS_DAY)
+    return {
+        "silver_ride": (ride, ("ride",)),
+        "silver_payment": (payment, ("payment",)),
+        "silver_passenger": (NORMALISED["passenger"], ("passenger",)),
+        "gold_ride_daily_metrics": (daily, ("ride",)),
+        "gold_city_metrics": (daily, ("ride",)),
+        "gold_driver_metrics": (_driver_daily("bronze_ride", _RECORDS_DAY, _LAST_RATING), ("ride", "driver")),
+    }
+
+
+def _declared(table: str) -> str:
+    source, entities = _declared_sources()[table]
+    columns = _declared_columns(table)
+    keep = " AND ".join(
+        f"{typed} IS NOT NULL" if required else f"({name} IS NULL OR {typed} IS NOT NULL)"
+        for name, typed, _, required in columns
+        if required or typed != name
+    )
+    shown = ", ".join(f"{value} AS {name}" for name, _, value, _ in columns)
+    return _over_bronze(f"SELECT {shown} FROM ({source}) s WHERE {keep}", *entities)
+
+
+def _refusals() -> str:
+    parts, every = [], set()
+    for table, (source, entities) in _declared_sources().items():
+        every |= set(entities)
+        for name, typed, _, required in _declared_columns(table):
+            tests = [("missing", f"{name} IS NULL")] if required else []
+            if typed != name:
+                tests.append(("unfit", f"{name} IS NOT NULL AND {typed} IS NULL"))
+            parts += [
+                f"SELECT '{table}' AS table_name, '{name}_{code}' AS code, COUNT(*) AS records "
+                f"FROM ({source}) s WHERE {test} HAVING COUNT(*) > 0"
+                for code, test in tests
+            ]
+    return _over_bronze(" UNION ALL ".join(parts), *sorted(every))
+
+
 # --- assembly --------------------------------------------------------------
 
 
@@ -968,6 +1062,8 @@ def oracle_sql(bounds: dict[str, dict[str, tuple[float, float]]]) -> dict[str, s
     )
     is_record = "NOT (payment_id LIKE '%7' OR payment_id LIKE '%3' OR payment_id LIKE '%5')"
     only_id = """'{"payment_id":"' || payment_id || '"}'"""
+    out |= {f"declared_{t}": _declared(t) for t in DECLARED}
+    out["refused_by_declared_tables"] = _refusals()
     out["routed_lines"] = _over_bronze(
         f"""SELECT CASE WHEN {_bad("payment")} THEN 'invalid' ELSE 'valid' END AS destination,
                    payment_id, amount,

@@ -23,6 +23,7 @@ from ridelake.operators.refine import REFINE, WIDE_RIDE_STATUSES, refine_ride
 from ridelake.operators.report import error_rows, failure_messages, quality_report
 from ridelake.operators.validate import split_quarantine, validate
 from ridelake.plans.layers import LayerConfig, run_layers
+from ridelake.sources.declared import REFUSED, load_declared, read_declared, refused_rows
 from ridelake.sources.files import (
     INVALID,
     MALFORMED,
@@ -65,7 +66,10 @@ def portable(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.StructType):
-            out += [c[s].alias(f"{f.name}_{s}") for s in f.dataType.names]
+            out += [
+                (c[s.name].cast("double") if isinstance(s.dataType, T.DecimalType) else c[s.name]).alias(f"{f.name}_{s.name}")
+                for s in f.dataType.fields
+            ]
         elif isinstance(f.dataType, T.TimestampNTZType):
             out.append(c.cast("string").alias(f.name))
         elif isinstance(f.dataType, T.DecimalType):
@@ -400,6 +404,50 @@ def _run_layers(style: str, *columns: str) -> Query:
     return run
 
 
+def _declared_source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The rows that go into a declared table."""
+    if table == "gold_driver_metrics":
+        return driver_metrics_from_records(spark, sf_dir)
+    if table.startswith("gold_"):
+        metrics = gold.city_metrics if table == "gold_city_metrics" else gold.ride_daily_metrics
+        return metrics(bronze(spark, sf_dir, "ride"))
+    entity = table.removeprefix("silver_")
+    checks = {"checks": True} if entity in ("ride", "payment") else {}
+    return NORMALISE[entity](bronze(spark, sf_dir, entity), **checks)
+
+
+DECLARED = (
+    "silver_ride", "silver_payment", "silver_passenger",
+    "gold_ride_daily_metrics", "gold_driver_metrics", "gold_city_metrics",
+)
+
+
+def _declared(table: str) -> Query:
+    """Load a table made by its DDL, by dynamic overwrite, and read it back."""
+
+    def run(spark, sf_dir):
+        base = shared_folder(spark)
+        name = f"d{base[-8:]}_{table}"
+        try:
+            load_declared(_declared_source(spark, sf_dir, table), table, name, f"{base}/refused")
+            return written(portable(read_declared(spark, table, name)))
+        finally:
+            reset_tables(spark, [name])
+            remove_folder(spark, base)
+
+    return run
+
+
+def refused_by_declared_tables(spark, sf_dir):
+    """Rows that each declared table refuses, by code."""
+    parts = []
+    for table in DECLARED:
+        bad = refused_rows(_declared_source(spark, sf_dir, table), table)
+        codes = bad.select(F.explode(REFUSED).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("records"))
+        parts.append(codes.select(F.lit(table).alias("table_name"), "code", "records"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def routed_lines(spark, sf_dir):
     """Payments landed with faults in the lines: every line where one pass has put it.
 
@@ -477,6 +525,8 @@ QUERIES: dict[str, Query] = {
     "landed_lines": landed_lines,
     "report_file": report_file,
     "routed_lines": routed_lines,
+    **{f"declared_{t}": _declared(t) for t in DECLARED},
+    "refused_by_declared_tables": refused_by_declared_tables,
     **{
         f"layer_{what}_{s}": _run_layers(s, "entity", "record_count", *more)
         for s in ("jobs", "notebooks", "records")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridelake.operators.digest import Digest, digest, found, observed
+from ridelake.session import setting
 from ridelake.sources.schemas import derived_columns, iceberg_partitions
 from ridelake.sources.scratch import remove_folder, subfolders
 
@@ -153,14 +154,9 @@ def publish(spark: SparkSession, name: str, schema: T.StructType, partitions: Se
         return
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     split = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
-    key = "spark.sql.hive.manageFilesourcePartitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
+    with setting(spark, "spark.sql.hive.manageFilesourcePartitions", "false"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet{split} LOCATION '{version}'")
-    finally:
-        spark.conf.set(key, before)
 
 
 def expire_versions(spark: SparkSession, name: str) -> list[str]:

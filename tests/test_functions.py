@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 import math
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -9,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ridelake import functions as R
+from ridelake.functions.numbers import EXACT, units
 
 
 def column(spark, values, kind, f):
@@ -184,3 +187,28 @@ def test_between_dates_uses_derived_columns(spark):
     out = R.between_dates(df, "t", "2026-05-02", "2026-05-04")
     assert sorted(r["t"].day for r in out.collect()) == [2, 3]
     assert "t_day" in out._jdf.queryExecution().optimizedPlan().toString().split("Filter")[1]
+
+
+def test_limbs_add_as_decimals_do(spark):
+    rng = random.Random(8)
+    kinds = [
+        lambda: round(rng.uniform(-1e6, 1e6), 2),
+        lambda: rng.uniform(-1e3, 1e3),
+        lambda: rng.randrange(4096 * 50) / 4096,
+        lambda: round(rng.uniform(-1e7, 1e7), 3),
+        lambda: rng.uniform(-1e20, 1e20),
+        lambda: round(rng.uniform(0, 1), 12),
+        lambda: rng.uniform(-1e-9, 1e-9),
+        lambda: rng.choice([999999.99, 1e6, -999999.99, 0.1 + 0.2, -0.0, 1e-12, 5e-13, 999.999999999999]),
+    ]
+    # Groups of one kind, and mixed ones.
+    rows = [(k % 40, kinds[(k % 40 if k % 40 < 24 else k // 40) % 8]()) for k in range(8000)]
+    df = spark.createDataFrame(rows, "g long, v double").repartition(5)
+    x = F.col("v")
+    for r in df.select(units(x).alias("u"), x.try_cast(EXACT).alias("e")).collect():
+        assert r.u is None or decimal.Decimal(r.u) / 10**12 == r.e
+    # What plain decimals give.
+    plain = df.groupBy("g").agg(F.sum(x.cast(EXACT)).alias("s"), F.count("*").alias("n"))
+    want = {r.g: (float(r.s), float(r.s) / r.n) for r in plain.collect()}
+    made = df.groupBy("g").agg(R.exact_total(x).alias("s"), R.exact_mean(x).alias("m"))
+    assert {r.g: (r.s, r.m) for r in made.collect()} == want

@@ -15,7 +15,7 @@ from ridelake.operators.dedup import dedup
 from ridelake.operators.integrity import fk_violations
 from ridelake.operators.refine import refine_payment, refine_ride
 from ridelake.operators.validate import validate
-from ridelake.plans.queries import QUERIES
+from ridelake.plans.queries import DECLARED, QUERIES
 from ridelake.sources.star_schema import load
 from ridelake.sources.tables import read_table, write_table
 
@@ -27,7 +27,7 @@ WRITES = {
     "payments_as_lines", "landed_lines", "report_file", "routed_lines",
 } | {
     f"layer_{what}_{s}" for s in ("jobs", "notebooks", "records") for what in ("counts", "contents")
-}
+} | {f"declared_{t}" for t in DECLARED}
 # One row for the whole input, or a union of such rows.
 GLOBAL = {"ride_count", "distinct_passengers", "quarantine_counts"}
 

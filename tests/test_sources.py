@@ -12,7 +12,7 @@ from ridelake.operators.digest import digest
 from ridelake.operators.normalise import normalise_ride
 from ridelake.operators.report import quality_report
 from ridelake.plans.layers import LayerConfig, run_layers
-from ridelake.sources import files, schemas, tables
+from ridelake.sources import declared, files, schemas, tables
 from ridelake.sources.scratch import shared_folder
 from test_bronze_silver import ride
 
@@ -171,6 +171,71 @@ def test_conform(spark):
         schemas.conform(normalise_ride(wide), "silver_ride").collect()
 
 
+def test_the_gate_names_what_does_not_fit(spark):
+    rows = [
+        ride(ride_id="fits"),
+        ride(ride_id="wide", fare_amount=1e9, pickup_latitude=12345.0),
+        ride(ride_id="late", request_timestamp="soon", dropoff_timestamp=None),
+        ride(ride_id="void", distance_km=None, pickup_latitude=None),
+        ride(ride_id="half", fare_amount=12.345),
+    ]
+    df = normalise_ride(spark.createDataFrame(rows, schemas.RAW["ride"])).withColumn("more", F.lit(1))
+    got = {r["ride_id"]: r for r in declared.gate(df, "silver_ride").collect()}
+    assert {k: sorted(r["refused"]) for k, r in got.items()} == {
+        "fits": [],
+        "half": [],
+        "wide": ["fare_amount_unfit", "pickup_location_latitude_unfit"],
+        "late": ["dropoff_time_unfit", "request_time_unfit"],
+        "void": ["distance_km_missing"],
+    }
+    assert str(got["half"]["fare_amount"]) == "12.35"
+    bad = declared.refused_rows(df, "silver_ride")
+    assert bad.columns == [*df.columns, "refused"]
+    assert {r["ride_id"]: r["fare_amount"] for r in bad.collect()}["wide"] == 1e9
+    # A required column that is not there.
+    none = declared.gate(df.drop("currency"), "silver_ride").collect()
+    assert all("currency_missing" in r["refused"] for r in none)
+
+
+def test_declared_tables_replace_only_their_partitions(spark, tmp_path):
+    def passengers(*rows):
+        kinds = "passenger_id string, first_name string, last_name string, email string, phone string, signup_date date, city string, country string, status string"
+        full = [(i, "a", "b", "e", "p", None, city, country, status) for i, city, country, status in rows]
+        return spark.createDataFrame(full, kinds)
+
+    def load(df):
+        return declared.load_declared(df, "silver_passenger", "gated_passenger", str(tmp_path / "refused"))
+
+    first = passengers(("1", "NY", "US", "x"), ("2", "NY", "US", "x"), ("3", "", "US", "x"), ("4", "LA", "US", None))
+    made, refused = load(first)
+    assert (made.record_count, refused) == (3, 1)
+    bad = spark.read.parquet(str(tmp_path / "refused")).collect()
+    assert [(r["passenger_id"], r["refused"]) for r in bad] == [("4", ["status_missing"])]
+    made, refused = load(passengers(("5", "NY", "US", "x"), ("6", "LA", "US", "x")))
+    assert (made.record_count, refused) == (3, 0)
+    held = declared.read_declared(spark, "silver_passenger", "gated_passenger")
+    assert sorted((r["passenger_id"], r["city"]) for r in held.collect()) == [("3", ""), ("5", "NY"), ("6", "LA")]
+    assert held.columns == declared.declared_schema("silver_passenger").names
+    tables.reset_tables(spark, ["gated_passenger"])
+
+
+def test_the_run_into_declared_tables(spark, tmp_path):
+    frames = raw_frames(spark)
+    frames["payment"] = frames["payment"].withColumn("amount", F.expr("IF(payment_id = 'M3', 1e9D, amount)"))
+    files.land_all(frames, str(tmp_path / "raw"), "2026-05-01")
+    cfg = LayerConfig(str(tmp_path / "raw"), str(tmp_path / "bronze"), "ddl_", style="records", declared=True)
+    held = {r[0]: r[1] for layer in run_layers(spark, cfg).values() for r in layer.collect()}
+    assert held["payment"] == 39 and held["ride_daily_metrics"] == held["city_metrics"]
+    assert [r["refused"] for r in spark.read.parquet(f"{cfg.bronze_dir}/refused_silver_payment").collect()] == [["amount_unfit"]]
+    kinds = dict(spark.table("ddl_silver_ride").dtypes)
+    assert kinds["fare_amount"] == "decimal(8,2)" and kinds["request_time_day"] == "date"
+    assert {r["valid_record"] for r in spark.table("ddl_silver_payment").collect()} == {True}
+    for layer in ("silver", "gold"):
+        tables.reset_tables(spark, [r["tableName"] for r in tables.list_layer(spark, layer, "ddl_").collect()])
+    with pytest.raises(ValueError):
+        LayerConfig("a", "b", declared=True)
+
+
 def test_shared_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark), shared_folder(spark)
