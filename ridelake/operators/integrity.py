@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,6 +37,67 @@ def orphan_rows(
     )
 
 
+@dataclass(frozen=True)
+class Relation:
+    """Every `column` of `child` is a `key` of `parent`."""
+
+    child: str
+    column: str
+    parent: str
+    key: str
+
+
+#: The foreign keys of the five entities.
+RELATIONS = (
+    Relation("ride", "passenger_id", "passenger", "passenger_id"),
+    Relation("ride", "driver_id", "driver", "driver_id"),
+    Relation("ride", "vehicle_id", "vehicle", "vehicle_id"),
+    Relation("payment", "ride_id", "ride", "ride_id"),
+    Relation("vehicle", "driver_id", "driver", "driver_id"),
+)
+
+
+def all_fk_violations(frames: Mapping[str, DataFrame], relations: Sequence[Relation] = RELATIONS) -> DataFrame:
+    """(child, column_name, parent, key_value, row_count): `fk_violations` of several relations at once.
+
+    Each frame is read once and gives, for every relation that it takes part in, a row of
+    the parent's key space: the key, and a mark for what it is there. One aggregate of the
+    marks, combined before its shuffle, knows of every key whether it has a parent row and how
+    many rows of each child refer to it. Keys are compared as text. A NULL key has no parent.
+    """
+    spaces = list(dict.fromkeys((r.parent, r.key) for r in relations))
+
+    def mark(space: tuple[str, str], column: str, relation: int) -> Column:
+        return F.struct(
+            F.lit(spaces.index(space)).alias("space"),
+            F.col(column).cast("string").alias("key_value"),
+            F.lit(relation).alias("relation"),
+        )
+
+    every = None
+    for name, df in frames.items():
+        marks = [mark(s, s[1], -1) for s in spaces if s[0] == name]
+        marks += [mark((r.parent, r.key), r.column, i) for i, r in enumerate(relations) if r.child == name]
+        if marks:
+            part = df.select(F.explode(F.array(*marks)).alias("mark")).select("mark.*")
+            every = part if every is None else every.unionByName(part)
+    held = F.col("relation") == -1
+    counts = [F.count_if(F.col("relation") == i).alias(f"n{i}") for i in range(len(relations))]
+    keys = every.groupBy("space", "key_value").agg(F.max(held & F.col("key_value").isNotNull()).alias("held"), *counts)
+    found = [
+        F.struct(
+            F.lit(r.child).alias("child"),
+            F.lit(r.column).alias("column_name"),
+            F.lit(r.parent).alias("parent"),
+            F.col("key_value"),
+            F.col(f"n{i}").alias("row_count"),
+        )
+        for i, r in enumerate(relations)
+    ]
+    orphans = keys.filter(~F.col("held")).select(F.inline(F.array(*found)))
+    return orphans.filter(F.col("row_count") > 0)
+
+
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows (column_name, null_count, row_count), in a single pass over `df`."""
     names = list(columns or df.columns)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.operators.validate import all_pass, failures, judge
+from ridelake.session import setting
 from ridelake.sources.scratch import written
 
 # Fixed value: a report quotes this many errors unless asked for another number.
@@ -22,6 +23,101 @@ def verdicts(df: DataFrame, entity: str, key: str | None = None) -> DataFrame:
     )
 
 
+#: What a report is made of, and can be made of again: counts, and the first errors with their places.
+STATE = (
+    "dataset STRING, shown INT, records BIGINT, valid_records BIGINT, failures BIGINT, checks MAP<STRING, BIGINT>, "
+    "errors ARRAY<STRUCT<place: STRUCT<record: STRING, "
+    "failures: ARRAY<STRUCT<rule_no: INT, code: STRING, message: STRING>>, rule_no: INT>, record: STRING, error: STRING>>"
+)
+
+
+def report_state(
+    df: DataFrame, entity: str, key: str | None = None, dataset: str | None = None, shown: int = SHOWN_ERRORS
+) -> DataFrame:
+    """One row of `STATE` over the records of `df`, such as those of one day.
+
+    The records are read and judged once: they are counted as they go by, and only the
+    failing ones are written, for the first `shown` errors.
+    """
+    codes = [r.code for r in judge(df, entity)[1]]
+    failed = [F.count_if(F.array_contains(F.col("failures.code"), code)).alias(code) for code in codes]
+    watch = Observation()
+    judged = verdicts(df, entity, key).observe(
+        watch,
+        F.count(F.lit(1)).alias("records"),
+        F.count_if("valid").alias("valid_records"),
+        F.coalesce(F.sum(F.size("failures")), F.lit(0)).cast("bigint").alias("failed_rules"),
+        *failed,
+    )
+    bad = written(judged.filter(~F.col("valid")))
+    seen = watch.get
+    quoted = F.array_sort(F.collect_list(F.struct("place", "record", "error")))
+    checks = {code: seen[code] for code in codes if seen[code]}
+    pairs = F.create_map(*(F.lit(x) for pair in checks.items() for x in pair)) if checks else F.lit(None)
+    state = _first(bad, shown).agg(quoted.alias("errors"))
+    return state.select(
+        F.lit(dataset or entity).alias("dataset"),
+        F.lit(shown).alias("shown"),
+        F.lit(seen["records"]).cast("bigint").alias("records"),
+        F.lit(seen["valid_records"]).cast("bigint").alias("valid_records"),
+        F.lit(seen["failed_rules"]).cast("bigint").alias("failures"),
+        F.coalesce(pairs.cast("map<string,bigint>"), F.map_from_arrays(F.array(), F.array()).cast("map<string,bigint>")).alias("checks"),
+        "errors",
+    )
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One row of `STATE` for each dataset, out of those of its parts, in any order.
+
+    Counts are added; the first errors of all are among the first of each part. A state
+    holds at most `shown` errors, so a dataset's row here takes as many times its parts.
+    """
+    every = F.flatten(F.collect_list("errors"))
+    pairs = F.flatten(F.collect_list(F.map_entries("checks")))
+    sums = states.groupBy("dataset").agg(
+        F.min("shown").alias("shown"),
+        *(F.sum(c).cast("bigint").alias(c) for c in ("records", "valid_records", "failures")),
+        pairs.alias("pairs"),
+        F.array_sort(every).alias("errors"),
+    )
+    codes = F.array_sort(F.array_distinct(F.col("pairs.key")))
+    total = F.transform(
+        codes,
+        lambda code: F.aggregate(
+            F.filter("pairs", lambda p: p["key"] == code), F.lit(0).cast("bigint"), lambda n, p: n + p["value"]
+        ),
+    )
+    return sums.select(
+        "dataset",
+        "shown",
+        "records",
+        "valid_records",
+        "failures",
+        F.map_from_arrays(codes, total).alias("checks"),
+        F.slice("errors", F.lit(1), F.col("shown")).alias("errors"),
+    )
+
+
+def report_of(states: DataFrame) -> DataFrame:
+    """The report that each row of `STATE` makes."""
+    total, good = F.col("records"), F.col("valid_records")
+    # Hundredths of a percent as an integer: exact, halves up.
+    rate = F.call_function("div", good * 20000 + total, F.greatest(total, F.lit(1)) * 2)
+    return states.select(
+        "dataset",
+        "records",
+        "valid_records",
+        (total - good).alias("invalid_records"),
+        F.when(total == 0, F.lit(0.0)).otherwise(rate / 100).alias("validity_rate"),
+        "checks",
+        (F.col("failures") > F.col("shown")).alias("errors_truncated"),
+        F.transform(
+            "errors",
+            lambda e: F.concat(F.lit("Record "), F.coalesce(e["record"], F.lit("None")), F.lit(": "), e["error"]),
+        ).alias("errors"),
+    )
+
+
 def quality_report(
     df: DataFrame,
     entity: str,
@@ -31,41 +127,25 @@ def quality_report(
 ) -> DataFrame:
     """One row: record counts, validity rate, failures per rule, first errors.
 
-    The input is read and judged once; both parts of the report come from the written
-    verdicts. `checks` is counted per rule code, so that the row is bounded by the
-    number of rules; `failure_messages` gives the counts per full message, and
-    `error_rows` every error, as rows. `shown` errors are quoted in key order, each
-    named by the key of its record.
+    `checks` is counted per rule code, so that the row is bounded by the number of
+    rules; `failure_messages` gives the counts per full message, and `error_rows`
+    every error, as rows. `shown` errors are quoted in key order, each named by the key of
+    its record. Reports of days can be kept as states and merged (`report_state`).
     """
-    judged = written(verdicts(df, entity, key))
-    codes = [r.code for r in judge(df, entity)[1]]
-    failed = [F.count_if(F.array_contains(F.col("failures.code"), code)) for code in codes]
-    found = F.sum(F.size("failures"))
-    total, good = F.count(F.lit(1)), F.count_if("valid")
-    # Hundredths of a percent as an integer: exact, halves up.
-    rate = F.call_function("div", good * 20000 + total, F.greatest(total, F.lit(1)) * 2)
-    checks = F.create_map(*(part for code, n in zip(codes, failed) for part in (F.lit(code), n)))
-    counts = judged.agg(
-        total.alias("records"),
-        good.alias("valid_records"),
-        F.count_if(~F.col("valid")).alias("invalid_records"),
-        F.when(total == 0, F.lit(0.0)).otherwise(rate / 100).alias("validity_rate"),
-        F.map_filter(checks, lambda _, n: n > 0).alias("checks"),
-        F.coalesce(found > shown, F.lit(False)).alias("errors_truncated"),
-    )
-    quoted = _first(judged, shown).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("place", "record", "error"))),
-            lambda e: F.concat(
-                F.lit("Record "), F.coalesce(e["record"], F.lit("None")), F.lit(": "), e["error"]
-            ),
-        ).alias("errors")
-    )
-    # Two one-row frames become one row without a join.
-    both = counts.unionByName(quoted, allowMissingColumns=True)
-    return both.agg(
-        *(F.first(c, ignorenulls=True).alias(c) for c in both.columns)
-    ).select(F.lit(dataset or entity).alias("dataset"), "*")
+    return report_of(report_state(df, entity, key, dataset, shown))
+
+
+def write_report_state(state: DataFrame, path: str, day: str) -> None:
+    """Keep the state of one day, replacing an older one of that day."""
+    dated = state.withColumn("ingestion_date", F.lit(day).cast("date"))
+    with setting(state.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        dated.write.mode("overwrite").partitionBy("dataset", "ingestion_date").parquet(path)
+
+
+def kept_report(spark: SparkSession, path: str) -> DataFrame:
+    """The report over all days kept in `path`, one row for each dataset: no record is read."""
+    states = spark.read.schema(f"{STATE}, ingestion_date DATE").parquet(path)
+    return report_of(merged_states(states.drop("ingestion_date")))
 
 
 def first_errors(

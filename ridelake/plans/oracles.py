@@ -926,6 +926,21 @@ def oracle_sql(bounds: dict[str, dict[str, tuple[float, float]]]) -> dict[str, s
             "vehicle",
             "driver",
         ),
+        "fk_all": (
+            " UNION ALL ".join(
+                f"""SELECT '{child}' AS child, '{column}' AS column_name, '{parent}' AS parent,
+                           CAST({column} AS VARCHAR) AS key_value, row_count
+                    FROM ({_violations(column, child, f"SELECT {column} FROM {parent}")}) v"""
+                for child, column, parent in (
+                    ("ride", "passenger_id", "passenger"),
+                    ("ride", "driver_id", "driver"),
+                    ("ride", "vehicle_id", "vehicle"),
+                    ("payment", "ride_id", "ride"),
+                    ("vehicle", "driver_id", "driver"),
+                )
+            ),
+            *FAILS,
+        ),
         "orphan_payments": (
             """SELECT payment_id, ride_id, amount, payment_status FROM payment
                WHERE ride_id IS NULL OR ride_id NOT IN (SELECT ride_id FROM ride)""",
@@ -973,6 +988,7 @@ def oracle_sql(bounds: dict[str, dict[str, tuple[float, float]]]) -> dict[str, s
             e,
         )
         out[f"quality_report_{e}"] = _over_bronze(_report(e), e)
+        out[f"quality_report_by_days_{e}"] = out[f"quality_report_{e}"]
     out["bronze_from_landing"] = out["bronze_ride"]
     out["norm_raw_driver"] = out["norm_driver"]
     out["norm_raw_ride"] = out["norm_ride"]

@@ -16,11 +16,18 @@ from pyspark.sql import types as T
 from ridelake.functions import haversine_km, is_email, is_phone, iso_timestamp, ride_fare
 from ridelake.operators import gold
 from ridelake.operators.bronze import BRONZE
-from ridelake.operators.integrity import fk_violations, null_profile, orphan_rows, range_profile
+from ridelake.operators.integrity import all_fk_violations, fk_violations, null_profile, orphan_rows, range_profile
 from ridelake.operators.dedup import duplicate_keys
 from ridelake.operators.normalise import NORMALISE, normalise_payment, normalise_ride
 from ridelake.operators.refine import REFINE, WIDE_RIDE_STATUSES, refine_ride
-from ridelake.operators.report import error_rows, failure_messages, quality_report
+from ridelake.operators.report import (
+    error_rows,
+    failure_messages,
+    kept_report,
+    quality_report,
+    report_state,
+    write_report_state,
+)
 from ridelake.operators.validate import split_quarantine, validate
 from ridelake.plans.layers import LayerConfig, run_layers
 from ridelake.sources.declared import REFUSED, load_declared, read_declared, refused_rows
@@ -239,6 +246,26 @@ def fk_vehicle_driver(spark, sf_dir):
     return fk_violations(load(spark, sf_dir, "vehicle"), "driver_id", load(spark, sf_dir, "driver"))
 
 
+def fk_all(spark, sf_dir):
+    """The violations of all five relations, each frame read once, in one shuffle."""
+    return all_fk_violations({e: load(spark, sf_dir, e) for e in ENTITIES})
+
+
+def _report_by_days(entity: str) -> Query:
+    """Records land on three days; each day's state is kept, and the report is made of the states."""
+
+    def run(spark, sf_dir):
+        base = shared_folder(spark)
+        records = bronze(spark, sf_dir, entity)
+        day = F.pmod(F.crc32(F.coalesce(f"{entity}_id", F.lit(""))), F.lit(3))
+        for number, date in enumerate(("2026-05-01", "2026-05-02", "2026-05-03")):
+            state = report_state(records.filter(day == number), entity)
+            write_report_state(state, f"{base}/states", date)
+        return portable(kept_report(spark, f"{base}/states"))
+
+    return run
+
+
 def orphan_payments(spark, sf_dir):
     orphans = orphan_rows(load(spark, sf_dir, "payment"), "ride_id", load(spark, sf_dir, "ride"))
     return orphans.select("payment_id", "ride_id", "amount", "payment_status")
@@ -502,6 +529,7 @@ QUERIES: dict[str, Query] = {
     "contact_formats": contact_formats,
     "parsed_times": parsed_times,
     **{f"quality_report_{e}": _report(e) for e in ENTITIES},
+    **{f"quality_report_by_days_{e}": _report_by_days(e) for e in ENTITIES},
     **{f"failure_messages_{e}": _messages(e) for e in ENTITIES},
     **{f"error_rows_{e}": _error_rows(e) for e in ENTITIES},
     "quarantined_rides": quarantined_rides,
@@ -510,6 +538,7 @@ QUERIES: dict[str, Query] = {
     **{f"fk_ride_{p}": _fk_ride(p) for p in ("passenger", "driver", "vehicle")},
     "fk_payment_ride": fk_payment_ride,
     "fk_vehicle_driver": fk_vehicle_driver,
+    "fk_all": fk_all,
     "orphan_payments": orphan_payments,
     "duplicate_ride_ids": duplicate_ride_ids,
     "duplicate_license_plates": duplicate_license_plates,

@@ -12,7 +12,7 @@ from ridelake.functions import between_dates
 
 from ridelake.operators import gold
 from ridelake.operators.dedup import dedup
-from ridelake.operators.integrity import fk_violations
+from ridelake.operators.integrity import RELATIONS, all_fk_violations, fk_violations
 from ridelake.operators.refine import refine_payment, refine_ride
 from ridelake.operators.validate import validate
 from ridelake.plans.queries import DECLARED, QUERIES
@@ -138,6 +138,28 @@ def test_fk_check_counts_before_the_join(spark, big, no_broadcast):
     assert text.index("LeftAnti") < text.index("partial_count")
 
 
+def test_all_foreign_keys_in_one_shuffle(spark, big, no_broadcast):
+    frames = {
+        "ride": big.withColumn("vehicle_id", F.col("driver_id")),
+        "passenger": spark.range(50).withColumnRenamed("id", "passenger_id"),
+        "driver": spark.range(5).withColumnRenamed("id", "driver_id"),
+        "vehicle": spark.range(9).selectExpr("id AS vehicle_id", "IF(id = 3, NULL, id) AS driver_id"),
+        "payment": spark.range(7).selectExpr("id AS ride_id"),
+    }
+    df = all_fk_violations(frames)
+    text = plan(df)
+    assert exchanges(df) == 1 and "Join" not in text and text.count("FileScan") == 1
+    assert text.index("Exchange hashpartitioning") < text.index("partial_count")
+    got = {}
+    for r in df.collect():
+        got.setdefault((r["child"], r["column_name"]), {})[r["key_value"]] = r["row_count"]
+    for relation in RELATIONS:
+        one = fk_violations(frames[relation.child], relation.column, frames[relation.parent], relation.key)
+        want = {None if r[0] is None else str(r[0]): r["row_count"] for r in one.collect()}
+        assert got.get((relation.child, relation.column), {}) == want
+    assert got["vehicle", "driver_id"][None] == 1
+
+
 def test_validation_does_not_shuffle(spark):
     assert "Exchange" not in plan(validate(load(spark, SF, "payment"), "payment"))
 

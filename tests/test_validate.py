@@ -3,10 +3,20 @@ from __future__ import annotations
 from itertools import product
 
 import pytest
-
-from ridelake.operators.report import failure_messages, first_errors, quality_report
+from pyspark.sql import functions as F
+
+from ridelake.operators import report
+from ridelake.operators.report import (
+    failure_messages,
+    first_errors,
+    kept_report,
+    quality_report,
+    report_state,
+    write_report_state,
+)
 from ridelake.operators.validate import split_quarantine, validate
 from ridelake.sources.schemas import RAW
+from ridelake.sources.scratch import written
 from test_bronze_silver import NAN, ride
 
 
@@ -178,3 +188,30 @@ def test_first_errors_of_a_hot_key(spark):
     one = first_errors(df.repartition(1), "vehicle", "vehicle_id").select("record", "error").collect()
     many = first_errors(df.repartition(16), "vehicle", "vehicle_id").select("record", "error").collect()
     assert one == many and len(one) == 100
+
+
+def test_merged_states_are_the_state_of_all(spark, tmp_path):
+    rows = [dict(ride_id=f"R{k % 90:02}", fare_amount=-1.0 if k % 3 else 2.0, currency=None if k % 5 else "USD") for k in range(120)]
+    df = spark.createDataFrame([ride(**r) for r in rows], RAW["ride"])
+    whole = quality_report(df, "ride", shown=25).first()
+    assert whole["errors_truncated"] and len(whole["errors"]) == 25
+    for parts in (1, 2, 5):
+        days = [df.filter(F.pmod(F.crc32("ride_id"), F.lit(parts)) == k) for k in range(parts)]
+        days.append(df.limit(0))
+        path = str(tmp_path / f"states{parts}")
+        for k, day in enumerate(days):
+            for _ in range(2 if k == 0 else 1):  # a day that comes again replaces itself
+                write_report_state(report_state(day, "ride", shown=25), path, f"2026-05-0{k + 1}")
+        assert kept_report(spark, path).first() == whole
+    none = quality_report(df.limit(0), "ride").first()
+    assert (none["records"], none["validity_rate"], none["checks"], none["errors"]) == (0, 0.0, {}, [])
+
+
+def test_a_report_writes_failing_rows_only(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(report, "written", lambda df: seen.append(df) or written(df))
+    rows = [ride(ride_id=f"R{k}", ride_status="completed", fare_amount=-1.0 if k == 7 else 1.0) for k in range(50)]
+    df = spark.createDataFrame(rows, RAW["ride"])
+    bad = validate(df, "ride").filter("NOT valid_record").count()
+    assert report.quality_report(df, "ride").first()["invalid_records"] == bad
+    assert seen[0].count() == bad
