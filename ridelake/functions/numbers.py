@@ -75,35 +75,66 @@ def limbs(c: Column) -> tuple[Column, Column, Column]:
     return div(c, UNITS), div(c, LIMB) % F.lit(LIMB), c % F.lit(LIMB)
 
 
-def _sums(c: Column) -> tuple[Column, Column, Column, Column]:
-    """Aggregates: (exact sum, whether it holds, sum of doubles, number of values)."""
+#: What is added of a measure; sums of sums are the sums of all.
+PARTS = ("whole", "millionths", "last", "rest", "plain", "held", "odd", "n")
+
+
+def partial_sums(c: Column) -> dict[str, Column]:
+    """Aggregates of a measure by part: its limbs, what has none as a decimal, plain doubles, counts."""
     x = measure(c)
     small = units(x)
     # NULL, and no object, for what has limbs.
     large = F.when(small.isNull(), x.try_cast(EXACT))
+    added = [F.coalesce(F.sum(part), F.lit(0)).cast("bigint") for part in limbs(small)]
+    return dict(zip(PARTS, (*added, F.try_sum(large), F.sum(x), F.count(small), F.count(large), F.count(x)), strict=True))
+
+
+def merged_sums(parts: dict[str, Column]) -> dict[str, Column]:
+    """Aggregates that add stored parts."""
+    out = {k: F.sum(c).cast("bigint") for k, c in parts.items()}
+    # A sum that has left its decimal stays lost.
+    lost = F.count_if((parts["odd"] > 0) & parts["rest"].isNull())
+    out["rest"] = F.when(lost == 0, F.try_sum(parts["rest"])).cast(EXACT)
+    return out | {"plain": F.sum(parts["plain"])}
+
+
+def _carried(parts: dict[str, Column]) -> tuple[Column, Column, Column, Column]:
+    """(exact sum, whether it holds, sum of doubles, number of values)."""
     # Types whose sums and products keep all twelve places.
-    whole, millionths, last = (F.coalesce(F.sum(part), F.lit(0)).cast("decimal(20,0)") for part in limbs(small))
+    whole, millionths, last = (parts[k].cast("decimal(20,0)") for k in PARTS[:3])
     carried = whole + millionths * F.lit("0.000001").cast("decimal(6,6)")
     carried = carried + last * F.lit("0.000000000001").cast("decimal(12,12)")
-    rest = F.try_sum(large)
-    held, odd = F.count(small), F.count(large)
+    rest, odd, n = parts["rest"], parts["odd"], parts["n"]
     narrow = "decimal(37,12)"
     both = carried.cast(narrow) + rest.try_cast(narrow)
     # From 1e25 on the last place is far beyond what a double can say.
     total = F.when(odd == 0, carried.cast(EXACT)).otherwise(F.coalesce(both, (rest + carried.cast(EXACT)).try_cast(EXACT)))
-    n = F.count(x)
     total = F.when(n > 0, total)
-    return total, (held + odd == n) & total.isNotNull(), F.sum(x), n
+    return total, (parts["held"] + odd == n) & total.isNotNull(), parts["plain"], n
 
 
-def exact_total(c: Column, places: int | None = None) -> Column:
-    """Aggregate: sum of `c`, NULL for no values; rounded to `places` if given."""
-    total, holds, plain, _ = _sums(c)
+def total_of(parts: dict[str, Column], places: int | None = None) -> Column:
+    """The sum, NULL for no values; rounded to `places` if given."""
+    total, holds, plain, _ = _carried(parts)
     if places is not None:
         total, plain = F.round(total, places), F.round(plain, places)
     return F.when(holds, total.cast("double")).otherwise(plain)
 
 
+def rounded_mean_of(parts: dict[str, Column], places: int) -> Column:
+    """The mean to `places`, halves away from zero; 0 for no values."""
+    total, holds, plain, n = _carried(parts)
+    # ANSI mode refuses a division by zero.
+    some = F.nullif(n, F.lit(0))
+    mean = F.when(holds, F.round(total / some, places).cast("double")).otherwise(F.round(plain / some, places))
+    return F.coalesce(mean, F.lit(0.0))
+
+
+def exact_total(c: Column, places: int | None = None) -> Column:
+    """Aggregate: sum of `c`, NULL for no values; rounded to `places` if given."""
+    return total_of(partial_sums(c), places)
+
+
 def exact_mean(c: Column) -> Column:
     """Aggregate: unrounded mean of `c`, NULL for no values."""
     return exact_total(c) / F.nullif(F.count(measure(c)), F.lit(0))
@@ -111,8 +142,4 @@ def exact_mean(c: Column) -> Column:
 
 def rounded_mean(c: Column, places: int) -> Column:
     """Aggregate: mean of `c` to `places`, halves away from zero; 0 for no values."""
-    total, holds, plain, n = _sums(c)
-    # ANSI mode refuses a division by zero.
-    some = F.nullif(n, F.lit(0))
-    mean = F.when(holds, F.round(total / some, places).cast("double")).otherwise(F.round(plain / some, places))
-    return F.coalesce(mean, F.lit(0.0))
+    return rounded_mean_of(partial_sums(c), places)

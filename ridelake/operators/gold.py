@@ -19,9 +19,9 @@ from ridelake.functions import (
     exact_mean,
     exact_total,
     or_default,
-    rounded_mean,
     strip,
 )
+from ridelake.functions.numbers import partial_sums, rounded_mean_of, total_of
 
 COMPLETED = "completed"
 
@@ -38,12 +38,27 @@ def ride_daily_metrics(
     adds to no measure, one with an unreadable distance to the fare only, and one
     with an unreadable duration to fare and distance only.
     """
+    rows = ride_daily_rows(rides, time, city)
+    sums = rows.groupBy("date", "city").agg(
+        F.count(F.lit(1)).alias("total_rides"),
+        F.count_if("done").alias("completed_rides"),
+        *ride_daily_columns({m: partial_sums(F.col(m)) for m in RIDE_MEASURES}),
+    )
+    return with_cancelled(sums)
+
+
+#: Measures of `ride_daily_rows`.
+RIDE_MEASURES = ("fare", "km", "minutes")
+
+
+def ride_daily_rows(rides: DataFrame, time: str = "request_timestamp", city: str = "pickup_city") -> DataFrame:
+    """(date, city, done, fare, km, minutes) of the rides that daily metrics count."""
     done = F.col("ride_status").eqNullSafe(COMPLETED)
     fare, km, minutes = (F.col(c) for c in ("fare_amount", "distance_km", "duration_minutes"))
     with_fare = done & F.col("fare_amount").isNotNull()
     with_km = with_fare & F.col("distance_km").isNotNull()
     with_minutes = with_km & F.col("duration_minutes").isNotNull()
-    rows = rides.select(
+    return rides.select(
         as_date(rides, time).alias("date"),
         strip(or_default(F.col(city), "Unknown")).alias("city"),
         done.alias("done"),
@@ -51,15 +66,20 @@ def ride_daily_metrics(
         F.when(with_km, km).alias("km"),
         F.when(with_minutes, minutes).alias("minutes"),
     ).filter(F.col("date").isNotNull())
-    sums = rows.groupBy("date", "city").agg(
-        F.count(F.lit(1)).alias("total_rides"),
-        F.count_if("done").alias("completed_rides"),
-        F.coalesce(exact_total(F.col("km"), 2), F.lit(0.0)).alias("total_distance_km"),
-        F.coalesce(exact_total(F.col("fare"), 2), F.lit(0.0)).alias("total_revenue"),
-        rounded_mean(F.col("fare"), 2).alias("avg_fare"),
-        rounded_mean(F.col("km"), 2).alias("avg_distance_km"),
-        rounded_mean(F.col("minutes"), 2).alias("avg_duration_minutes"),
-    )
+
+
+def ride_daily_columns(parts: dict[str, dict[str, Column]]) -> list[Column]:
+    """Totals and means of the daily metrics, of what was added of each measure."""
+    return [
+        F.coalesce(total_of(parts["km"], 2), F.lit(0.0)).alias("total_distance_km"),
+        F.coalesce(total_of(parts["fare"], 2), F.lit(0.0)).alias("total_revenue"),
+        rounded_mean_of(parts["fare"], 2).alias("avg_fare"),
+        rounded_mean_of(parts["km"], 2).alias("avg_distance_km"),
+        rounded_mean_of(parts["minutes"], 2).alias("avg_duration_minutes"),
+    ]
+
+
+def with_cancelled(sums: DataFrame) -> DataFrame:
     cancelled = (F.col("total_rides") - F.col("completed_rides")).alias("cancelled_rides")
     return sums.select(*sums.columns[:4], cancelled, *sums.columns[4:])
 
@@ -98,22 +118,40 @@ def driver_daily_metrics(
     A ride with an unreadable distance counts but adds to no total, one with an
     unreadable fare adds its distance. Drivers without a rating get 0.
     """
-    km, fare = F.col("distance_km"), F.col("fare_amount")
-    rows = (
+    sums = driver_daily_rows(rides, time).groupBy("date", "driver_id").agg(
+        F.count(F.lit(1)).alias("completed_rides"),
+        *driver_daily_columns({m: partial_sums(F.col(m)) for m in DRIVER_MEASURES}),
+    )
+    return with_rating(sums, drivers, order)
+
+
+#: Measures of `driver_daily_rows`.
+DRIVER_MEASURES = ("km", "fare")
+
+
+def driver_daily_rows(rides: DataFrame, time: str = "request_timestamp") -> DataFrame:
+    """(date, driver_id, km, fare) of the completed rides."""
+    return (
         rides.filter(F.col("ride_status") == COMPLETED)
         .select(
             as_date(rides, time).alias("date"),
             "driver_id",
-            km.alias("km"),
-            F.when(F.col("distance_km").isNotNull(), fare).alias("fare"),
+            F.col("distance_km").alias("km"),
+            F.when(F.col("distance_km").isNotNull(), F.col("fare_amount")).alias("fare"),
         )
         .filter(F.col("date").isNotNull())
     )
-    sums = rows.groupBy("date", "driver_id").agg(
-        F.count(F.lit(1)).alias("completed_rides"),
-        F.coalesce(exact_total(F.col("km"), 2), F.lit(0.0)).alias("total_distance_km"),
-        F.coalesce(exact_total(F.col("fare"), 2), F.lit(0.0)).alias("total_revenue"),
-    )
+
+
+def driver_daily_columns(parts: dict[str, dict[str, Column]]) -> list[Column]:
+    return [
+        F.coalesce(total_of(parts["km"], 2), F.lit(0.0)).alias("total_distance_km"),
+        F.coalesce(total_of(parts["fare"], 2), F.lit(0.0)).alias("total_revenue"),
+    ]
+
+
+def with_rating(sums: DataFrame, drivers: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Daily sums of drivers with the rating of each."""
     ratings = rating_lookup(drivers, order=order)
     return sums.join(ratings, "driver_id", "left").select(
         "date",

@@ -970,6 +970,8 @@ def oracle_sql(bounds: dict[str, dict[str, tuple[float, float]]]) -> dict[str, s
         "ride",
         "driver",
     )
+    out["daily_metrics_by_landing_days"] = out["daily_metrics_from_records"]
+    out["driver_metrics_by_landing_days"] = out["driver_metrics_from_records"]
     out["daily_city_from_silver"] = _over_bronze(_daily_city(f"({WIDE_RIDE}) s"), "ride")
     columns = {
         "passenger": PASSENGER,

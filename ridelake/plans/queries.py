@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridelake.functions import haversine_km, is_email, is_phone, iso_timestamp, ride_fare
-from ridelake.operators import gold
+from ridelake.operators import gold, increments
 from ridelake.operators.bronze import BRONZE
 from ridelake.operators.integrity import all_fk_violations, fk_violations, null_profile, orphan_rows, range_profile
 from ridelake.operators.dedup import duplicate_keys
@@ -176,6 +176,27 @@ def driver_metrics_from_records(spark, sf_dir):
     )
 
 
+LANDING_DAYS = ("2026-05-01", "2026-05-02", "2026-05-03")
+
+
+def _by_landing_days(running: increments.Running, finish: Callable[[SparkSession, str, DataFrame], DataFrame]) -> Query:
+    """Rides land on three days, one after the other; the result over all of them."""
+
+    def run(spark, sf_dir):
+        base = shared_folder(spark)
+        rides = bronze(spark, sf_dir, "ride")
+        day = F.pmod(F.crc32(F.coalesce("ride_id", F.lit(""))), F.lit(len(LANDING_DAYS)))
+        for number, date in enumerate(LANDING_DAYS):
+            increments.land(rides.filter(day == number), running, base, date)
+        return finish(spark, sf_dir, increments.landed_result(spark, running, base))
+
+    return run
+
+
+def _with_rating(spark, sf_dir, sums):
+    return gold.with_rating(sums, bronze(spark, sf_dir, "driver"), ["signup_timestamp"])
+
+
 def driver_performance_with_rating(spark, sf_dir):
     drivers = REFINE["driver"](load(spark, sf_dir, "driver"))
     return gold.driver_performance(load(spark, sf_dir, "ride"), drivers)
@@ -258,7 +279,7 @@ def _report_by_days(entity: str) -> Query:
         base = shared_folder(spark)
         records = bronze(spark, sf_dir, entity)
         day = F.pmod(F.crc32(F.coalesce(f"{entity}_id", F.lit(""))), F.lit(3))
-        for number, date in enumerate(("2026-05-01", "2026-05-02", "2026-05-03")):
+        for number, date in enumerate(LANDING_DAYS):
             state = report_state(records.filter(day == number), entity)
             write_report_state(state, f"{base}/states", date)
         return portable(kept_report(spark, f"{base}/states"))
@@ -505,6 +526,10 @@ QUERIES: dict[str, Query] = {
     "city_metrics": _on_rides(gold.city_metrics),
     "driver_daily_metrics": driver_daily_metrics,
     "driver_metrics_from_records": driver_metrics_from_records,
+    "daily_metrics_by_landing_days": _by_landing_days(
+        increments.RIDE_DAYS, lambda spark, sf_dir, sums: gold.with_cancelled(sums)
+    ),
+    "driver_metrics_by_landing_days": _by_landing_days(increments.DRIVER_DAYS, _with_rating),
     "daily_rides_by_date": _on_rides(gold.daily_rides),
     "daily_rides_by_city": _on_rides(gold.daily_city_rides),
     "daily_city_from_silver": daily_city_from_silver,

@@ -3,8 +3,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from ridelake.operators import gold
+from ridelake.functions import exact_total, rounded_mean
+from ridelake.functions.numbers import PARTS, merged_sums, partial_sums, rounded_mean_of, total_of
+from ridelake.operators import gold, increments
 from ridelake.operators.integrity import fk_violations, null_profile, orphan_rows, range_profile
 from ridelake.operators.dedup import duplicate_keys
 from ridelake.sources.schemas import RAW
@@ -162,3 +165,64 @@ def test_same_result_for_any_number_of_partitions(spark, partitions):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert (hot["total_rides"], hot["total_spent"]) == (1667, 41658.33)
+
+
+def months_of(*numbers):
+    return [
+        dict(
+            ride_id=f"R{n}",
+            request_timestamp=f"2026-0{1 + n % 4}-0{1 + n % 3}T10:00:00",
+            fare_amount=[1.25, 1e7 + 0.125, 0.1, None, 1e27][n % 5],
+            distance_km=n / 7,
+            pickup_city=["LA", "NY"][n % 2],
+        )
+        for n in numbers
+    ]
+
+
+def test_landing_days_add_up(spark, tmp_path):
+    folder, running = str(tmp_path), increments.RIDE_DAYS
+    days = {"2026-05-01": range(40), "2026-05-02": range(40, 60, 4), "2026-05-03": []}
+
+    def whole():
+        every = rides(spark, *months_of(*(n for own in days.values() for n in own)))
+        return sorted(map(tuple, gold.ride_daily_metrics(every).collect()))
+
+    def landed():
+        made = gold.with_cancelled(increments.landed_result(spark, running, folder))
+        return sorted(map(tuple, made.collect()))
+
+    for day, numbers in days.items():
+        if numbers:
+            increments.land(rides(spark, *months_of(*numbers)), running, folder, day)
+    assert landed() == whole()
+    # Every fourth ride is of one month; the others stay as they were.
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "result").rglob("*.parquet")}
+    days["2026-05-03"] = range(61, 90, 4)
+    changed = increments.land(rides(spark, *months_of(*days["2026-05-03"])), running, folder, "2026-05-03")
+    assert changed == {(2026, 2)} and landed() == whole()
+    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "result").rglob("*.parquet")}
+    assert {p for p in files if "date_month=2" not in str(p)} <= {p for p in kept if kept[p] == files.get(p)}
+    # A day that comes again, with other rides: nothing counts twice, an empty month goes.
+    days = {"2026-05-01": range(0, 40, 4), "2026-05-02": range(40, 60, 4), "2026-05-03": range(61, 90, 4)}
+    increments.land(rides(spark, *months_of(*days["2026-05-01"])), running, folder, "2026-05-01")
+    assert landed() == whole()
+    plan = increments.changed_states(
+        spark, spark.read.parquet(f"{folder}/states").schema, f"{folder}/states", {(2026, 2)}
+    )._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "date_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_merged_sums_are_the_sums_of_all(spark):
+    values = [1.25, 0.1, 1e7 + 0.125, 9e25, 9e25, -0.3, None, 2.0**-30, 123456.78, float("nan")]
+    df = spark.createDataFrame([(k % 3, v) for k, v in enumerate(values * 3)], "part int, x double")
+    x = F.col("x")
+    for rows in (df, df.filter("x < 1e20"), df.filter("x IS NULL")):
+        whole = rows.agg(exact_total(x).alias("t"), rounded_mean(x, 2).alias("m")).first()
+        parts = rows.groupBy("part").agg(*(c.alias(k) for k, c in partial_sums(x).items()))
+        once = parts.agg(*(c.alias(k) for k, c in merged_sums({k: F.col(k) for k in PARTS}).items()))
+        twice = once.agg(*(c.alias(k) for k, c in merged_sums({k: F.col(k) for k in PARTS}).items()))
+        own = {k: F.col(k) for k in PARTS}
+        got = twice.select(total_of(own).alias("t"), rounded_mean_of(own, 2).alias("m")).first()
+        # Beyond the decimals the sum is that of doubles, in any order.
+        assert got == whole or rows is df and tuple(got) == pytest.approx(tuple(whole))
