@@ -17,7 +17,9 @@ is written with byte pieces, so decoding gives back every text exactly.
 
 Null text counts as empty: no pieces, decoded to the empty text. A null key counts as
 a key of its own. Rows of one key and text get one segmentation; repeated rows are
-encoded each; an empty table gives an empty result.
+encoded each; an empty table gives an empty result. Very long texts are encoded whole, one
+at a time. Only the columns that are named are read, so that further columns, of whatever
+name, do no harm.
 """
 
 from __future__ import annotations
@@ -96,6 +98,10 @@ class Lattice:
         return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none, none)
 
 
+#: Bytes of texts whose lattices are held together; their arcs take some hundred times as much.
+BYTES = 1 << 19
+
+
 @lru_cache(maxsize=2)
 def lattice(path: str, theta: float) -> Lattice:
     return Lattice(vocabulary(path), theta)
@@ -237,7 +243,7 @@ def row_keys(key: Column, seed: int) -> Column:
 def blocks(batch: pa.RecordBatch, model: Lattice) -> Iterator[tuple]:
     """(first row, end row, bytes, offsets, ids, id offsets) of chunks of a batch."""
     keys = batch.column("row_key").to_numpy().astype(np.uint64)
-    for low, high, data, offsets in pieces_of(batch.column("text")):
+    for low, high, data, offsets in pieces_of(batch.column("text"), BYTES):
         yield low, high, data, offsets, *encoded(model, data, offsets, keys[low:high])
 
 
