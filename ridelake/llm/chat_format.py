@@ -15,7 +15,9 @@ delimit the assistant texts in code points of the part.
 
 Null role and text count as empty, a null turn comes first. Turns that tie are
 ordered by role and text; repeated rows are repeated turns. Null conversation ids
-are one conversation. An empty table gives an empty result.
+are one conversation. An empty table gives an empty result. Very long texts are written
+whole, in a part of their own. Only the four columns named are read, so that further
+columns, of whatever name, do no harm.
 """
 
 from __future__ import annotations

@@ -18,7 +18,9 @@ node potentials, smoothed pointwise mutual information of neighbouring and of li
 labels the edge potentials.
 
 Offsets are code points, ends exclusive. Null text counts as empty: no spans. Repeated
-rows are treated each; an empty table gives an empty result.
+rows are treated each; an empty table gives an empty result. Very long texts are
+searched whole. Only the id and the text are read, and `mask` replaces the text alone, so
+that further columns, of whatever name, do no harm.
 """
 
 from __future__ import annotations

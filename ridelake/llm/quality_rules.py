@@ -11,7 +11,8 @@ A text is kept if the posterior probability of good is at least a half.
 
 Null text counts as empty: no words, base failed, not kept. Repeated rows are
 counted and returned each; ties do not arise; an empty table gives an empty
-result. Only the id and text columns are read, so other columns do not matter.
+result. Very long texts are counted whole. Only the id and text columns are read, so other
+columns do not matter.
 """
 
 from __future__ import annotations

@@ -10,14 +10,16 @@
 3. Shard k holds the slots from k * per_shard on. The sequences are dealt to tasks by
    ranges of shards and each task writes its shards, record after record of
    2 * length bytes (little-endian 16-bit ids). A shard is written beside its place
-   and renamed, and its bytes depend on the input and key alone, so a repeated task
-   does no harm. The manifest, a table with a row per shard, is small.
+   and renamed, and its bytes depend on the written sequences and the key alone, so a
+   repeated task does no harm. The manifest, a table with a row per shard, is small.
 
 A reader finds slot s at byte (s % per_shard) * 2 * length of shard s // per_shard, so
 it resumes anywhere. The folder must be one that `pyarrow.fs` and all machines reach.
 
 Null text counts as empty and gives an end mark alone. Repeated rows are repeated;
-an empty table gives no shards. Only the id and text columns are read.
+an empty table gives no shards. Very long texts are cut into sequences, whole. Only the id
+(a number) and text columns are read. Which texts share a sequence depends on how the table
+is split into tasks.
 """
 
 from __future__ import annotations
