@@ -34,7 +34,9 @@ task holds more than two blocks, and no group is collected anywhere.
 
 Null and empty texts, and texts without words, have empty sets and link with nothing.
 Repeated rows get the same component; a null doc_id stands for a group only if all its
-ids are null. An empty table gives an empty result.
+ids are null. An empty table gives an empty result. Very long texts are read whole: a set
+has as many tokens as the text. Only the id (a number) and the text are read;
+`one_of_each` carries the other columns inside the row, so that their names cannot clash.
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -344,10 +346,16 @@ def links_in(sets: list[np.ndarray], sizes: list[int], label: np.ndarray) -> lis
     return found
 
 
-def in_blocks(groups: DataFrame) -> DataFrame:
-    """(key, low, high, id, component): groups of two or more as pairs of blocks of texts."""
-    sizes = groups.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
-    cut = groups.join(sizes, "key").withColumn("blocks", F.ceil(F.col("size") / GROUP))
+def in_blocks(groups: DataFrame, tokens: Column | None = None) -> DataFrame:
+    """(key, low, high, id, component): groups of two or more as pairs of blocks of texts.
+
+    A block holds about `GROUP` texts; with `tokens`, the size of a text's set, also no more
+    tokens than so many texts of `GROUP` tokens, so that long texts come in small blocks.
+    """
+    weight = F.lit(0) if tokens is None else F.sum(tokens)
+    sizes = groups.groupBy("key").agg(F.count("*").alias("size"), weight.alias("weight")).where(F.col("size") > 1)
+    blocks = F.ceil(F.greatest(F.col("size") / GROUP, F.col("weight") / (GROUP * GROUP)))
+    cut = groups.join(sizes, "key").withColumn("blocks", F.least(blocks, F.col("size")))
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     paired = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     return paired.select(
@@ -361,12 +369,14 @@ def group_links(groups: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         ids, sizes = table["id"].to_numpy(), table["n"].to_pylist()
         order = np.argsort(ids, kind="stable").tolist()
-        sets = [np.frombuffer(table["tokens"][k].as_buffer(), "<u8").astype(np.uint64) for k in order]
+        # The tokens stay where they arrived.
+        sets = [np.frombuffer(table["tokens"][k].as_buffer(), "<u8") for k in order]
         found = links_in(sets, [sizes[k] for k in order], table["component"].to_numpy()[order])
         pairs = np.array([(ids[order[a]], ids[order[b]]) for a, b in found], np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    full = in_blocks(groups).join(nodes.select("id", "n", "tokens"), "id")
+    sized = groups.join(nodes.select("id", "n"), "id")
+    full = in_blocks(sized, F.col("n")).join(nodes.select("id", "n", "tokens"), "id")
     return full.groupBy("key", "low", "high").applyInArrow(run, "a long, b long")
 
 
