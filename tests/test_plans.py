@@ -16,7 +16,8 @@ from ridelake.operators.integrity import RELATIONS, all_fk_violations, fk_violat
 from ridelake.operators.refine import refine_payment, refine_ride
 from ridelake.operators.validate import validate
 from ridelake.plans.queries import DECLARED, QUERIES
-from ridelake.sources.star_schema import load
+from ridelake.session import HUGE_METHOD, SPARKS_LIMIT
+from ridelake.sources.star_schema import JOINED, VIEWS, load, sources_of
 from ridelake.sources.tables import read_table, write_table
 
 SF = "/root/testdata/sf0.001"
@@ -71,6 +72,33 @@ def exchanges(df) -> int:
     return len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning", plan(df)))
 
 
+def test_line_items_are_not_shuffled_by_customer(spark, no_broadcast):
+    """Orders find their customers first, then the line items find the orders."""
+    lines = plan(load(spark, SF, "ride")).splitlines()
+    behind = [b for a, b in zip(lines, lines[1:]) if "hashpartitioning(o_custkey" in a]
+    assert behind and not any("l_orderkey" in b for b in behind)
+    assert JOINED["ride"] != VIEWS["ride"]
+
+
+def test_both_forms_of_the_ride_view_hold_the_same_rows(spark):
+    made = load(spark, SF, "ride")
+    text = spark.sql(VIEWS["ride"], **{s: load(spark, SF, s) for s in sources_of("ride")})
+    assert made.columns == text.columns
+    assert made.exceptAll(text).isEmpty() and text.exceptAll(made).isEmpty()
+
+
+def test_large_methods_are_not_generated(spark):
+    """Also in a session that `tuned` has not made; a limit of its own stays."""
+    before = spark.conf.get(HUGE_METHOD)
+    try:
+        for given, held in ((SPARKS_LIMIT, "8000"), ("20000", "20000")):
+            spark.conf.set(HUGE_METHOD, given)
+            load(spark, SF, "raw_ride")
+            assert spark.conf.get(HUGE_METHOD) == held
+    finally:
+        spark.conf.set(HUGE_METHOD, before)
+
+
 @pytest.fixture
 def big(spark):
     """Rides as a plain scan: no joins of the view in the way."""
