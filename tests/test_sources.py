@@ -70,6 +70,16 @@ def test_landing_is_idempotent_per_date(spark, tmp_path):
     assert json.loads(lines.splitlines()[0])["currency"] == "USD"
 
 
+def test_landed_files_can_be_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "LANDED", 15)
+    df = raw_frames(spark)["ride"].coalesce(1)
+    files.land_raw(df, str(tmp_path / "raw"), "ride", "2026-05-01", "gzip")
+    landed = list((tmp_path / "raw/ride/ingestion_date=2026-05-01").glob("part-*"))
+    assert len(landed) == 3 and all(f.name.endswith(".json.gz") for f in landed)
+    back = files.read_raw(spark, str(tmp_path / "raw"), "ride")
+    assert sorted(r["distance_km"] for r in back.collect()) == [float(i) for i in range(40)]
+
+
 def test_missing_entity_is_skipped(spark, tmp_path, caplog):
     frames = {"driver": raw_frames(spark)["driver"]}
     with caplog.at_level(logging.WARNING):
@@ -197,6 +207,40 @@ def test_the_gate_names_what_does_not_fit(spark):
     assert all("currency_missing" in r["refused"] for r in none)
 
 
+def test_refused_rows_keep_the_plan_small(spark):
+    """The filter on the codes stays above them: moved down, every expression would be written out again."""
+    from ridelake.operators.bronze import bronze_ride
+
+    raw = spark.createDataFrame([ride()], schemas.RAW["ride"]).select(
+        *(F.col(n).cast("string").alias(n) for n in ride())
+    )
+    df = normalise_ride(bronze_ride(raw), checks=True)
+
+    def size(out):
+        return len(out._jdf.queryExecution().optimizedPlan().toString())
+
+    assert size(declared.refused_rows(df, "silver_ride")) < 1.5 * size(declared.gate(df, "silver_ride"))
+
+
+def test_aggregates_are_made_once_for_both_passes(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(city):
+        made.add(1)
+        return city
+
+    df = spark.createDataFrame(
+        [(dt.date(2026, 5, 1), c, 3, 2, 10.5, 3.5, 1.25) for c in ("LA", "NY", None)],
+        "date date, name string, total_rides int, completed_rides int, total_revenue double, "
+        "avg_fare double, avg_distance_km double",
+    ).withColumn("city", F.udf(seen).asNondeterministic()("name")).drop("name")
+    try:
+        held, refused = declared.load_declared(df, "gold_city_metrics", "made_once", str(tmp_path / "refused"))
+    finally:
+        tables.reset_tables(spark, ["made_once"])
+    assert (held.record_count, refused, made.value) == (2, 1, 3)
+
+
 def test_declared_tables_replace_only_their_partitions(spark, tmp_path):
     def passengers(*rows):
         kinds = "passenger_id string, first_name string, last_name string, email string, phone string, signup_date date, city string, country string, status string"
