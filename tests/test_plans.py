@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from ridelake.functions import between_dates
 
-from ridelake.operators import gold
+from ridelake.operators import gold, report
 from ridelake.operators.dedup import dedup
 from ridelake.operators.integrity import RELATIONS, all_fk_violations, fk_violations
 from ridelake.operators.refine import refine_payment, refine_ride
 from ridelake.operators.validate import validate
 from ridelake.plans.queries import DECLARED, QUERIES
 from ridelake.session import HUGE_METHOD, SPARKS_LIMIT
+from ridelake.sources.scratch import written
 from ridelake.sources.star_schema import JOINED, VIEWS, load, sources_of
 from ridelake.sources.tables import read_table, write_table
 
@@ -241,3 +242,37 @@ def test_partitioned_write_splits_a_hot_partition(spark):
     assert got["Hot"][0] > 2 and got["Hot"][1] == 100_000
     assert sum(n for _, n in got.values()) == 300_000
     spark.sql("DROP TABLE hot_city")
+
+
+def analysed(df) -> str:
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+def test_rows_that_pass_build_no_errors_and_plain_times_no_instants(rows):
+    rides = rows("ride_id STRING, request_timestamp STRING, fare_amount DOUBLE", ("R1", "2026-05-01T10:00:00", 5.0))
+    plan = analysed(report.error_rows(rides, "ride"))
+    assert "ELSE array_compact(" in plan
+    assert re.search(r"THEN try_cast\(request_timestamp#\d+ as timestamp\)", plan)
+    assert not re.search(r"(?<!THEN )try_cast\(request_timestamp#\d+ as timestamp\)", plan)
+
+
+def test_report_counts_rules_and_not_arrays(rows, monkeypatch):
+    plans = []
+
+    def kept(df):
+        plans.append(analysed(df))
+        return written(df)
+
+    monkeypatch.setattr(report, "written", kept)
+    payments = rows(
+        "payment_id STRING, ride_id STRING, amount DOUBLE, payment_status STRING",
+        ("A", "R1", 1.0, "completed"),
+        (None, None, -1.0, "completed"),
+        ("A", "", None, "odd"),
+    )
+    row = report.quality_report(payments, "payment").first()
+    assert (row["records"], row["valid_records"], row["invalid_records"]) == (3, 1, 2)
+    assert row["checks"] == {
+        "payment_id_required": 1, "ride_id_required": 2, "amount_range": 2, "payment_status_allowed": 1,
+    }
+    assert len(row["errors"]) == 6 and len(plans) == 1 and "array_contains" not in plans[0]
