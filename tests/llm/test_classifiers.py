@@ -145,3 +145,26 @@ def test_sample_is_bounded_by_rows(spark, texts):
     assert [r.text for r in labelled_sample(texts(rows[::-1]), labels, "good", F.lit(False), 12).orderBy("key").collect()] == [
         r.text for r in sorted(got, key=lambda r: r.key)
     ]
+
+
+def test_all_labelled_texts_are_trained_on(spark, texts):
+    marks = [f"mark{n}" for n in range(20)]
+    rows = [(n, f"plain words {marks[n % 20]} {'vile' if n % 5 == 0 else 'kind'}") for n in range(400)] + [(401, ""), (402, None), (None, "vile")]
+    labels = spark.createDataFrame([(n, int(n % 5 == 0)) for n in range(403)], "doc_id long, toxic int")
+    # 400 texts, 30 to a shard; before, 30 texts in all.
+    model = toxicity_cnn.fit(texts(rows), labels, "toxic", F.lit(False), 30)
+    for _, _, data, offsets in pieces_of(pa.array([" ".join([*marks, "vile", "kind", "plain", "words"])])):
+        assert set(buckets(data, offsets)[0].tolist()) == set(model.known.tolist())
+    kept = [r.doc_id for r in without_toxic(texts(rows[:400]), model).collect()]
+    assert sorted(kept) == [n for n in range(400) if n % 5]
+    # Neither the order of rows nor how they are split matters.
+    again = toxicity_cnn.fit(texts(rows[::-1]).repartition(7), labels.repartition(3), "toxic", F.lit(False), 30)
+    assert np.array_equal(model.vectors, again.vectors) and np.array_equal(model.output, again.output)
+    assert (model.slope, model.intercept, model.threshold) == (again.slope, again.intercept, again.threshold)
+
+
+def test_shards_of_one_class_give_its_share(spark, texts):
+    rows = [(n, f"word {n}") for n in range(50)]
+    labels = spark.createDataFrame([(n, 1) for n in range(50)], "doc_id long, toxic int")
+    model = toxicity_cnn.fit(texts(rows), labels, "toxic", F.lit(False), 10)
+    assert not len(model.known) and abs(sigmoid(model.intercept) - 51 / 52) < 1e-9
