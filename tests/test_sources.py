@@ -477,3 +477,47 @@ def test_run_stops_at_the_first_failure(spark, tmp_path):
     assert tables.list_layer(spark, "stop").count() == 0
     with pytest.raises(ValueError):
         LayerConfig("a", "b", style="other")
+
+
+def test_digest_makes_each_text_once(spark):
+    """Texts of maps and arrays, made by lambdas, stand once in the plan, and are those of their values."""
+    import hashlib
+
+    kind = "flag boolean, words array<string>, checks map<string, boolean>, place struct<open: boolean, at: map<string, string>>"
+    rows = [
+        (True, ["a", None, ""], {"late": False, "far": True, "": None}, (None, {"b": None, "a": "x"})),
+        (False, [], {}, (True, None)),
+        (None, ["v1:a"], None, None),
+    ]
+    df = spark.createDataFrame(rows, kind)
+
+    def mark(text):
+        return "n" if text is None else f"v{len(text)}:{text}"
+
+    def word(flag):
+        return None if flag is None else str(flag).lower()
+
+    def pairs(values, text):
+        if values is None:
+            return None
+        return "".join(mark(mark(k) + mark(text(values[k]))) for k in sorted(values))
+
+    def line(flag, words, checks, place):
+        at = None if place is None else mark(word(place[0])) + mark(pairs(place[1], lambda t: t))
+        return mark(word(flag)) + mark("".join(map(mark, words))) + mark(pairs(checks, word)) + mark(at)
+
+    hashes = [hashlib.md5(line(*r).encode()).hexdigest() for r in rows]
+    want = (3, sum(int(h[:6], 16) for h in hashes), sum(int(h[6:12], 16) for h in hashes))
+    assert tuple(digest(df).first()) == want
+    plan = digest(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_entries(checks") == 1
+
+
+def test_rows_that_fit_build_no_codes(spark):
+    kind = "payment_id string, ride_id string, payment_time string, payment_method string, amount double, currency string, payment_status string"
+    fits = ("P", "R", "2026-01-01T00:00:00", "cash", 1.0, "USD", "completed")
+    out = declared.gate(spark.createDataFrame([fits, (None, "R", "soon", "cash", 1e12, "USD", "completed")], kind), "silver_payment")
+    assert "ELSE [] END AS refused" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["refused"] for r in out.collect()] == [[], ["payment_id_missing", "payment_time_unfit", "amount_unfit"]]
+    without = spark.createDataFrame([("r", "1")], "payment_id string, amount string")
+    assert "ride_id_missing" in declared.gate(without, "silver_payment").first()["refused"]
